@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 from tablecraft.functions.columns import (
     CATEGORY_BANDS,
@@ -21,7 +22,7 @@ from tablecraft.functions.columns import (
 )
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def apply_discount(value: pd.Series, code: pd.Series) -> pd.Series:
     v = value.astype("float64")
     c = code.str.upper()
@@ -32,7 +33,7 @@ def apply_discount(value: pd.Series, code: pd.Series) -> pd.Series:
     return out.where(v.notna(), 0.0)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def order_category_udf(value: pd.Series, status: pd.Series) -> pd.Series:
     v = value.astype("float64")
     conditions = [v.isna() | status.isna(), status != "COMPLETED"]

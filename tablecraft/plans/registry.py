@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.plans import e2e
+from tablecraft.plans import e2e, relational
 
-_MODULES = [e2e]
+_MODULES = [e2e, relational]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -129,3 +129,18 @@ def with_views(*names: str) -> str:
 
 def sql(views: list[str] | tuple[str, ...], body: str) -> str:
     return with_views(*views) + body if views else body
+
+
+def msum(x: str) -> str:
+    """Exact money sum (matches ``money_sum``)."""
+    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def mmean(x: str) -> str:
+    """Exact-sum mean (matches ``money_mean``)."""
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({x}))"
+
+
+def round2(x: str) -> str:
+    """Half-up cents rounding (matches ``round2``)."""
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), 2) AS DOUBLE)"

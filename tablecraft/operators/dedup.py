@@ -69,8 +69,8 @@ def scd2_build(
     w = Window.partitionBy(*keys).orderBy(F.col(effective_col))
     nxt = F.lead(F.col(effective_col), 1).over(w)
     return (
-        changes.withColumnRenamed(effective_col, from_name)
-        .withColumn(to_name, F.date_sub(nxt, 1))
+        changes.withColumn(to_name, F.date_sub(nxt, 1))
+        .withColumnRenamed(effective_col, from_name)
         .withColumn("is_current", F.col(to_name).isNull())
     )
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.plans import e2e, relational
+from tablecraft.plans import e2e, joins, nested, quality, relational, windows
 
-_MODULES = [e2e, relational]
+_MODULES = [e2e, relational, joins, quality, windows, nested]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.plans import e2e, joins, nested, quality, relational, windows
+from tablecraft.plans import e2e, io, joins, nested, quality, relational, streams, tables, windows
 
-_MODULES = [e2e, relational, joins, quality, windows, nested]
+_MODULES = [e2e, relational, joins, quality, windows, nested, io, tables, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

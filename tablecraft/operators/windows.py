@@ -3,11 +3,9 @@
 Every ordered window takes explicit tie-breakers: ordering by a date alone leaves
 ties in an undefined order and makes running values non-deterministic.
 
-Windows partition by their ``partition_cols``; one partition key is processed by one
-task. The per-entity windows here (customer, tier) run after aggregation or on
-entity-sized histories; a caller with a single entity holding a large share of the
-rows should use :func:`running_total_ranged`, which splits a partition key across
-tasks by range-partitioning the ordered data and carrying totals between them.
+A plain window processes each partition key in one task. Every operator here also has
+a range-split form (``ranged=True``) that cuts a large or hot key across tasks; see
+the section "range-split windows" below.
 """
 
 from __future__ import annotations
@@ -33,8 +31,14 @@ def rank_within(
     order_cols: OrderSpec,
     kind: str = "rank",
     name: str | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
-    """Add ``rank`` / ``dense_rank`` / ``row_number`` (as bigint) within partitions."""
+    """Add ``rank`` / ``dense_rank`` / ``row_number`` (as bigint) within partitions.
+
+    ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`).
+    """
+    if ranged:
+        return rank_within_ranged(df, partition_cols, order_cols, kind, name)
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
     return df.withColumn(name or kind, fn().over(_spec(partition_cols, order_cols)).cast("long"))
 
@@ -62,8 +66,14 @@ def running_total(
     order_cols: OrderSpec,
     value_col: str,
     name: str = "running_total",
+    ranged: bool = False,
 ) -> DataFrame:
-    """Exact cumulative sum, frame ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``."""
+    """Exact cumulative sum, frame ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
+
+    ``ranged=True`` splits hot keys over tasks (:func:`running_total_ranged`).
+    """
+    if ranged:
+        return running_total_ranged(df, partition_cols, order_cols, value_col, name)
     w = _spec(partition_cols, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.sum(money(value_col)).over(w).cast("double"))
 
@@ -77,11 +87,18 @@ def moving_average(
     following: int = 3,
     name: str = "moving_avg",
     rounded: bool = True,
+    ranged: bool = False,
 ) -> DataFrame:
     """Centred moving average over ``ROWS BETWEEN -preceding AND +following``."""
-    w = _spec(partition_cols, order_cols).rowsBetween(-preceding, following)
-    avg = F.sum(money(value_col)).over(w).cast("double") / F.count(F.col(value_col)).over(w)
-    return df.withColumn(name, round2(avg) if rounded else avg)
+
+    def build(w):
+        f = w.rowsBetween(-preceding, following)
+        avg = F.sum(money(value_col)).over(f).cast("double") / F.count(F.col(value_col)).over(f)
+        return {name: round2(avg) if rounded else avg}
+
+    if ranged:
+        return bounded_window_ranged(df, partition_cols, order_cols, build, preceding, following)
+    return df.withColumns(build(_spec(partition_cols, order_cols)))
 
 
 def lag_delta(
@@ -91,13 +108,22 @@ def lag_delta(
     value_col: str,
     prev_name: str = "prev_value",
     delta_name: str = "delta",
+    ranged: bool = False,
 ) -> DataFrame:
     """Previous value in the partition (null at the first row) and the difference."""
-    w = _spec(partition_cols, order_cols)
-    out = df.withColumn(prev_name, F.lag(F.col(value_col), 1).over(w))
+    out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)
     return out.withColumn(delta_name, F.col(value_col) - F.col(prev_name))
 
 
+def _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged):
+    def build(w):
+        return {prev_name: F.lag(F.col(value_col), 1).over(w)}
+
+    if ranged:
+        return bounded_window_ranged(df, partition_cols, order_cols, build, 1, 0)
+    return df.withColumns(build(_spec(partition_cols, order_cols)))
+
+
 def lag_pct_change(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -105,62 +131,157 @@ def lag_pct_change(
     value_col: str,
     prev_name: str = "prev_value",
     pct_name: str = "pct_change",
+    ranged: bool = False,
 ) -> DataFrame:
     """Percent change to the previous value, rounded to 2; null when previous is 0/null."""
-    w = _spec(partition_cols, order_cols)
-    prev = F.coalesce(F.lag(F.col(value_col), 1).over(w), F.lit(0.0))
-    out = df.withColumn(prev_name, prev)
+    out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)
+    out = out.withColumn(prev_name, F.coalesce(F.col(prev_name), F.lit(0.0)))
     p = F.col(prev_name)
     pct = (F.col(value_col) - p) / p * F.lit(100.0)
     return out.withColumn(pct_name, F.when(p == 0, F.lit(None)).otherwise(round2(pct)))
 
 
+# ---------------------------------------------------------------- range-split windows
+# A window partitioned by a key runs each key in one task. When one key holds a large
+# share of the rows (a hot customer, or a low-cardinality key such as a tier), the
+# range-split forms below cut the ordered data of every key into ranges handled by
+# different tasks:
+#
+# 1. ``repartitionByRange`` on ``keys + order`` (sampled bounds split a hot key; equal
+#    sort keys always land in the same range, so ties never straddle two ranges);
+# 2. the window is evaluated per (range, key) segment in that partitioning, and the
+#    result is checkpointed so range ids stay fixed for the steps below;
+# 3. a key continues across ranges only as the first or last key of a range, so at
+#    most two segments per range need fixing: a bounded table (<= 2 x ranges rows)
+#    that is safe to broadcast.
+
+
+def _range_split(df: DataFrame, keys: Sequence[str], order: OrderSpec, n: int | None) -> DataFrame:
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
+    return df.repartitionByRange(n, *cols).withColumn("_range", F.spark_partition_id())
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from tablecraft.sources.scratch import cut_lineage
+
+    return cut_lineage(df)
+
+
+def _carry(seg: DataFrame, keys: Sequence[str], metric: str) -> DataFrame:
+    """Per (range, key): sum of ``metric`` over the key's earlier ranges; only the
+    segments that have earlier ranges (<= one per range) are returned."""
+    w = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        seg.withColumn("_carry", F.sum(metric).over(w))
+        .filter(F.col("_carry").isNotNull())
+        .select("_range", *keys, "_carry")
+    )
+
+
 def running_total_ranged(
     df: DataFrame,
     partition_cols: Sequence[str],
-    order_cols: Sequence[str],
+    order_cols: OrderSpec,
     value_col: str,
     name: str = "running_total",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Skew-proof cumulative sum: a hot partition key is split across tasks.
-
-    1. Range-partition on ``partition_cols + order_cols`` (the sampled bounds cut a
-       hot key into several ranges) and sort within each range.
-    2. Per range: local running sums per key, and each key's range total.
-    3. A carry per (range, key) = sum of that key's totals in earlier ranges. The carry
-       table has at most two keys per range (only the first and last key of a range
-       can continue elsewhere), so it is bounded by ``2 * num_partitions`` rows and
-       safe to broadcast.
-    ``order_cols`` must make the order total (end with a unique tie-breaker).
+    """Exact cumulative sum per key, with a hot key split across tasks.
+
+    Local running sums per (range, key) segment plus a carry: the key's total in its
+    earlier ranges. ``order_cols`` should make the order total (end with a unique
+    tie-breaker), as for :func:`running_total`.
     """
     keys = list(partition_cols)
-    order = list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_range", F.spark_partition_id())
-    )
-    # checkpoint: the range id must be stable between the two uses below
-    from tablecraft.sources.scratch import cut_lineage
-
-    ranged = cut_lineage(ranged)
-    w_local = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(
+    w = Window.partitionBy("_range", *keys).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = ranged.withColumn("_local", F.sum(money(value_col)).over(w_local))
-    totals = ranged.groupBy("_range", *keys).agg(F.sum(money(value_col)).alias("_range_total"))
-    w_carry = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # only the first key of a range can have rows in earlier ranges: <= n carry rows
-    carry = (
-        totals.withColumn("_carry", F.sum("_range_total").over(w_carry))
-        .filter(F.col("_carry").isNotNull())
-        .select("_range", *keys, "_carry")
+    local = _checkpoint(
+        _range_split(df, keys, order_cols, num_partitions).withColumn("_local", F.sum(money(value_col)).over(w))
     )
+    seg = local.groupBy("_range", *keys).agg(F.sum(money(value_col)).alias("_seg_total"))
+    carry = _carry(seg, keys, "_seg_total")
     out = local.join(F.broadcast(carry), ["_range", *keys], "left").withColumn(
         name, (F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).cast("double")
     )
-    return out.drop("_range", "_local", "_carry")
+    return out.select(*df.columns, name)
+
+
+def rank_within_ranged(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_cols: OrderSpec,
+    kind: str = "rank",
+    name: str | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """``rank`` / ``dense_rank`` / ``row_number`` with large partitions split over tasks.
+
+    Ranges are cut on exactly ``partition_cols + order_cols``, so tied rows share a
+    range: global rank = local rank + rows of the key in earlier ranges, global dense
+    rank = local dense rank + distinct order values of the key in earlier ranges.
+    """
+    keys = list(partition_cols)
+    name = name or kind
+    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
+    w = Window.partitionBy("_range", *keys).orderBy(*order_cols)
+    local = _checkpoint(_range_split(df, keys, order_cols, num_partitions).withColumn("_local", fn().over(w)))
+    metric = F.max("_local") if kind == "dense_rank" else F.count(F.lit(1))
+    seg = local.groupBy("_range", *keys).agg(metric.alias("_seg"))
+    carry = _carry(seg, keys, "_seg")
+    out = local.join(F.broadcast(carry), ["_range", *keys], "left").withColumn(
+        name, (F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).cast("long")
+    )
+    return out.select(*df.columns, name)
+
+
+def bounded_window_ranged(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_cols: OrderSpec,
+    build,
+    preceding: int,
+    following: int,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Evaluate window columns whose frames reach at most ``preceding`` rows back and
+    ``following`` rows ahead (lag, lead, moving averages), with hot keys split.
+
+    ``build(w)`` returns ``{name: Column}`` for a window spec ``w`` (partitioned and
+    ordered). Values are computed per (range, key) segment; only rows within
+    ``preceding`` of a segment start or ``following`` of its end, in keys that cross
+    ranges, can see rows of a neighbouring range. Those rows are recomputed from the
+    edge rows of the crossing segments (at most ``2 x ranges x (preceding +
+    following)`` rows, broadcast) and patched in.
+    """
+    keys = list(partition_cols)
+    reach = preceding + following
+    w = Window.partitionBy("_range", *keys).orderBy(*order_cols)
+    cols = build(w)
+    local = _checkpoint(
+        _range_split(df, keys, order_cols, num_partitions)
+        .withColumn("_pos", F.row_number().over(w))
+        .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_range", *keys)))
+        .withColumns(cols)
+    )
+    seg = local.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    crossing = (
+        seg.withColumn("_nseg", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        .filter(F.col("_nseg") > 1)
+        .select("_range", *keys)
+    )
+    edges = (
+        local.select(*df.columns, "_range", "_pos", "_cnt")
+        .join(F.broadcast(crossing), ["_range", *keys])
+        .filter((F.col("_pos") <= reach) | (F.col("_pos") > F.col("_cnt") - reach))
+    )
+    fixed = (
+        edges.withColumns(build(Window.partitionBy(*keys).orderBy(*order_cols)))
+        .filter((F.col("_pos") <= preceding) | (F.col("_pos") > F.col("_cnt") - following))
+        .select("_range", *keys, "_pos", F.lit(True).alias("_fixed"),
+                *[F.col(c).alias(f"_fix_{c}") for c in cols])
+    )
+    out = local.join(F.broadcast(fixed), ["_range", *keys, "_pos"], "left")
+    out = out.withColumns({c: F.when(F.col("_fixed"), F.col(f"_fix_{c}")).otherwise(F.col(c)) for c in cols})
+    return out.select(*df.columns, *cols)

@@ -31,13 +31,16 @@ def spend_per_customer(spark, sf, how="inner"):
 
 
 def q_rank_in_tier(spark, sf):
-    return rank_within(spend_per_customer(spark, sf), ["tier"], [F.col("spend").desc()], "rank", "rank_in_tier")
+    """Rank customers in their tier; a tier is split across tasks (few tiers, many
+    customers each)."""
+    return rank_within(spend_per_customer(spark, sf), ["tier"], [F.col("spend").desc()], "rank",
+                       "rank_in_tier", ranged=True)
 
 
 def q_spend_dense_rank(spark, sf):
     """Left join: orders of unknown customers stay in a null-tier group."""
     return rank_within(spend_per_customer(spark, sf, "left"), ["tier"], [F.col("spend").desc()],
-                       "dense_rank", "dense_rank_in_tier")
+                       "dense_rank", "dense_rank_in_tier", ranged=True)
 
 
 def q_rank_three_ways(spark, sf):
@@ -80,17 +83,17 @@ def q_running_total(spark, sf):
 
 def q_lag_delta(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta")
+    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta", ranged=True)
 
 
 def q_lag_pct_change(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change")
+    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change", ranged=True)
 
 
 def q_moving_avg_7(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7")
+    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7", ranged=True)
 
 
 QUERIES = {

@@ -68,3 +68,49 @@ def test_ranged_running_total_on_hot_key(spark):
     plain = running_total(df, ["customer_id"], ["seq"], "amount")
     ranged = running_total_ranged(df, ["customer_id"], ["seq"], "amount", num_partitions=8)
     assert ranged.exceptAll(plain).count() == 0 and plain.exceptAll(ranged).count() == 0
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def hot_history(spark):
+    # customer 1 holds most rows (split across many ranges); others are tiny
+    rows = [(1, i, float((i * 37) % 101)) for i in range(2000)]
+    rows += [(c, i, float(c + i)) for c in range(2, 60) for i in range(1 + c % 4)]
+    return spark.createDataFrame(rows, "customer_id int, seq int, amount double")
+
+
+def test_ranged_lag_and_moving_average_match_plain(spark):
+    from tablecraft.operators.windows import bounded_window_ranged
+
+    df = hot_history(spark)
+    for n in (7, 64):  # 64 ranges on little data: tiny segments at range edges
+        plain = moving_average(lag_delta(df, ["customer_id"], ["seq"], "amount"), ["customer_id"], ["seq"], "amount")
+        ranged = moving_average(
+            lag_delta(df, ["customer_id"], ["seq"], "amount", ranged=True),
+            ["customer_id"], ["seq"], "amount", ranged=True,
+        )
+        assert _same(plain, ranged)
+
+        def lead2(w):
+            return {"next2": F.lead("amount", 2).over(w), "win": F.sum("amount").over(w.rowsBetween(-2, 2))}
+
+        got = bounded_window_ranged(df, ["customer_id"], ["seq"], lead2, 2, 2, num_partitions=n)
+        from pyspark.sql import Window
+
+        w = Window.partitionBy("customer_id").orderBy("seq")
+        want = df.withColumns(lead2(w))
+        assert _same(got, want)
+
+
+def test_ranged_ranks_match_plain(spark):
+    rows = [("GOLD", i, float(i // 3)) for i in range(3000)] + [("SILVER", i, float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "tier string, customer_id int, spend double")
+    for kind in ("rank", "dense_rank"):
+        plain = rank_within(df, ["tier"], [F.col("spend").desc()], kind, "r")
+        ranged = rank_within(df, ["tier"], [F.col("spend").desc()], kind, "r", ranged=True)
+        assert _same(plain, ranged)
+    plain = rank_within(df, ["tier"], [F.col("spend").desc(), "customer_id"], "row_number", "r")
+    ranged = rank_within(df, ["tier"], [F.col("spend").desc(), "customer_id"], "row_number", "r", ranged=True)
+    assert _same(plain, ranged)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import money, money_mean, money_sum
@@ -48,12 +50,66 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return wide.unpivot([], columns, "column_name", "null_count")
 
 
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    probs: dict[str, float],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Exact quantiles with linear interpolation (``quantile_cont`` semantics), long
+    form ``(stat, value)``, without gathering the values of the column in one task.
+
+    Values are counted per distinct value (map-side combined), the distinct values are
+    range-partitioned and given their cumulative row positions (local running count +
+    carry from earlier ranges), and only the <= 2 values per quantile that cover the
+    target positions are kept: ``lo + (hi - lo) * frac`` at position ``(n - 1) * p``.
+    """
+    from tablecraft.operators.windows import _carry, _checkpoint, _range_split
+
+    counts = (
+        df.select(F.col(column).cast("double").alias("_v"))
+        .filter(F.col("_v").isNotNull())
+        .groupBy("_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    n = df.filter(F.col(column).isNotNull()).count()
+    spark = df.sparkSession
+    if n == 0:
+        return spark.createDataFrame([(k, None) for k in probs], "stat string, value double")
+    w = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = _checkpoint(_range_split(counts, [], ["_v"], num_partitions).withColumn("_local", F.sum("_c").over(w)))
+    seg = local.groupBy("_range").agg(F.sum("_c").alias("_seg"))
+    carry = _carry(seg, [], "_seg")  # one row per range at most
+    ends = local.join(F.broadcast(carry), ["_range"], "left").withColumn(
+        "_end", F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))
+    ).withColumn("_start", F.col("_end") - F.col("_c"))
+    targets = {}
+    for name, p in probs.items():
+        pos = (n - 1) * p
+        lo = math.floor(pos)
+        targets[name] = (lo, min(lo + 1, n - 1), pos - lo)
+    wanted = sorted({k for lo, hi, _ in targets.values() for k in (lo, hi)})
+    covers = F.lit(False)
+    for k in wanted:
+        covers = covers | ((F.col("_start") <= k) & (F.col("_end") > k))
+    picked = ends.filter(covers).select("_v", "_start", "_end")  # <= 2 rows per quantile
+
+    def at(k):
+        return F.max(F.when((F.col("_start") <= k) & (F.col("_end") > k), F.col("_v")))
+
+    aggs = []
+    for name, (lo, hi, frac) in targets.items():
+        lo_v, hi_v = at(lo), at(hi)
+        value = lo_v if frac == 0 else lo_v + (hi_v - lo_v) * F.lit(frac)
+        aggs.append(value.alias(name))
+    return picked.agg(*aggs).unpivot([], list(probs), "stat", "value")
+
+
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, stddev, min, 25 %, 50 %, 75 %, max per column, long form.
 
-    Mean and standard deviation are computed from exact decimal sums, so the result
-    does not depend on partitioning. Percentiles are exact (``percentile``, linear
-    interpolation); Spark keeps one count per distinct value, not per row.
+    Mean and standard deviation come from exact decimal sums, so the result does not
+    depend on partitioning; percentiles are exact (:func:`exact_quantiles`).
     """
     parts = []
     for c in columns:
@@ -62,23 +118,16 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         s1 = F.sum(x).cast("double")
         s2 = F.sum(x * x).cast("double")
         var = (s2 - s1 * s1 / n) / (n - F.lit(1.0))
-        pct = F.percentile(F.col(c), [0.25, 0.5, 0.75])
         stats = df.agg(
             F.count(F.col(c)).cast("double").alias("count"),
             (s1 / n).alias("mean"),
             F.sqrt(F.greatest(var, F.lit(0.0))).alias("stddev"),
             F.min(F.col(c)).cast("double").alias("min"),
-            pct[0].cast("double").alias("p25"),
-            pct[1].cast("double").alias("p50"),
-            pct[2].cast("double").alias("p75"),
             F.max(F.col(c)).cast("double").alias("max"),
         )
-        names = ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
-        parts.append(
-            stats.unpivot([], names, "stat", "value").select(
-                F.lit(c).alias("column_name"), "stat", "value"
-            )
-        )
+        moments = stats.unpivot([], ["count", "mean", "stddev", "min", "max"], "stat", "value")
+        quantiles = exact_quantiles(df, c, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+        parts.append(moments.unionByName(quantiles).select(F.lit(c).alias("column_name"), "stat", "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

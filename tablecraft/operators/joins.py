@@ -10,15 +10,16 @@ These helpers only add what Spark does not decide by itself:
 * ``salted_join`` spreads hot keys of the big side over ``salts`` sub-keys with a
   deterministic hash (a task retry sees the same salt, unlike ``rand``) and
   replicates only the matching rows of the small side.
-* ``temporal_join`` is an equi-join on the entity key with the validity interval as
-  a residual condition, so it partitions on the key like any equi-join.
+* ``temporal_join`` matches facts to the version valid at their time: an as-of sweep
+  (sort facts and versions together per key) for non-overlapping versions, or an
+  equi-join with the interval as a residual condition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import hash_bucket
@@ -114,13 +115,77 @@ def temporal_join(
     from_col: str = "effective_from",
     to_col: str = "effective_to",
     how: str = "left",
+    method: str = "sweep",
 ) -> DataFrame:
     """Join each fact row to the dimension version valid at ``event_col``.
 
     Valid means ``from <= t`` and (``to`` is null or ``t <= to``), both ends
     inclusive. The dimension's key columns are dropped from the output.
+
+    ``method="sweep"`` (default) is an as-of merge for dimensions whose versions do not
+    overlap per key (SCD-2): facts and versions are sorted together per key and each
+    fact takes the latest version started at or before it, which is then checked
+    against ``to``. No fact x version comparisons, and a hot key is split across tasks
+    (range split with a carried "last version"). ``method="join"`` is the general
+    equi-join with the interval as a residual condition (overlapping versions allowed:
+    a fact then matches every valid version).
     """
     keys = list(keys)
+    if method == "join":
+        return _temporal_equi_join(fact, dim, keys, event_col, from_col, to_col, how)
+    if method != "sweep":
+        raise ValueError(f"unknown method {method!r}")
+    from tablecraft.operators.windows import _checkpoint, _range_split
+
+    dim_cols = [c for c in dim.columns if c not in keys]
+    fact_cols = [c for c in fact.columns if c not in keys]
+    ver = F.struct(*[F.col(c) for c in dim_cols])
+    rec = F.struct(*[F.col(c) for c in fact_cols])
+    ver_type = dim.select(ver.alias("v")).schema["v"].dataType
+    rec_type = fact.select(rec.alias("r")).schema["r"].dataType
+    t_type = fact.schema[event_col].dataType
+    versions = dim.select(
+        *keys, F.col(from_col).cast(t_type).alias("_t"), F.lit(0).alias("_kind"),
+        ver.alias("_ver"), F.lit(None).cast(rec_type).alias("_rec"),
+    )
+    facts = fact.select(
+        *keys, F.col(event_col).alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(ver_type).alias("_ver"), rec.alias("_rec"),
+    )
+    order = ["_t", "_kind"]  # a version starting at t applies to facts at t
+    w = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = _checkpoint(
+        _range_split(versions.unionByName(facts), keys, order, None)
+        .withColumn("_last", F.last("_ver", ignorenulls=True).over(w))
+    )
+    # per (range, key): the segment's latest version; carried into the key's later
+    # ranges. Only the first key of a range has earlier ranges: <= one row per range.
+    seg = local.groupBy("_range", *keys).agg(
+        F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_ver"))).alias("_seg_last")
+    )
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        seg.withColumn("_prev", F.last("_seg_last", ignorenulls=True).over(before))
+        .filter(F.col("_prev").isNotNull())
+        .select("_range", *keys, F.col("_prev._ver").alias("_carry"))
+    )
+    v = F.coalesce(F.col("_last"), F.col("_carry"))
+    valid = v.isNotNull() & (v.getField(to_col).isNull() | (F.col("_t") <= v.getField(to_col)))
+    matched = (
+        local.filter(F.col("_kind") == 1)
+        .join(F.broadcast(carry), ["_range", *keys], "left")
+        .withColumn("_v", F.when(valid, v))
+    )
+    if how == "inner":
+        matched = matched.filter(F.col("_v").isNotNull())
+    elif how not in ("left", "left_outer"):
+        raise ValueError("temporal_join supports inner and left")
+    return matched.select(
+        *keys, *[F.col(f"_rec.{c}").alias(c) for c in fact_cols], *[F.col(f"_v.{c}").alias(c) for c in dim_cols]
+    )
+
+
+def _temporal_equi_join(fact, dim, keys, event_col, from_col, to_col, how):
     renamed = dim
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"_dim_{k}")

@@ -71,3 +71,20 @@ def test_temporal_join_at_sf(spark, sf):
 
     fact_rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
     assert joins.q_temporal_join(spark, sf).count() == fact_rows
+
+
+def test_sweep_equals_interval_join_on_hot_key(spark):
+    # customer 1: 400 versions and 3000 facts (spread over many ranges); others small
+    base = dt.date(2020, 1, 1)
+    changes = [(1, base + dt.timedelta(days=3 * i), f"T{i % 7}") for i in range(400)]
+    changes += [(c, base + dt.timedelta(days=c), "X") for c in range(2, 40)]
+    dim = scd2_build(
+        spark.createDataFrame(changes, "customer_id int, changed_on date, tier string"), ["customer_id"], "changed_on"
+    )
+    facts = [(i, 1, base + dt.timedelta(days=(i * 7) % 1300 - 5)) for i in range(3000)]
+    facts += [(10000 + c, c, base + dt.timedelta(days=c + (c % 3) - 1)) for c in range(2, 60)]
+    fact = spark.createDataFrame(facts, "order_id int, customer_id int, event_date date")
+    sweep = temporal_join(fact, dim, ["customer_id"], "event_date")
+    plain = temporal_join(fact, dim, ["customer_id"], "event_date", method="join").select(*sweep.columns)
+    assert sweep.count() == fact.count()
+    assert sweep.exceptAll(plain).count() == 0 and plain.exceptAll(sweep).count() == 0

@@ -115,7 +115,8 @@ def temporal_join(
     from_col: str = "effective_from",
     to_col: str = "effective_to",
     how: str = "left",
-    method: str = "sweep",
+    method: str = "auto",
+    max_versions_per_key: int = 64,
 ) -> DataFrame:
     """Join each fact row to the dimension version valid at ``event_col``.
 
@@ -128,9 +129,14 @@ def temporal_join(
     against ``to``. No fact x version comparisons, and a hot key is split across tasks
     (range split with a carried "last version"). ``method="join"`` is the general
     equi-join with the interval as a residual condition (overlapping versions allowed:
-    a fact then matches every valid version).
+    a fact then matches every valid version). ``method="auto"`` counts versions per
+    key and sweeps only when some key has more than ``max_versions_per_key`` of them
+    (then a join would compare every fact of that key with every version).
     """
     keys = list(keys)
+    if method == "auto":
+        most = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        method = "sweep" if (most or 0) > max_versions_per_key else "join"
     if method == "join":
         return _temporal_equi_join(fact, dim, keys, event_col, from_col, to_col, how)
     if method != "sweep":

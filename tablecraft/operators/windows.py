@@ -5,7 +5,8 @@ ties in an undefined order and makes running values non-deterministic.
 
 A plain window processes each partition key in one task. Every operator here also has
 a range-split form (``ranged=True``) that cuts a large or hot key across tasks; see
-the section "range-split windows" below.
+the section "range-split windows" below. ``ranged="auto"`` measures the largest key
+first (:func:`needs_split`) and splits only when one key would overload a task.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def rank_within(
 
     ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`).
     """
-    if ranged:
+    if _resolve(ranged, df, partition_cols):
         return rank_within_ranged(df, partition_cols, order_cols, kind, name)
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
     return df.withColumn(name or kind, fn().over(_spec(partition_cols, order_cols)).cast("long"))
@@ -72,7 +73,7 @@ def running_total(
 
     ``ranged=True`` splits hot keys over tasks (:func:`running_total_ranged`).
     """
-    if ranged:
+    if _resolve(ranged, df, partition_cols):
         return running_total_ranged(df, partition_cols, order_cols, value_col, name)
     w = _spec(partition_cols, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.sum(money(value_col)).over(w).cast("double"))
@@ -96,7 +97,7 @@ def moving_average(
         avg = F.sum(money(value_col)).over(f).cast("double") / F.count(F.col(value_col)).over(f)
         return {name: round2(avg) if rounded else avg}
 
-    if ranged:
+    if _resolve(ranged, df, partition_cols):
         return bounded_window_ranged(df, partition_cols, order_cols, build, preceding, following)
     return df.withColumns(build(_spec(partition_cols, order_cols)))
 
@@ -119,7 +120,7 @@ def _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged):
     def build(w):
         return {prev_name: F.lag(F.col(value_col), 1).over(w)}
 
-    if ranged:
+    if _resolve(ranged, df, partition_cols):
         return bounded_window_ranged(df, partition_cols, order_cols, build, 1, 0)
     return df.withColumns(build(_spec(partition_cols, order_cols)))
 
@@ -168,6 +169,28 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+HOT_KEY_MIN_ROWS = 1_000_000
+
+
+def needs_split(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
+                min_rows: int = HOT_KEY_MIN_ROWS) -> bool:
+    """True when the largest partition key would overload one task: it holds more than
+    ``min_rows`` rows *and* more than two average partitions' worth of rows.
+
+    One map-side-combined count per key, then a two-number aggregate.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.agg(F.count(F.lit(1)).alias("_n"))
+    biggest, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
+    if not biggest:
+        return False
+    return biggest > max(min_rows, 2 * total / n)
+
+
+def _resolve(ranged, df, keys) -> bool:
+    return needs_split(df, keys) if ranged == "auto" else bool(ranged)
+
+
 def _carry(seg: DataFrame, keys: Sequence[str], metric: str) -> DataFrame:
     """Per (range, key): sum of ``metric`` over the key's earlier ranges; only the
     segments that have earlier ranges (<= one per range) are returned."""

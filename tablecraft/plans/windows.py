@@ -12,8 +12,7 @@ from tablecraft.operators.windows import (
     lag_pct_change,
     moving_average,
     rank_within,
-    running_total_ranged,
-    top_n_per_group,
+    running_total,
 )
 from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import msum, sql
@@ -34,13 +33,13 @@ def q_rank_in_tier(spark, sf):
     """Rank customers in their tier; a tier is split across tasks (few tiers, many
     customers each)."""
     return rank_within(spend_per_customer(spark, sf), ["tier"], [F.col("spend").desc()], "rank",
-                       "rank_in_tier", ranged=True)
+                       "rank_in_tier", ranged="auto")
 
 
 def q_spend_dense_rank(spark, sf):
     """Left join: orders of unknown customers stay in a null-tier group."""
     return rank_within(spend_per_customer(spark, sf, "left"), ["tier"], [F.col("spend").desc()],
-                       "dense_rank", "dense_rank_in_tier", ranged=True)
+                       "dense_rank", "dense_rank_in_tier", ranged="auto")
 
 
 def q_rank_three_ways(spark, sf):
@@ -78,22 +77,22 @@ def q_running_total(spark, sf):
     """Cumulative spend per customer; a customer with a huge history is split across
     tasks by range partitioning (see ``running_total_ranged``)."""
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return running_total_ranged(o, ["customer_id"], ORDER, "amount", "running_total")
+    return running_total(o, ["customer_id"], ORDER, "amount", "running_total", ranged="auto")
 
 
 def q_lag_delta(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta", ranged=True)
+    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta", ranged="auto")
 
 
 def q_lag_pct_change(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change", ranged=True)
+    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change", ranged="auto")
 
 
 def q_moving_avg_7(spark, sf):
     o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7", ranged=True)
+    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7", ranged="auto")
 
 
 QUERIES = {

@@ -67,13 +67,21 @@ def history(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(_history_path(base)).orderBy("version")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def _versions(spark: SparkSession, base: str) -> list:
-    try:
-        return history(spark, base).select("version", "segments").collect()  # metadata rows
-    except Exception as e:  # no history yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return []
-        raise
+    if not _path_exists(spark, _history_path(base)):
+        return []
+    return history(spark, base).select("version", "segments").collect()  # metadata rows
 
 
 def exists(spark: SparkSession, base: str) -> bool:
@@ -161,9 +169,7 @@ def expire_versions(spark: SparkSession, base: str, keep: int = 1) -> list[str]:
     rows = _versions(spark, base)
     live = {s for r in rows[-keep:] for s in r.segments}
     dead = sorted({s for r in rows[:-keep] for s in r.segments} - live)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for s in dead:
-        p = jvm.org.apache.hadoop.fs.Path(f"{base}/segments/{s}")
-        p.getFileSystem(conf).delete(p, True)
+        p, fs = _hadoop_path(spark, f"{base}/segments/{s}")
+        fs.delete(p, True)
     return dead

@@ -135,10 +135,10 @@ ORACLE = {
     "table_compact": _CTE + "SELECT * FROM appended",
     "table_history": _CTE + """
 SELECT * FROM (VALUES
-  (0, 'WRITE', (SELECT COUNT(*) FROM b1)),
-  (1, 'APPEND', (SELECT COUNT(*) FROM appended)),
-  (2, 'MERGE', (SELECT COUNT(*) FROM merged_after_append)),
-  (3, 'DELETE', (SELECT COUNT(*) FROM merged_after_append WHERE NOT COALESCE(status = 'CANCELLED', false))),
-  (4, 'OPTIMIZE', (SELECT COUNT(*) FROM merged_after_append WHERE NOT COALESCE(status = 'CANCELLED', false)))
+  (CAST(0 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM b1)),
+  (CAST(1 AS BIGINT), 'APPEND', (SELECT COUNT(*) FROM appended)),
+  (CAST(2 AS BIGINT), 'MERGE', (SELECT COUNT(*) FROM merged_after_append)),
+  (CAST(3 AS BIGINT), 'DELETE', (SELECT COUNT(*) FROM merged_after_append WHERE NOT COALESCE(status = 'CANCELLED', false))),
+  (CAST(4 AS BIGINT), 'OPTIMIZE', (SELECT COUNT(*) FROM merged_after_append WHERE NOT COALESCE(status = 'CANCELLED', false)))
 ) h(version, operation, row_count)""",
 }

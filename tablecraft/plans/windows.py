@@ -11,6 +11,7 @@ from tablecraft.operators.windows import (
     lag_delta,
     lag_pct_change,
     moving_average,
+    needs_split,
     rank_within,
     running_total,
 )
@@ -43,14 +44,19 @@ def q_spend_dense_rank(spark, sf):
 
 
 def q_rank_three_ways(spark, sf):
+    """rank, dense_rank and row_number side by side over a SQL derived table.
+
+    Tiers are few and large, so the tier size is measured once and, past the hot-key
+    bound, all three rankings are computed with tiers split across tasks.
+    """
     v = f"spend_{uuid.uuid4().hex[:8]}"
     spend_per_customer(spark, sf).createOrReplaceTempView(v)
-    return spark.sql(f"""
-        SELECT customer_id, tier, spend,
-               CAST(RANK() OVER (PARTITION BY tier ORDER BY spend DESC) AS BIGINT) AS rnk,
-               CAST(DENSE_RANK() OVER (PARTITION BY tier ORDER BY spend DESC) AS BIGINT) AS dense_rnk,
-               CAST(ROW_NUMBER() OVER (PARTITION BY tier ORDER BY spend DESC, customer_id) AS BIGINT) AS row_num
-        FROM (SELECT customer_id, tier, spend FROM {v}) t""")
+    spend = spark.sql(f"SELECT customer_id, tier, spend FROM (SELECT customer_id, tier, spend FROM {v}) t")
+    split = needs_split(spend, ["tier"])
+    by_spend = [F.col("spend").desc()]
+    out = rank_within(spend, ["tier"], by_spend, "rank", "rnk", ranged=split)
+    out = rank_within(out, ["tier"], by_spend, "dense_rank", "dense_rnk", ranged=split)
+    return rank_within(out, ["tier"], by_spend + [F.col("customer_id")], "row_number", "row_num", ranged=split)
 
 
 def q_top_customer_per_tier(spark, sf):

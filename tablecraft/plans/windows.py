@@ -22,12 +22,14 @@ ORDER = ["order_date", "order_id"]  # order id breaks date ties
 
 
 def spend_per_customer(spark, sf, how="inner"):
-    """Total order value per customer with the customer's tier (an aggregate of a join)."""
-    o = L.orders_flat(spark, sf)
+    """Total order value per customer with the customer's tier (an aggregate of a join).
+
+    Orders are aggregated per customer *before* the join (name and tier depend on the
+    customer key), so the join and its shuffle see one row per customer.
+    """
+    o = L.orders_flat(spark, sf).groupBy("customer_id").agg(money_sum("amount").alias("spend"))
     c = L.customers(spark, sf).select("customer_id", "customer_name", "tier")
-    return o.join(c, "customer_id", how).groupBy("customer_id", "customer_name", "tier").agg(
-        money_sum("amount").alias("spend")
-    )
+    return o.join(c, "customer_id", how).select("customer_id", "customer_name", "tier", "spend")
 
 
 def q_rank_in_tier(spark, sf):
@@ -67,11 +69,12 @@ def q_top_customer_per_tier(spark, sf):
     return spark.sql(f"""
         WITH order_values AS (
             SELECT customer_id, amount FROM {o}
+        ), spend_by_key AS (
+            SELECT customer_id, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS spend
+            FROM order_values GROUP BY customer_id
         ), customer_spend AS (
-            SELECT c.customer_id, c.customer_name, c.tier,
-                   CAST(SUM(CAST(v.amount AS DECIMAL(18,2))) AS DOUBLE) AS spend
-            FROM order_values v JOIN {c} c ON v.customer_id = c.customer_id
-            GROUP BY c.customer_id, c.customer_name, c.tier
+            SELECT c.customer_id, c.customer_name, c.tier, s.spend
+            FROM spend_by_key s JOIN {c} c ON s.customer_id = c.customer_id
         ), ranked AS (
             SELECT *, RANK() OVER (PARTITION BY tier ORDER BY spend DESC) AS rank_in_tier
             FROM customer_spend

@@ -6,12 +6,14 @@ Layout under ``base``::
     base/segments/<id>/    immutable Parquet data written by one commit
     base/_history/         one row per version: version, operation, segments, row_count
 
-A version is the list of segments it reads. Appends add a segment (no rewrite);
-upsert, delete, schema change and compaction write one new segment holding the whole
-new content (copy-on-write). Segments are never modified, so a reader of version N is
-never disturbed by later commits, and a failed commit leaves no history row (the new
-segment is simply unreferenced). The operators assume a single writer per table:
-there is no concurrent-commit protocol.
+A version is the list of segments it reads. Appends add a segment (no rewrite).
+Upsert and delete find the segments that hold a matched key / a deleted row (a scan of
+the key columns tagged with each row's segment) and rewrite only those into one new
+segment; untouched segments carry over. Schema change and compaction rewrite
+everything (that is their purpose). Segments are never modified, so a reader of
+version N is never disturbed by later commits, and a failed commit leaves no history
+row (the new segment is simply unreferenced). The operators assume a single writer
+per table: there is no concurrent-commit protocol.
 
 The relational cores (:func:`upsert`, :func:`delete_where`) are DataFrame ->
 DataFrame functions usable without the snapshot layout.
@@ -88,6 +90,14 @@ def exists(spark: SparkSession, base: str) -> bool:
     return bool(_versions(spark, base))
 
 
+def _segment_paths(base: str, segments: Sequence[str]) -> list[str]:
+    return [f"{base}/segments/{s}" for s in segments]
+
+
+def _read_segments(spark: SparkSession, base: str, segments: Sequence[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(*_segment_paths(base, segments))
+
+
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """Content at ``version`` (latest if None); columns of all segments are merged."""
     rows = _versions(spark, base)
@@ -96,23 +106,30 @@ def read_version(spark: SparkSession, base: str, version: int | None = None) ->
     row = rows[-1] if version is None else next((r for r in rows if r.version == version), None)
     if row is None:
         raise KeyError(f"{base} has no version {version}")
-    return spark.read.option("mergeSchema", "true").parquet(*[f"{base}/segments/{s}" for s in row.segments])
+    return _read_segments(spark, base, row.segments)
+
+
+def _with_segment(df: DataFrame) -> DataFrame:
+    """Tag each scanned row with the segment its file belongs to."""
+    return df.withColumn("_segment", F.regexp_extract(F.input_file_name(), r"/segments/([0-9a-f]+)/", 1))
+
 
+def _touched(rows_hit: DataFrame) -> list[str]:
+    """Distinct segment ids of the hit rows (at most one row per segment reaches the driver)."""
+    return sorted(r._segment for r in rows_hit.select("_segment").distinct().collect())
 
-def _commit(df: DataFrame, base: str, operation: str, keep_previous: bool) -> int:
-    spark = df.sparkSession
+
+def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[str], spark=None) -> int:
+    """New version = ``carried`` segments + one new segment holding ``df`` (if any)."""
+    spark = spark or df.sparkSession
     rows = _versions(spark, base)
     version = rows[-1].version + 1 if rows else 0
-    segment = uuid.uuid4().hex
-    path = f"{base}/segments/{segment}"
-    df.write.mode("errorifexists").parquet(path)
-    written = spark.read.parquet(path).count()  # Parquet footers only
-    segments = (list(rows[-1].segments) if (rows and keep_previous) else []) + [segment]
-    total = written
-    if keep_previous and rows:
-        total = spark.read.option("mergeSchema", "true").parquet(
-            *[f"{base}/segments/{s}" for s in segments]
-        ).count()
+    segments = list(carried)
+    if df is not None:
+        segment = uuid.uuid4().hex
+        df.write.mode("errorifexists").parquet(f"{base}/segments/{segment}")
+        segments.append(segment)
+    total = _read_segments(spark, base, segments).count() if segments else 0  # Parquet footers
     entry = spark.createDataFrame(
         [(version, operation, segments, total, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
         HISTORY_SCHEMA,
@@ -121,20 +138,36 @@ def _commit(df: DataFrame, base: str, operation: str, keep_previous: bool) -> in
     return version
 
 
+def _latest_segments(spark: SparkSession, base: str) -> list[str]:
+    rows = _versions(spark, base)
+    if not rows:
+        raise FileNotFoundError(f"no table at {base}")
+    return list(rows[-1].segments)
+
+
 def write_version(df: DataFrame, base: str, operation: str = "WRITE") -> int:
     """New version whose content is exactly ``df`` (overwrite; schema may change)."""
-    return _commit(df, base, operation, keep_previous=False)
+    return _commit(df, base, operation, [])
 
 
 def append_version(df: DataFrame, base: str) -> int:
     """New version = previous content plus ``df`` (no rewrite of existing data)."""
-    return _commit(df, base, "APPEND", keep_previous=True)
+    return _commit(df, base, "APPEND", _latest_segments(df.sparkSession, base))
 
 
 def upsert_version(source: DataFrame, base: str, keys: Sequence[str]) -> int:
+    """Merge ``source`` by ``keys``: only segments holding a matched key are rewritten."""
     spark = source.sparkSession
-    merged = upsert(read_version(spark, base), source, keys)
-    return _commit(merged, base, "MERGE", keep_previous=False)
+    keys = list(keys)
+    segments = _latest_segments(spark, base)
+    tagged = _with_segment(_read_segments(spark, base, segments)).select(*keys, "_segment")
+    touched = _touched(tagged.join(source.select(*keys), keys, "left_semi"))
+    carried = [s for s in segments if s not in touched]
+    if touched:
+        merged = upsert(_read_segments(spark, base, touched), source, keys)
+    else:
+        merged = upsert(source.limit(0), source, keys)  # same duplicate-key check
+    return _commit(merged, base, "MERGE", carried)
 
 
 def upsert_or_create(source: DataFrame, base: str, keys: Sequence[str]) -> int:
@@ -145,17 +178,23 @@ def upsert_or_create(source: DataFrame, base: str, keys: Sequence[str]) -> int:
 
 
 def delete_version(spark: SparkSession, base: str, condition: Column) -> int:
-    return _commit(delete_where(read_version(spark, base), condition), base, "DELETE", keep_previous=False)
+    """Delete rows where ``condition`` is true: only segments holding such rows are rewritten."""
+    segments = _latest_segments(spark, base)
+    tagged = _with_segment(_read_segments(spark, base, segments))
+    touched = _touched(tagged.filter(F.coalesce(condition, F.lit(False))))
+    carried = [s for s in segments if s not in touched]
+    rewritten = delete_where(_read_segments(spark, base, touched), condition) if touched else None
+    return _commit(rewritten, base, "DELETE", carried, spark)
 
 
 def add_column_version(spark: SparkSession, base: str, name: str, value: Column) -> int:
     """Schema change: the latest content with one more column, as a new version."""
-    return _commit(read_version(spark, base).withColumn(name, value), base, "ADD COLUMN", keep_previous=False)
+    return _commit(read_version(spark, base).withColumn(name, value), base, "ADD COLUMN", [])
 
 
 def compact(spark: SparkSession, base: str, files: int = 1) -> int:
     """Rewrite the latest content into ``files`` files (no shuffle), same rows."""
-    return _commit(read_version(spark, base).coalesce(files), base, "OPTIMIZE", keep_previous=False)
+    return _commit(read_version(spark, base).coalesce(files), base, "OPTIMIZE", [])
 
 
 def expire_versions(spark: SparkSession, base: str, keep: int = 1) -> list[str]:

@@ -54,3 +54,21 @@ def test_delete_keeps_null_condition_rows(spark):
 def test_expire_keeps_current(spark, tmp):
     with pytest.raises(ValueError):
         V.expire_versions(spark, f"{tmp}/x", keep=0)
+
+
+def test_merge_rewrites_only_touched_segments(spark, tmp):
+    base = f"{tmp}/t"
+    V.write_version(spark.createDataFrame(V1, SCHEMA), base)  # keys 1-5
+    V.append_version(spark.createDataFrame([(6, "PENDING", 6.0), (7, "PENDING", 7.0)], SCHEMA), base)
+    first, appended = V.history(spark, base).collect()[-1].segments
+    V.upsert_version(spark.createDataFrame([(7, "COMPLETED", 7.0), (8, "PENDING", 8.0)], SCHEMA), base, ["order_id"])
+    segs = V.history(spark, base).collect()[-1].segments
+    assert first in segs and appended not in segs and len(segs) == 2
+    latest = {r.order_id: r.status for r in V.read_version(spark, base).collect()}
+    assert latest == {1: "PENDING", 2: "PENDING", 3: "PENDING", 4: "PENDING", 5: "PENDING",
+                      6: "PENDING", 7: "COMPLETED", 8: "PENDING"}
+    V.delete_version(spark, base, F.col("order_id") == 8)
+    segs_after = V.history(spark, base).collect()[-1].segments
+    assert first in segs_after and V.read_version(spark, base).count() == 7
+    V.delete_version(spark, base, F.col("order_id") == 99)  # nothing matches: nothing rewritten
+    assert V.history(spark, base).collect()[-1].segments == segs_after

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft.operators.aggregates import key_skew

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions import udfs
-from tablecraft.functions.columns import discount, money_mean, money_sum, order_category, parse_date, round2
+from tablecraft.functions.columns import discount, money_sum, order_category, parse_date, round2
 from tablecraft.operators.aggregates import null_audit, revenue_summary, summary_stats
 from tablecraft.operators.joins import bounded_broadcast
 from tablecraft.plans import logical as L

@@ -7,7 +7,6 @@ import shutil
 from pyspark.sql import functions as F
 
 from tablecraft.streaming.jobs import (
-    EVENTS_SCHEMA,
     flag_large,
     high_value_alerts,
     run_to_files,

@@ -90,14 +90,14 @@ def salted_join(
         big_s = big.withColumn("_salt", salt_of_row)
         small_s = small.withColumn("_salt", F.explode(all_salts))
     else:
-        flag = hot.select(*keys).distinct().withColumn("_hot", F.lit(True))
+        flag = bounded_broadcast(hot.select(*keys).distinct().withColumn("_hot", F.lit(True)))
         big_s = (
-            big.join(F.broadcast(flag), keys, "left")
+            big.join(flag, keys, "left")
             .withColumn("_salt", F.when(F.col("_hot"), salt_of_row).otherwise(F.lit(0)))
             .drop("_hot")
         )
         small_s = (
-            small.join(F.broadcast(flag), keys, "left")
+            small.join(flag, keys, "left")
             .withColumn(
                 "_salt",
                 F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))),

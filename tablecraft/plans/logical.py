@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import status_from_code
 from tablecraft.operators.dedup import scd2_build
+from tablecraft.operators.joins import bounded_broadcast
 from tablecraft.operators.nested import nest_items
 
 TABLES = [
@@ -86,8 +87,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer x nation: (customer_id, customer_name, city, tier)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row code table: a broadcast whose size cannot grow
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    # nation is a small code table; broadcast only after the row-count probe
+    return c.join(bounded_broadcast(n, 10_000), c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("n_name").alias("city"),
@@ -183,6 +184,38 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payment documents already flat: one row per order line, orders without
+    lines once with null item fields. Same rows as ``explode_outer`` over
+    :func:`transactions`, but no order's lines are ever gathered into one row."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    lines = li.join(p, li.l_partkey == p.p_partkey).select(
+        "l_orderkey",
+        F.col("p_retailprice").alias("price"),
+        F.col("p_type").alias("product"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+    )
+    cust = customers(spark, sf_dir)
+    return (
+        o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+        .join(cust, o.o_custkey == cust.customer_id, "left")
+        .select(
+            "price", "product", "quantity", "city", "customer_name", "tier",
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("event_timestamp"),
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_totalprice").alias("amount"),
+            F.col("o_orderpriority").alias("payment_method"),
+            payment_status().alias("payment_status"),
+        )
+        .withColumn("line_value", F.col("price") * F.col("quantity"))
+    )
+
+
 def channel(key: str = "o_orderkey"):
     k = F.col(key) % 3
     return F.when(k == 0, "WEB").when(k == 1, "APP").otherwise("STORE")

@@ -38,3 +38,10 @@ def test_running_revenue_is_monotone(spark, sf):
     assert rr.filter(F.col("line_value") < 0).count() == 0
     final = rr.groupBy("customer_name").agg(F.max("running_revenue").alias("m"), F.sum("line_value").alias("s"))
     assert final.filter(F.abs(F.col("m") - F.col("s")) > 1e-6).count() == 0
+
+
+def test_flat_lines_equal_flattened_documents(spark, sf):
+    flat = e2e.correlated(spark, sf)
+    nested = e2e.correlated(spark, sf, nested=True).select(*flat.columns)
+    assert flat.count() == nested.count()
+    assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0

@@ -46,7 +46,7 @@ def _orders_text(spark, sf, bad_price: bool = False):
 def q_scan_csv_infer(spark, sf):
     """CSV with header, types inferred; widened to stable types for the result."""
     path = write_csv(_orders_text(spark, sf), scratch_path(spark, "orders_csv"))
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, options={"header": "true", "inferSchema": "true", "sep": ","})
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDER_SCHEMA.fields])
 
 

@@ -45,3 +45,16 @@ def test_flat_lines_equal_flattened_documents(spark, sf):
     nested = e2e.correlated(spark, sf, nested=True).select(*flat.columns)
     assert flat.count() == nested.count()
     assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
+
+
+def test_job_with_sinks(spark, sf, tmp):
+    out = e2e.run_order_payment_job(spark, sf, tmp, processing_day="2024-01-15")
+    c = out["counts"]
+    assert c["good"] + c["bad"] == c["raw"] and c["kept"] <= c["good"]
+    q = spark.read.parquet(out["paths"]["quarantine"])
+    assert q.count() == c["bad"] and {str(r.quarantine_date) for r in q.select("quarantine_date").distinct().collect()} == {"2024-01-15"}
+    report = {r.tier: r.total_revenue for r in spark.read.parquet(out["paths"]["report"]).collect()}
+    expected = {r.tier: r.total_revenue for r in e2e.revenue_by_tier(e2e.correlated(spark, sf)).collect()}
+    assert report == expected
+    corr = spark.read.parquet(out["paths"]["correlated"])
+    assert corr.count() == e2e.correlated(spark, sf).count()

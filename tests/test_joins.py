@@ -69,3 +69,19 @@ def test_skew_join_plan(spark, sf):
         for k in ("skewedPartitionThresholdInBytes", "skewedPartitionFactor"):
             spark.conf.unset(f"spark.sql.adaptive.skewJoin.{k}")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_adaptive_plan_switches_to_broadcast(spark, sf):
+    """No static broadcast; AQE sees the small customer side at runtime (10 MB)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
+    try:
+        df = J.q_join_inner(spark, sf)
+        static = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=false" in static and "SortMergeJoin" in static
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "BroadcastHashJoin" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

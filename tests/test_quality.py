@@ -74,3 +74,14 @@ def test_clean_and_overview(spark):
     ov = dq_overview(df, order_rules(), "order_id").first()
     assert ov.total == 12 and ov.good + ov.bad == 12
     assert ov.duplicates_removed == good.count() - clean.count()
+
+
+def test_summary_stats_agree_with_describe(spark, sf):
+    from tablecraft.operators.aggregates import summary_stats
+
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    ours = {r.stat: r.value for r in summary_stats(o, ["o_totalprice"]).collect()}
+    theirs = {r.summary: r.o_totalprice for r in o.select("o_totalprice").summary("count", "min", "max", "mean").collect()}
+    assert ours["count"] == float(theirs["count"]) and ours["min"] == float(theirs["min"])
+    assert ours["max"] == float(theirs["max"]) and abs(ours["mean"] - float(theirs["mean"])) < 1e-6
+    assert ours["p25"] <= ours["p50"] <= ours["p75"]

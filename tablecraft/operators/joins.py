@@ -56,15 +56,17 @@ def join(
     return left.join(right, on, how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.05) -> DataFrame:
-    """Keys holding at least ``min_share`` of all rows: at most ``1/min_share`` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.05) -> list[tuple]:
+    """Keys holding at least ``min_share`` of all rows, as a list of key tuples.
 
-    Counting is a partial (map-side combined) aggregation, so a hot key never reaches a
-    single task as raw rows.
+    There are at most ``1/min_share`` of them (20 by default), so the list is a proven
+    small bound and comes to the driver once. Counting is a partial (map-side
+    combined) aggregation, so a hot key never reaches a single task as raw rows.
     """
-    total = df.count()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(1, int(total * min_share))
-    return df.groupBy(*keys).count().filter(F.col("count") >= threshold).select(*keys)
+    return [tuple(r) for r in counts.filter(F.col("_n") >= threshold).select(*keys).collect()]
 
 
 def salted_join(
@@ -73,13 +75,14 @@ def salted_join(
     keys: Sequence[str],
     salts: int = 8,
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys`` with hot keys of ``big`` split ``salts`` ways.
 
-    ``hot`` lists the keys to split (see :func:`hot_keys`; its size is bounded by
-    construction). Without it every key is salted and ``small`` is replicated
-    ``salts`` times. Supported ``how``: inner, left (outer side = ``big``).
+    ``hot`` lists the key tuples to split (see :func:`hot_keys`, whose size is bounded
+    by construction); they are matched with an ``isin`` expression, no extra join.
+    Without it every key is salted and ``small`` is replicated ``salts`` times.
+    Supported ``how``: inner, left (outer side = ``big``).
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join keeps big as the preserved side: inner or left")
@@ -90,19 +93,22 @@ def salted_join(
         big_s = big.withColumn("_salt", salt_of_row)
         small_s = small.withColumn("_salt", F.explode(all_salts))
     else:
-        flag = bounded_broadcast(hot.select(*keys).distinct().withColumn("_hot", F.lit(True)))
-        big_s = (
-            big.join(flag, keys, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), salt_of_row).otherwise(F.lit(0)))
-            .drop("_hot")
-        )
-        small_s = (
-            small.join(flag, keys, "left")
-            .withColumn(
-                "_salt",
-                F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))),
-            )
-            .drop("_hot")
+        def is_hot(df: DataFrame):
+            if not hot:
+                return F.lit(False)
+            if len(keys) == 1:
+                return F.coalesce(F.col(keys[0]).isin([k[0] for k in hot]), F.lit(False))
+            cond = F.lit(False)
+            for k in hot:
+                match = F.lit(True)
+                for name, value in zip(keys, k):
+                    match = match & F.col(name).eqNullSafe(F.lit(value))
+                cond = cond | match
+            return cond
+
+        big_s = big.withColumn("_salt", F.when(is_hot(big), salt_of_row).otherwise(F.lit(0)))
+        small_s = small.withColumn(
+            "_salt", F.explode(F.when(is_hot(small), all_salts).otherwise(F.array(F.lit(0))))
         )
     return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
 

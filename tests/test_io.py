@@ -44,3 +44,14 @@ def test_layouts(spark, sf):
     with cached(o) as c:
         assert c.is_cached and c.count() == o.count()
     assert not o.is_cached
+
+
+def test_scale_settings():
+    from tablecraft.config import scale_settings
+
+    small = scale_settings(40 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_settings(100 * 10**12, 8000)  # 100 TB on 1000 executors x 8 cores
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 100 * 10**12 / n <= 2 * 256 * 2**20
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -13,11 +13,13 @@ from tablecraft.plans import logical as L
 from tablecraft.sources.readers import read_json, read_parquet
 from tablecraft.sources.scratch import scratch_path
 from tablecraft.streaming.jobs import (
+    export_transactions_json,
     flag_large,
     high_value_alerts,
     run_foreach_batch,
     run_to_files,
     to_transactions,
+    transactions_json_stream,
     transactions_stream,
     tumbling_totals,
 )
@@ -56,10 +58,17 @@ def q_stream_upsert_agg(spark, sf):
     return V.read_version(spark, base)
 
 
+def _json_feed(spark, sf):
+    """The events table exported as JSON-line transaction files (a Spark write)."""
+    return export_transactions_json(L.table(spark, sf, "events"), scratch_path(spark, "tx_json"))
+
+
 def q_stream_filter_append(spark, sf):
-    """Stateless filter + flag, appended to a JSON file sink."""
+    """JSON file stream (one file per trigger, text event time parsed) -> stateless
+    filter + flag -> JSON file sink."""
     out, chk = scratch_path(spark, "stream_large"), scratch_path(spark, "chk_large")
-    q = run_to_files(flag_large(transactions_stream(spark, sf), LARGE_AMOUNT), out, chk, fmt="json")
+    src = transactions_json_stream(spark, _json_feed(spark, sf))
+    q = run_to_files(flag_large(src, LARGE_AMOUNT), out, chk, fmt="json")
     q.awaitTermination()
     back = read_json(spark, out, "transaction_id long, customer_id long, amount double, status string, is_large boolean")
     return back
@@ -68,7 +77,8 @@ def q_stream_filter_append(spark, sf):
 def q_stream_threshold_alert(spark, sf):
     """High-value alerts to a JSON sink; the processing-time stamp is not returned."""
     out, chk = scratch_path(spark, "stream_alerts"), scratch_path(spark, "chk_alerts")
-    q = run_to_files(high_value_alerts(transactions_stream(spark, sf), ALERT_AMOUNT), out, chk, fmt="json")
+    src = transactions_json_stream(spark, _json_feed(spark, sf))
+    q = run_to_files(high_value_alerts(src, ALERT_AMOUNT), out, chk, fmt="json")
     q.awaitTermination()
     return read_json(spark, out, "transaction_id long, customer_id long, amount double, alert_type string")
 

@@ -87,3 +87,21 @@ def test_two_concurrent_queries(spark, sf, tmp):
     assert not q1.isActive and not q2.isActive
     alerts = spark.read.parquet(f"{tmp}/o2")
     assert alerts.filter("amount < 250.0").count() == 0 and alerts.count() > 0
+
+
+def test_json_stream_parses_event_time(spark, tmp):
+    import datetime as dt
+
+    from tablecraft.streaming.jobs import transactions_json_stream
+
+    src = f"{tmp}/json_in"
+    os.makedirs(src)
+    with open(f"{src}/part-0.json", "w") as f:
+        f.write('{"transaction_id": 1, "customer_id": 1, "amount": 75000.0, "status": "SUCCESS", '
+                '"event_time": "2024-01-15 10:00:00.000000"}\n')
+        f.write('{"transaction_id": 3, "customer_id": 1, "amount": 15000.0, "status": "FAILED", '
+                '"event_time": "not a time"}\n')
+    q = run_to_files(transactions_json_stream(spark, src), f"{tmp}/out", f"{tmp}/chk")
+    q.awaitTermination()
+    got = {r.transaction_id: r.event_timestamp for r in spark.read.parquet(f"{tmp}/out").collect()}
+    assert got[1] == dt.datetime(2024, 1, 15, 10, 0) and got[3] is None

@@ -85,8 +85,12 @@ def q_key_skew(spark, sf):
 
 
 def q_bucketed_join(spark, sf, buckets: int | None = None):
-    """Both sides bucketed and sorted on the customer key: the join has no exchange."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Both sides bucketed and sorted on the customer key: the join has no exchange.
+
+    Default bucket count: the shuffle partition count, at most 1024 (bucket files stay
+    large on big tables).
+    """
+    n = buckets or min(1024, int(spark.conf.get("spark.sql.shuffle.partitions")))
     o = L.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = L.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     ot = write_bucketed(o.withColumnRenamed("o_custkey", "custkey"), "bucketed_orders", n, "custkey")

@@ -85,13 +85,17 @@ def write_bucketed(
 
     Two tables bucketed the same way on the join key join without an exchange. The
     table is external (its files live at ``path``, by default under the shared
-    scratch folder) so its data outlives the session catalog.
+    scratch folder) so its data outlives the session catalog. The rows are first
+    hash-partitioned on ``key`` into ``buckets`` partitions (the same hash as
+    bucketing), so each write task holds one bucket and writes one file: ``buckets``
+    files instead of tasks x buckets.
     """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:8]}"
     location = path or scratch_path(spark, table)
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
         .bucketBy(buckets, key)
         .sortBy(key)
         .option("path", location)

@@ -76,3 +76,12 @@ def test_persist_levels(spark):
     finally:
         df.unpersist()
     assert df.storageLevel == StorageLevel.NONE
+
+
+def test_bucketed_write_one_file_per_bucket(spark, tmp):
+    import os
+
+    df = spark.range(10_000).withColumn("k", F.col("id") % 97).repartition(13)
+    write_bucketed(df, "tc_files", 8, "k", path=f"{tmp}/b")
+    files = [f for f in os.listdir(f"{tmp}/b") if f.endswith(".parquet")]
+    assert len(files) <= 8

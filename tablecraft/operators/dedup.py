@@ -1,9 +1,8 @@
 """Deduplication and slowly-changing-dimension (type 2) operators.
 
-``dedup_latest`` is an aggregation, not a window: ``max(struct(order..., rest...))``
-per key picks the latest row, ties broken by the remaining columns. Spark combines it
-map-side, so a key repeated a billion times is reduced inside every input task before
-the shuffle instead of being sorted in one task.
+``dedup_latest`` is ``row_number() = 1`` over the key, which Spark plans with a partial
+window group limit before the shuffle: each input task keeps one row per key, so a hot
+key is reduced map-side instead of being sorted whole in one task.
 """
 
 from __future__ import annotations
@@ -34,23 +33,20 @@ def dedup_latest(
     """Keep the row with the greatest ``order_cols`` per key.
 
     ``order_cols`` may be column expressions (e.g. a parsed date). Ties are broken by
-    ``tie_breakers`` (default: every other column, in order), so the survivor is
-    deterministic. Null order values lose to non-null ones.
+    ``tie_breakers`` (default: every other column, in order, greatest first), so the
+    survivor is deterministic. Null order values lose to non-null ones.
+
+    Planned as ``row_number() = 1``: Spark inserts a partial window group limit
+    *before* the shuffle, so every map task forwards at most one row per key and a key
+    repeated a billion times never reaches one task whole.
     """
     keys = list(keys)
-    ordering = []
-    for i, c in enumerate(order_cols):
-        ordering.append((F.col(c) if isinstance(c, str) else c).alias(f"_o{i}"))
     rest = [c for c in df.columns if c not in keys]
     tie = list(tie_breakers) if tie_breakers is not None else rest
-    payload = ordering + [F.col(c).alias(f"_t_{c}") for c in tie]
-    payload += [F.col(c) for c in rest if c not in tie]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_best"))
-    cols = [F.col(k) for k in keys]
-    for c in rest:
-        src = f"_best._t_{c}" if c in tie else f"_best.{c}"
-        cols.append(F.col(src).alias(c))
-    return best.select(*cols).select(*df.columns)
+    ordering = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order_cols]
+    ordering += [F.col(c).desc_nulls_last() for c in tie]
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def scd2_build(

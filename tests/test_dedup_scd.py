@@ -88,3 +88,12 @@ def test_sweep_equals_interval_join_on_hot_key(spark):
     plain = temporal_join(fact, dim, ["customer_id"], "event_date", method="join").select(*sweep.columns)
     assert sweep.count() == fact.count()
     assert sweep.exceptAll(plain).count() == 0 and plain.exceptAll(sweep).count() == 0
+
+
+def test_dedup_latest_limits_before_the_shuffle(spark, sf):
+    from tablecraft.plans import logical as L
+
+    df = dedup_latest(L.orders_dupes(spark, sf), ["order_id", "line_no"], ["updated_at"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[exchange:]  # partial limit below the shuffle

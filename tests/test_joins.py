@@ -85,3 +85,17 @@ def test_adaptive_plan_switches_to_broadcast(spark, sf):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_salt_range_and_replication(spark):
+    big = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 0), (3, 0)], "k int, v int")
+    small = spark.createDataFrame([(1, "hot"), (2, "x"), (3, "y")], "k int, name string")
+    out = salted_join(big, small, ["k"], salts=3, hot=[(1,)])
+    assert out.count() == big.count()
+    # internals: hot rows spread over salts 0..2, the hot small row is replicated 3 times
+    salted = big.withColumn("_s", F.pmod(F.xxhash64(*big.columns), F.lit(3)))
+    assert {r._s for r in salted.filter("k = 1").select("_s").distinct().collect()} == {0, 1, 2}
+    replicated = small.withColumn(
+        "_salt", F.explode(F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0))))
+    )
+    assert replicated.filter("k = 1").count() == 3 and replicated.filter("k <> 1").count() == 2

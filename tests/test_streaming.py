@@ -105,3 +105,29 @@ def test_json_stream_parses_event_time(spark, tmp):
     q.awaitTermination()
     got = {r.transaction_id: r.event_timestamp for r in spark.read.parquet(f"{tmp}/out").collect()}
     assert got[1] == dt.datetime(2024, 1, 15, 10, 0) and got[3] is None
+
+
+STREAM_ROWS = [
+    (1, 1, 75000.0, "SUCCESS", "2024-01-15 10:00:00.000000"),
+    (2, 2, 25000.0, "SUCCESS", "2024-01-15 10:01:00.000000"),
+    (3, 1, 15000.0, "FAILED", "2024-01-15 10:02:00.000000"),
+    (4, 3, 120000.0, "SUCCESS", "2024-01-15 10:03:00.000000"),
+    (5, 2, 8000.0, "SUCCESS", "2024-01-15 10:04:00.000000"),
+]
+
+
+def test_five_row_transaction_stream(spark, tmp):
+    from tablecraft.streaming.jobs import TX_JSON_SCHEMA, transactions_json_stream
+
+    src = f"{tmp}/feed"
+    spark.createDataFrame(STREAM_ROWS, TX_JSON_SCHEMA).coalesce(1).write.json(src)
+    tx = transactions_json_stream(spark, src)
+    q1 = run_to_files(flag_large(tx, 50000.0), f"{tmp}/large", f"{tmp}/c1")
+    q2 = run_to_files(high_value_alerts(tx, 100000.0), f"{tmp}/alerts", f"{tmp}/c2")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    large = {r.transaction_id: r.is_large for r in spark.read.parquet(f"{tmp}/large").collect()}
+    assert 3 not in large and large[1] is True and large[2] is False and len(large) == 4
+    alerts = spark.read.parquet(f"{tmp}/alerts").collect()
+    assert [a.transaction_id for a in alerts] == [4] and alerts[0].alert_type == "HIGH_VALUE_TRANSACTION"
+    assert alerts[0].alert_time is not None

@@ -51,7 +51,12 @@ def q_stream_upsert_agg(spark, sf):
     base, chk = scratch_path(spark, "stream_window_table"), scratch_path(spark, "chk_upsert")
 
     def upsert_batch(batch, _batch_id):
-        V.upsert_or_create(batch, base, ["window_start"])
+        # the batch feeds the touched-segment scan, the key check and the merge
+        batch.persist()
+        try:
+            V.upsert_or_create(batch, base, ["window_start"])
+        finally:
+            batch.unpersist()
 
     q = run_foreach_batch(tumbling_totals(transactions_stream(spark, sf), WINDOW, LATENESS), upsert_batch, chk)
     q.awaitTermination()

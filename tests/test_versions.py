@@ -72,3 +72,14 @@ def test_merge_rewrites_only_touched_segments(spark, tmp):
     assert first in segs_after and V.read_version(spark, base).count() == 7
     V.delete_version(spark, base, F.col("order_id") == 99)  # nothing matches: nothing rewritten
     assert V.history(spark, base).collect()[-1].segments == segs_after
+
+
+def test_delete_emptying_a_segment(spark, tmp):
+    base = f"{tmp}/e"
+    V.write_version(spark.createDataFrame(V1, SCHEMA), base)
+    V.append_version(spark.createDataFrame([(6, "CANCELLED", 6.0)], SCHEMA), base)
+    V.delete_version(spark, base, F.col("status") == "CANCELLED")  # empties the appended segment
+    latest = V.read_version(spark, base)
+    assert latest.count() == 5 and latest.columns == ["order_id", "status", "amount"]
+    V.delete_version(spark, base, F.lit(True))  # everything
+    assert V.read_version(spark, base).count() == 0

@@ -80,14 +80,21 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _versions(spark: SparkSession, base: str) -> list:
+def _version_row(spark: SparkSession, base: str, version: int | None = None):
+    """The history row of ``version`` (latest if None), or None. Only that one row
+    comes to the driver, however long the history is."""
     if not _path_exists(spark, _history_path(base)):
-        return []
-    return history(spark, base).select("version", "segments").collect()  # metadata rows
+        return None
+    h = spark.read.schema(HISTORY_SCHEMA).parquet(_history_path(base)).select("version", "segments")
+    if version is None:
+        rows = h.orderBy(F.col("version").desc()).limit(1).collect()
+    else:
+        rows = h.filter(F.col("version") == version).limit(1).collect()
+    return rows[0] if rows else None
 
 
 def exists(spark: SparkSession, base: str) -> bool:
-    return bool(_versions(spark, base))
+    return _version_row(spark, base) is not None
 
 
 def _segment_paths(base: str, segments: Sequence[str]) -> list[str]:
@@ -100,11 +107,10 @@ def _read_segments(spark: SparkSession, base: str, segments: Sequence[str]) -> D
 
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """Content at ``version`` (latest if None); columns of all segments are merged."""
-    rows = _versions(spark, base)
-    if not rows:
-        raise FileNotFoundError(f"no table at {base}")
-    row = rows[-1] if version is None else next((r for r in rows if r.version == version), None)
+    row = _version_row(spark, base, version)
     if row is None:
+        if not exists(spark, base):
+            raise FileNotFoundError(f"no table at {base}")
         raise KeyError(f"{base} has no version {version}")
     return _read_segments(spark, base, row.segments)
 
@@ -122,8 +128,8 @@ def _touched(rows_hit: DataFrame) -> list[str]:
 def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[str], spark=None) -> int:
     """New version = ``carried`` segments + one new segment holding ``df`` (if any)."""
     spark = spark or df.sparkSession
-    rows = _versions(spark, base)
-    version = rows[-1].version + 1 if rows else 0
+    last = _version_row(spark, base)
+    version = last.version + 1 if last is not None else 0
     segments = list(carried)
     if df is not None:
         segment = uuid.uuid4().hex
@@ -139,10 +145,10 @@ def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[s
 
 
 def _latest_segments(spark: SparkSession, base: str) -> list[str]:
-    rows = _versions(spark, base)
-    if not rows:
+    row = _version_row(spark, base)
+    if row is None:
         raise FileNotFoundError(f"no table at {base}")
-    return list(rows[-1].segments)
+    return list(row.segments)
 
 
 def write_version(df: DataFrame, base: str, operation: str = "WRITE") -> int:
@@ -205,9 +211,15 @@ def expire_versions(spark: SparkSession, base: str, keep: int = 1) -> list[str]:
     """
     if keep < 1:
         raise ValueError("keep must be >= 1")
-    rows = _versions(spark, base)
-    live = {s for r in rows[-keep:] for s in r.segments}
-    dead = sorted({s for r in rows[:-keep] for s in r.segments} - live)
+    last = _version_row(spark, base)
+    if last is None:
+        return []
+    cutoff = last.version - keep + 1
+    segs = history(spark, base).select("version", F.explode("segments").alias("segment"))
+    live = segs.filter(F.col("version") >= cutoff).select("segment")
+    old = segs.filter(F.col("version") < cutoff).select("segment")
+    # only the segment ids to delete reach the driver
+    dead = sorted(r.segment for r in old.subtract(live).collect())
     for s in dead:
         p, fs = _hadoop_path(spark, f"{base}/segments/{s}")
         fs.delete(p, True)

@@ -240,6 +240,9 @@ def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URGENT = "1-URGENT"  # order priority whose orders arrive in two versions
+
+
 def channel(key: str = "o_orderkey"):
     k = F.col(key) % 3
     return F.when(k == 0, "WEB").when(k == 1, "APP").otherwise("STORE")
@@ -247,8 +250,8 @@ def channel(key: str = "o_orderkey"):
 
 def orders_dirty_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipeline input: every order as CSV-like text rows with injected faults, plus an
-    older PENDING copy (one day earlier) of every tenth order, so keep-latest matters.
-    ``order_date`` is text ``dd-MM-yyyy``."""
+    earlier PENDING version (one day before) of every urgent order, so keep-latest
+    matters. ``order_date`` is text ``dd-MM-yyyy``."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
@@ -263,8 +266,10 @@ def orders_dirty_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("o_orderdate").alias("_d"),
         channel().alias("channel"),
     )
-    older = base.filter(F.col("order_id") % 10 == 0).withColumn("status", F.lit("PENDING")).withColumn(
-        "_d", F.date_sub("_d", 1)
+    older = (
+        base.filter(F.col("product_category") == URGENT)
+        .withColumn("status", F.lit("PENDING"))
+        .withColumn("_d", F.date_sub("_d", 1))
     )
     return base.unionByName(older).select(
         "order_id", "customer_id", "product_category", "total_amount", "status",

@@ -98,7 +98,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
           UNION ALL
           SELECT order_id, customer_id, product_category, total_amount, 'PENDING' AS status,
                  CAST(d - INTERVAL 1 DAY AS DATE) AS d, channel
-          FROM orders_dirty_v2_base WHERE order_id % 10 = 0) u"""),
+          FROM orders_dirty_v2_base WHERE product_category = '1-URGENT') u"""),
     "orders_skewed": ([], f"""
     SELECT o_orderkey AS order_id,
            CASE WHEN o_orderkey % 3 < 2 THEN CAST(1 AS BIGINT) ELSE o_custkey END AS customer_id,

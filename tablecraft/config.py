@@ -25,7 +25,8 @@ def scale_settings(
       waves of the available cores); AQE then coalesces small partitions to the advisory
       size and splits skewed ones (a partition over 5x the median and 4x the target);
     * broadcasts: the static threshold stays at Spark's 10 MB and AQE may broadcast a side
-      it measured below 64 MB at runtime.
+      it measured below 64 MB at runtime;
+    * streaming state: RocksDB state store.
     """
     n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
     n = min(max_shuffle_partitions, n)
@@ -41,6 +42,10 @@ def scale_settings(
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.session.timeZone": "UTC",
+        # streaming state (window aggregates) in RocksDB: spills to local disk and
+        # checkpoints changes, instead of holding all state on the executor heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 

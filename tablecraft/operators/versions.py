@@ -125,10 +125,16 @@ def _touched(rows_hit: DataFrame) -> list[str]:
     return sorted(r._segment for r in rows_hit.select("_segment").distinct().collect())
 
 
-def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[str], spark=None) -> int:
-    """New version = ``carried`` segments + one new segment holding ``df`` (if any)."""
+_UNSET = object()
+
+
+def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[str], spark=None,
+            last=_UNSET) -> int:
+    """New version = ``carried`` segments + one new segment holding ``df`` (if any).
+    ``last`` is the current latest history row when the caller already has it."""
     spark = spark or df.sparkSession
-    last = _version_row(spark, base)
+    if last is _UNSET:
+        last = _version_row(spark, base)
     version = last.version + 1 if last is not None else 0
     segments = list(carried)
     if df is not None:
@@ -144,11 +150,11 @@ def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[s
     return version
 
 
-def _latest_segments(spark: SparkSession, base: str) -> list[str]:
+def _latest(spark: SparkSession, base: str):
     row = _version_row(spark, base)
     if row is None:
         raise FileNotFoundError(f"no table at {base}")
-    return list(row.segments)
+    return row
 
 
 def write_version(df: DataFrame, base: str, operation: str = "WRITE") -> int:
@@ -158,14 +164,16 @@ def write_version(df: DataFrame, base: str, operation: str = "WRITE") -> int:
 
 def append_version(df: DataFrame, base: str) -> int:
     """New version = previous content plus ``df`` (no rewrite of existing data)."""
-    return _commit(df, base, "APPEND", _latest_segments(df.sparkSession, base))
+    last = _latest(df.sparkSession, base)
+    return _commit(df, base, "APPEND", list(last.segments), last=last)
 
 
-def upsert_version(source: DataFrame, base: str, keys: Sequence[str]) -> int:
+def upsert_version(source: DataFrame, base: str, keys: Sequence[str], last=None) -> int:
     """Merge ``source`` by ``keys``: only segments holding a matched key are rewritten."""
     spark = source.sparkSession
     keys = list(keys)
-    segments = _latest_segments(spark, base)
+    last = last or _latest(spark, base)
+    segments = list(last.segments)
     tagged = _with_segment(_read_segments(spark, base, segments)).select(*keys, "_segment")
     touched = _touched(tagged.join(source.select(*keys), keys, "left_semi"))
     carried = [s for s in segments if s not in touched]
@@ -173,24 +181,26 @@ def upsert_version(source: DataFrame, base: str, keys: Sequence[str]) -> int:
         merged = upsert(_read_segments(spark, base, touched), source, keys)
     else:
         merged = upsert(source.limit(0), source, keys)  # same duplicate-key check
-    return _commit(merged, base, "MERGE", carried)
+    return _commit(merged, base, "MERGE", carried, last=last)
 
 
 def upsert_or_create(source: DataFrame, base: str, keys: Sequence[str]) -> int:
     """Merge into an existing table, or create it from ``source``."""
-    if exists(source.sparkSession, base):
-        return upsert_version(source, base, keys)
-    return write_version(source, base)
+    last = _version_row(source.sparkSession, base)
+    if last is not None:
+        return upsert_version(source, base, keys, last=last)
+    return _commit(source, base, "WRITE", [], last=None)
 
 
 def delete_version(spark: SparkSession, base: str, condition: Column) -> int:
     """Delete rows where ``condition`` is true: only segments holding such rows are rewritten."""
-    segments = _latest_segments(spark, base)
+    last = _latest(spark, base)
+    segments = list(last.segments)
     tagged = _with_segment(_read_segments(spark, base, segments))
     touched = _touched(tagged.filter(F.coalesce(condition, F.lit(False))))
     carried = [s for s in segments if s not in touched]
     rewritten = delete_where(_read_segments(spark, base, touched), condition) if touched else None
-    return _commit(rewritten, base, "DELETE", carried, spark)
+    return _commit(rewritten, base, "DELETE", carried, spark, last=last)
 
 
 def add_column_version(spark: SparkSession, base: str, name: str, value: Column) -> int:

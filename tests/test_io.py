@@ -55,3 +55,10 @@ def test_scale_settings():
     n = int(big["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 100 * 10**12 / n <= 2 * 256 * 2**20
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_scale_settings_state_store():
+    from tablecraft.config import scale_settings
+
+    assert "spark.sql.streaming.stateStore.providerClass" not in scale_settings(40 * 2**20, 8)
+    assert "RocksDB" in scale_settings(100 * 10**12, 8000)["spark.sql.streaming.stateStore.providerClass"]

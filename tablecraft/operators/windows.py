@@ -32,11 +32,12 @@ def rank_within(
     order_cols: OrderSpec,
     kind: str = "rank",
     name: str | None = None,
-    ranged: bool = False,
+    ranged: bool | str = False,
 ) -> DataFrame:
     """Add ``rank`` / ``dense_rank`` / ``row_number`` (as bigint) within partitions.
 
-    ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`).
+    ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`);
+    ``ranged="auto"`` does so only when :func:`needs_split` finds an oversized key.
     """
     if _resolve(ranged, df, partition_cols):
         return rank_within_ranged(df, partition_cols, order_cols, kind, name)
@@ -67,7 +68,7 @@ def running_total(
     order_cols: OrderSpec,
     value_col: str,
     name: str = "running_total",
-    ranged: bool = False,
+    ranged: bool | str = False,
 ) -> DataFrame:
     """Exact cumulative sum, frame ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
 
@@ -88,7 +89,7 @@ def moving_average(
     following: int = 3,
     name: str = "moving_avg",
     rounded: bool = True,
-    ranged: bool = False,
+    ranged: bool | str = False,
 ) -> DataFrame:
     """Centred moving average over ``ROWS BETWEEN -preceding AND +following``."""
 
@@ -109,7 +110,7 @@ def lag_delta(
     value_col: str,
     prev_name: str = "prev_value",
     delta_name: str = "delta",
-    ranged: bool = False,
+    ranged: bool | str = False,
 ) -> DataFrame:
     """Previous value in the partition (null at the first row) and the difference."""
     out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)
@@ -132,7 +133,7 @@ def lag_pct_change(
     value_col: str,
     prev_name: str = "prev_value",
     pct_name: str = "pct_change",
-    ranged: bool = False,
+    ranged: bool | str = False,
 ) -> DataFrame:
     """Percent change to the previous value, rounded to 2; null when previous is 0/null."""
     out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)

@@ -12,10 +12,23 @@ def test_entry(spark):
 
 
 def test_oracle_keys_are_queries():
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.oracle_sql()) == set(E.queries())  # every query has an SQL oracle
     assert len(E.queries()) >= 80
 
 
+def test_scratch_follows_checkpoint_dir(spark):
+    from tablecraft.sources.scratch import scratch_path, scratch_root
+
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    root = scratch_root(spark)
+    if configured:
+        assert root == configured.rstrip("/")
+    assert scratch_path(spark, "x").startswith(root + "/tablecraft/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_runs(spark, sf, name):
     df = E.queries()[name](spark, sf)

@@ -41,6 +41,23 @@ def clear_table_cache() -> None:
     _READS.clear()
 
 
+def per_session(builder):
+    """Memoize a logical-table builder per (session, sf_dir): the result is an immutable
+    plan over read-only inputs, so queries can share it instead of rebuilding it."""
+    import functools
+
+    @functools.wraps(builder)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), f"{sf_dir.rstrip('/')}#{builder.__name__}")
+        df = _READS.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _READS[key] = builder(spark, sf_dir)
+        return df
+
+    return wrapper
+
+
+@per_session
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x part, one row per line, with the raw keys kept."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -67,10 +84,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 V2_COLUMNS = ["order_id", "customer_id", "product", "quantity", "price", "status", "order_date"]
 
 
+@per_session
 def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select(*V2_COLUMNS)
 
 
+@per_session
 def orders_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders_v2 plus a promo code (mixed case, unknown and null codes included)."""
     k = F.col("l_orderkey") % 5
@@ -81,6 +100,7 @@ def orders_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select(*V2_COLUMNS, promo.alias("promo_code"))
 
 
+@per_session
 def orders_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders_v2 with injected faults: null/orphan customer, null product/price,
     negative quantity, null or unknown status."""
@@ -98,17 +118,9 @@ def orders_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer x nation: (customer_id, customer_name, city, tier). Memoized per
-    session like the table reads (its inputs are read-only)."""
-    key = (id(spark), f"{sf_dir.rstrip('/')}#customers")
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = _customers(spark, sf_dir)
-    return df
-
-
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer x nation: (customer_id, customer_name, city, tier)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a small code table; broadcast only after the row-count probe
@@ -120,6 +132,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def orders_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem rows keyed by (order_id, line_no), versioned by ``updated_at``."""
     return table(spark, sf_dir, "lineitem").select(
@@ -137,6 +150,7 @@ def orders_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def customers_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type-2 customer dimension: the tier (order priority) a customer had from each
     order date on; one version per (customer, date), the highest order key wins."""
@@ -151,6 +165,7 @@ def customers_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def temporal_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line events: (order_id, line_no, customer_id, event_date = ship date)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
@@ -167,6 +182,7 @@ def payment_status(code: str = "o_orderstatus"):
     return F.when(F.col(code) == "F", F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
 
 
+@per_session
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested order documents: customer and payment structs, items array.
 
@@ -208,6 +224,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def payment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment documents already flat: one row per order line, orders without
     lines once with null item fields. Same rows as ``explode_outer`` over
@@ -248,6 +265,7 @@ def channel(key: str = "o_orderkey"):
     return F.when(k == 0, "WEB").when(k == 1, "APP").otherwise("STORE")
 
 
+@per_session
 def orders_dirty_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipeline input: every order as CSV-like text rows with injected faults, plus an
     earlier PENDING version (one day before) of every urgent order, so keep-latest
@@ -277,6 +295,7 @@ def orders_dirty_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def orders_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders whose customer key 1 holds two thirds of the rows (a hot key)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
@@ -288,6 +307,7 @@ def orders_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders with a unique key, used for per-customer windows."""
     return table(spark, sf_dir, "orders").select(

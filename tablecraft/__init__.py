@@ -13,6 +13,7 @@ Sub-packages
 ``streaming``  Structured Streaming builders and runners
 ``plans``      the logical tables built from the driver tables and the registered
                queries (``__spark_entry__.py`` exposes them)
+``config``     session settings sized from the input (splits, shuffle partitions, AQE)
 """
 
 __version__ = "0.1.0"

@@ -64,7 +64,9 @@ def exact_quantiles(
     Values are counted per distinct value (map-side combined), the distinct values are
     range-partitioned and given their cumulative row positions (local running count +
     carry from earlier ranges), and only the <= 2 values per quantile that cover the
-    target positions are kept: ``lo + (hi - lo) * frac`` at position ``(n - 1) * p``.
+    target positions are kept and interpolated at position ``(n - 1) * p`` with the
+    arithmetic of Spark's ``percentile``. (SQL engines may round that last step
+    differently: results can differ from theirs in the last bit.)
 
     ``method="auto"`` first estimates the number of distinct values (HyperLogLog); when
     it is below ``max_distinct_in_memory`` Spark's exact ``percentile`` is used (it holds
@@ -115,7 +117,9 @@ def exact_quantiles(
     aggs = []
     for name, (lo, hi, frac) in targets.items():
         lo_v, hi_v = at(lo), at(hi)
-        value = lo_v if frac == 0 else lo_v + (hi_v - lo_v) * F.lit(frac)
+        # same arithmetic as Spark's in-memory ``percentile`` (identical bits either way)
+        pos = (n - 1) * probs[name]
+        value = lo_v if frac == 0 else F.lit(hi - pos) * lo_v + F.lit(pos - lo) * hi_v
         aggs.append(value.alias(name))
     return picked.agg(*aggs).unpivot([], list(probs), "stat", "value")
 

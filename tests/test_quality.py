@@ -85,3 +85,16 @@ def test_summary_stats_agree_with_describe(spark, sf):
     assert ours["count"] == float(theirs["count"]) and ours["min"] == float(theirs["min"])
     assert ours["max"] == float(theirs["max"]) and abs(ours["mean"] - float(theirs["mean"])) < 1e-6
     assert ours["p25"] <= ours["p50"] <= ours["p75"]
+
+
+def test_distributed_quantiles_equal_in_memory(spark, sf):
+    from tablecraft.operators.aggregates import exact_quantiles
+
+    probs = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    # a column with heavy duplicates and one hot value, besides a near-unique one
+    dup = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") % 41).alias("x"))
+    for df, col in ((o, "o_totalprice"), (dup, "x")):
+        ranged = dict(exact_quantiles(df, col, probs, num_partitions=7, method="ranged").collect())
+        memory = dict(exact_quantiles(df, col, probs, method="memory").collect())
+        assert ranged == memory

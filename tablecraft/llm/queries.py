@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import minhash
+from tablecraft.llm import bpe, minhash
 from tablecraft.llm.frames import table
 
 
@@ -15,6 +16,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the rank file, and the bytes they decode to."""
+    where = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded("text", *where).alias("ids"))
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded("ids", *where), 256).alias("decoded_sha256"),
+    )
+
+
 #: Lower-cases A-Z only, as the contracts say; DuckDB's lower() folds other letters too.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -41,6 +54,7 @@ from w left join n on n.doc_id = w.doc_id join (select d, min(c) as c from r gro
 
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE = {

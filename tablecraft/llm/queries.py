@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, minhash
+from tablecraft.llm import bpe, minhash, repair
 from tablecraft.llm.frames import table
+from tablecraft.sources.scratch import scratch_path
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,14 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op7_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as compressed id shards and read every document back."""
+    path = scratch_path(spark, "shards")
+    repair.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    out = repair.read_shards(spark, path)
+    return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to."""
     where = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -54,6 +63,7 @@ from w left join n on n.doc_id = w.doc_id join (select d, min(c) as c from r gro
 
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_repair_output": op7_repair_output,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

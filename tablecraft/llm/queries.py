@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, minhash, repair
+from tablecraft.llm import bpe, fmindex, minhash, repair
 from tablecraft.llm.frames import table
 from tablecraft.sources.scratch import scratch_path
 
@@ -17,6 +17,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op6_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark occurs in every document, by windows of 10 words."""
+    found = fmindex.contamination("text", table(spark, sf_dir, "benchmark"), window=10)
+    docs = table(spark, sf_dir, "documents").select("doc_id", found.alias("f"))
+    return docs.select(
+        "doc_id", "f.n_words", "f.n_hit",
+        F.size("f.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("f.items"), ","), 256).alias("items_sha256"),
+        (F.col("f.n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as compressed id shards and read every document back."""
     path = scratch_path(spark, "shards")
@@ -61,12 +73,37 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, w.doc_id =
 from w left join n on n.doc_id = w.doc_id join (select d, min(c) as c from r group by d) m on m.d = w.doc_id
 """
 
+_OP6_WORDS = f"regexp_extract_all({_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_OP6_SQL = f"""
+with d as (select doc_id, {_OP6_WORDS} as w from documents),
+b as (select item_id, {_OP6_WORDS} as w from benchmark),
+p as (
+  select distinct item_id, w[i:i + 9] as p, least(len(w), 10) as n
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+lengths as (select distinct n from p),
+g as (
+  select doc_id, n, i, w[i:i + n - 1] as p
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lengths where len(w) >= n)),
+o as (select g.doc_id, g.i, g.n, p.item_id from g join p on p.p = g.p and p.n = g.n),
+h as (
+  select doc_id, count(distinct k) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as k from o) group by doc_id),
+t as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, item_id::varchar as id from o) group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.n_items, 0) as n_items,
+  sha256(coalesce(t.ids, '')) as items_sha256, h.n_hit is not null as contaminated
+from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
+"""
+
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_fm_decontamination": op6_fm_decontamination,
     "op7_repair_output": op7_repair_output,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE = {
     "op5_minhash_near_dedup": _OP5_SQL,
+    "op6_fm_decontamination": _OP6_SQL,
 }

@@ -7,13 +7,14 @@ and the maximum under that permutation, so ``permutations`` hash evaluations yie
 a bucket are candidates. With 64 permutations and 4 rows there are 32 bands, and a pair at
 similarity 0.8 is missed with probability (1 - 0.8**4)**32 = 5e-8.
 
-Equal sets collapse to one node first, so exact copies cost one row each. Links are then
-confirmed on the full sets, but only between documents not yet known to be connected: in
-every bucket the members are compared with a hub (the smallest), components are updated,
-and buckets that still hold several components get eight times as many hubs per round,
-until a bucket is one component or all its members have been hubs. No candidate pair that
-could change the components is left out, and a bucket of mutual near copies costs one
-comparison per member instead of all pairs.
+Equal sets collapse to one node first, so exact copies cost one row each. The smallest
+document of a bucket is its hub, and all documents that share a bucket meet again under
+its hub, where the full sets are compared. A hub's documents are cut into blocks of a few
+MB of shingles, and every pair of blocks is one work item, so no task holds more than two
+blocks. Within an item a document is compared with all others at once; documents that
+are already connected need no comparison, and an item returns only the links that connect
+its components (fewer than its documents), never all pairs. No candidate pair that could
+change the components is left out. Links then join in rounds (``components``).
 
 Edge cases. Null or blank text: the empty set, linked with nothing, its own component.
 Fewer words than the shingle length: the whole sequence is one shingle. Repeated rows and
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ from tablecraft.llm.frames import stored
 _U = np.uint64
 _SPACE = np.ones(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-_DRAWS = 1_000_003
+_BLOCK = 1 << 19  # shingles of a block of documents that are compared in one task
 _CHUNK = 1 << 15  # shingles hashed at a time: the work array stays in the CPU cache
 
 
@@ -191,57 +193,75 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _linked(members: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """(node, root) for the nodes of ``members`` that are linked with a smaller one."""
-    largest = members.agg(F.max("m")).first()[0]
-    roots = tried = None
-    now = members.withColumn("root", F.col("node"))
-    hubs = 1
+    # the smallest id of a bucket is its hub; documents that share a bucket share its hub
+    hubs = members.groupBy("bucket").agg(F.min(F.struct("id", "node"))["node"].alias("hub"))
+    pairs = stored(members.join(hubs, "bucket").select("hub", "node", "n").distinct(), "hubs")
+    blocks = pairs.groupBy("hub").agg(F.ceil(F.sum("n") / _BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = pairs.join(blocks, "hub").select("hub", "node", mine.alias("i"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    dealt = dealt.select("hub", "node", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+    rows = dealt.join(sets, "node").select("hub", "i", "j", "node", "shingles")
+    rows = rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, shingles in _groups(batches):
+            links = spanning_links(shingles, pct)
+            if links:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([nodes[x] for x, _ in links], pa.binary()), pa.array([nodes[y] for _, y in links], pa.binary())],
+                    ["a", "b"])
+
+    return components(stored(rows.mapInArrow(run, "a binary, b binary"), "links"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[np.ndarray]]]:
+    """Nodes and shingle sets of each (hub, i, j), from rows sorted by them."""
+    key, nodes, sets = None, [], []
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("hub", "i", "j"))))
+        names = batch.column("node").to_pylist()
+        lists = batch.column("shingles")
+        flat, at = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+        for r, k in enumerate(keys):
+            if k != key:
+                if len(nodes) > 1:
+                    yield nodes, sets
+                key, nodes, sets = k, [], []
+            nodes.append(names[r])
+            sets.append(flat[at[r]:at[r + 1]].copy())
+    if len(nodes) > 1:
+        yield nodes, sets
+
+
+def spanning_links(sets: list[np.ndarray], pct: int) -> list[tuple[int, int]]:
+    """Links between members of a group that connect all its components: one member after
+    the other is compared with all the rest, until those not compared are connected."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    first = np.cumsum(size) - size
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    inside = np.zeros(len(distinct), np.int32)
+    label = np.arange(len(sets))
+    fresh = np.ones(len(sets), bool)
+    links: list[tuple[int, int]] = []
+    pivot = 0
     while True:
-        if hubs == 1:  # the smallest id is the likeliest original
-            hub = now.groupBy("bucket").agg(F.min(F.struct("id", "node", "root", "n")).alias("h")).select("bucket", "h.*")
-        else:  # a member becomes a hub with chance hubs / m, by one draw for all its buckets
-            draw = F.pmod(F.xxhash64("node"), F.lit(_DRAWS))
-            hub = now.where(draw * F.col("m") < F.lit(_DRAWS * hubs))
-        hub = hub.select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("hub_n"))
-        pairs = now.join(hub, "bucket").where("root <> hub_root").where(
-            f"100 * least(n, hub_n) >= {pct} * greatest(n, hub_n)")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        links = stored(_confirmed(pairs, sets, pct), "links")
-        if not links.isEmpty():
-            roots = components(links) if roots is None else _joined_roots(roots, links)
-        if hubs >= largest:
-            break
-        hubs *= 8
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        now = now.drop("root")
-        if roots is None:
-            now = now.withColumn("root", F.col("node"))
-            continue
-        now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        now = stored(now.join(several.select("bucket"), "bucket", "left_semi"), "open")
-        if now.isEmpty():
-            break
-    return members.select("node", F.col("node").alias("root")).limit(0) if roots is None else roots
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("_sb")), "b")
-    shared = F.size(F.array_intersect("_sa", "_sb")).cast("long")
-    both = both.select("a", "b", shared.alias("i"), (F.size("_sa").cast("long") + F.size("_sb")).alias("s"))
-    return both.where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * pct).select("a", "b")
-
-
-def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after adding ``links`` to those of ``roots``."""
-    for c in ("a", "b"):
-        m = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        links = links.join(m, F.col(c) == F.col("_node"), "left").withColumn(c, F.coalesce("_root", c)).drop("_node", "_root")
-    new = components(links)
-    m = new.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    moved = roots.join(m, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
-    return stored(moved.unionByName(new), "roots")
+        own = ids[first[pivot]:first[pivot] + size[pivot]]
+        inside[own] = 1
+        shared = np.add.reduceat(inside[ids], first)
+        inside[own] = 0
+        like = (100 * shared >= pct * (size + size[pivot] - shared)) & (label != label[pivot])
+        for other in np.unique(label[like]):
+            links.append((pivot, int(np.flatnonzero(like & (label == other))[0])))
+            label[label == other] = label[pivot]
+        fresh[pivot] = False
+        rest = np.flatnonzero(fresh)
+        if not len(rest):
+            return links
+        counts = np.bincount(label[rest])
+        if np.count_nonzero(counts) == 1:
+            return links
+        # the largest component is left for last
+        pivot = int(rest[label[rest] != np.argmax(counts)][0])
+
+

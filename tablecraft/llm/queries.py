@@ -6,11 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, fmindex, minhash, repair
+from tablecraft.llm import bpe, fmindex, minhash, repair, toxicity
 from tablecraft.llm.frames import table
 from tablecraft.sources.scratch import scratch_path
 
 
+#: A third of the documents never lend their labels to training.
+def held_out(doc_id):
+    return F.crc32(doc_id.cast("string")) % 3 == 1
+
+
+def op4_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, trained on the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out(F.col("id")))
+    out = docs.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                      toxicity.score("text", model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component and survivor of every document: 4-word shingles, Jaccard of 0.8 or more."""
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, similarity_pct=80)
@@ -97,6 +111,7 @@ from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
 QUERIES = {
+    "op4_pu_toxicity": op4_pu_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_fm_decontamination": op6_fm_decontamination,
     "op7_repair_output": op7_repair_output,

@@ -33,14 +33,15 @@ from pyspark.sql import functions as F
 from tablecraft.llm import arrays
 
 BITS = 20
-_GRAM = 5
+_GRAM, _PREFIX = 5, 7  # bytes
 _LETTER = np.zeros(256, bool)
 _LETTER[48:58] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 
 def grams(texts: list[bytes], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram buckets of every text, concatenated, and their number per text. An
-    n-gram lies in one word and its two boundaries. ``wanted`` limits the buckets."""
+    """Distinct feature buckets of every text, concatenated, and their number per text. A
+    feature is an n-gram that lies in one word and its two boundaries, or the beginning
+    of a word. ``wanted`` limits the buckets."""
     if len(texts) > 1 << (32 - BITS):
         half = len(texts) // 2
         (a, m), (b, n) = grams(texts[:half], wanted), grams(texts[half:], wanted)
@@ -61,6 +62,14 @@ def grams(texts: list[bytes], wanted: np.ndarray | None = None) -> tuple[np.ndar
     code = np.zeros(len(at), np.uint64)
     for k in range(_GRAM):
         code = code << np.uint64(8) | low[at + k]
+    start = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
+    prefix = np.ones(len(start), np.uint64)
+    alive = np.ones(len(start), bool)
+    for k in range(_PREFIX):
+        here = np.minimum(start + k, len(low) - 1)
+        alive &= letter[here]
+        prefix = prefix << np.uint64(8) | np.where(alive, low[here], np.uint8(0))
+    at, code = np.concatenate([at, start]), np.concatenate([code, prefix])
     bucket = (arrays.mix(code) >> np.uint64(64 - BITS)).astype(np.uint32)
     if wanted is not None:
         hit = wanted[bucket]
@@ -88,30 +97,36 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    got = [grams(part) for _, part in arrays.slices(texts)]
-    return (np.concatenate([b for b, _ in got]), np.concatenate([c for _, c in got])) if got else (
-        np.zeros(0, np.uint32), np.zeros(0, np.int64))
+def _features(texts: list[str | None], used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and row bounds of the texts' presence matrix over the buckets ``used``."""
+    wanted = np.zeros(1 << BITS, bool)
+    wanted[used] = True
+    got = [grams(part, wanted) for _, part in arrays.slices(texts)]
+    col = np.searchsorted(used, np.concatenate([b for b, _ in got]))
+    return col, np.r_[0, np.cumsum(np.concatenate([c for _, c in got]))]
+
+
+def _frequencies(texts: list[str | None]) -> np.ndarray:
+    """Number of texts that hold each bucket."""
+    return sum(np.bincount(grams(part)[0], minlength=1 << BITS) for _, part in arrays.slices(texts))
 
 
 def fit(positive: list[str | None], unlabelled: list[str | None], prior: float, epochs: int = 30, batches: int = 4,
-        step: float = 0.02, least_df: int = 5, l2: float = 1e-4, seed: int = 3) -> Model:
-    """Train on texts. Buckets in fewer than ``least_df`` sample texts are left out."""
+        step: float = 0.05, least_z: float = 5.0, l2: float = 1e-4, decision: float = 0.7,
+        seed: int = 3) -> Model:
+    """Train on texts. Only buckets whose share of texts differs between the two samples by
+    at least ``least_z`` standard errors, and 15 % of the largest such number, become features. The intercept is then set so that
+    the score ``decision`` separates the classes at the least corrected zero-one risk."""
     weights = np.zeros(1 << BITS)
     bias = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     if not positive or not unlabelled or prior <= 0:
         return Model(weights, bias)
-    sample = [_features(positive), _features(unlabelled)]
-    df = sum(np.bincount(b, minlength=1 << BITS) for b, _ in sample)
-    used = np.flatnonzero(df >= least_df)
-    number = np.full(1 << BITS, -1, np.int64)
-    number[used] = np.arange(len(used))
-    parts = []
-    for bucket, count in sample:
-        of = np.repeat(np.arange(len(count)), count)
-        col = number[bucket]
-        of, col = of[col >= 0], col[col >= 0]
-        parts.append((col, np.r_[0, np.cumsum(np.bincount(of, minlength=len(count)))]))
+    df, n = [_frequencies(positive), _frequencies(unlabelled)], [len(positive), len(unlabelled)]
+    mean = (df[0] + df[1]) / (n[0] + n[1])
+    error = np.sqrt(mean * (1 - mean) * (1 / n[0] + 1 / n[1])) + 1e-12
+    z = np.abs(df[0] / n[0] - df[1] / n[1]) / error
+    used = np.flatnonzero(z >= max(least_z, 0.15 * z.max()))
+    parts = [_features(positive, used), _features(unlabelled, used)]
     w = np.zeros(len(used) + 1)  # the last is the bias
     w[-1] = bias
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
@@ -135,8 +150,20 @@ def fit(positive: list[str | None], unlabelled: list[str | None], prior: float,
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w -= step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
+    margins = [_margins(p, np.arange(len(p[1]) - 1), w)[2] for p in parts]
     weights[used] = w[:-1]
-    return Model(weights, float(w[-1]))
+    return Model(weights, float(w[-1]) + float(np.log(decision / (1 - decision))) - _cut(*margins, prior))
+
+
+def _cut(fp: np.ndarray, fu: np.ndarray, prior: float) -> float:
+    """The largest margin at which the non-negative corrected zero-one risk is as good as
+    at its minimum, up to 2 % of the prior."""
+    cuts = np.unique(np.r_[fp, fu])
+    cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
+    over_p = 1 - np.searchsorted(np.sort(fp), cuts) / len(fp)
+    over_u = 1 - np.searchsorted(np.sort(fu), cuts) / len(fu)
+    risk = prior * (1 - over_p) + np.maximum(0, over_u - prior * over_p)
+    return float(cuts[risk <= risk.min() + 0.02 * prior][-1])
 
 
 def _margins(part: tuple[np.ndarray, np.ndarray], rows: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,3 +174,41 @@ def _margins(part: tuple[np.ndarray, np.ndarray], rows: np.ndarray, w: np.ndarra
     total = np.r_[0.0, np.cumsum(w[c])]
     ends = np.cumsum(n)
     return c, n, total[ends] - total[ends - n] + w[-1]
+
+
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", max_positive: int = 3000, max_unlabelled: int = 12000, **options) -> Model:
+    """Fit on ``docs``. Labels count only where ``held_out`` (over the column ``id``) is not
+    true. The unlabelled sample comes from all documents whatever their labels, which is the
+    distribution the risk estimator asks for."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label is not null")
+    known = known.where(~F.coalesce(held_out, F.lit(False))).groupBy("id").agg(F.max("label").alias("label"))
+    n, toxic = known.agg(F.count("label"), F.sum("label")).first()
+    if not toxic:
+        return fit([], [], 0.0)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    chosen = known.where("label = 1").select("id").orderBy(F.xxhash64("id", F.lit(11))).limit(max_positive)
+    # at most max_positive ids, so the broadcast is bounded
+    positive = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).select("text")
+    total = texts.count()
+    # about twice the sample by hash of the text, of which the first by another hash
+    share = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1_000_000)) < int(min(1.0, 2 * max_unlabelled / total) * 1_000_000 + 1)
+    unlabelled = texts.where(share).orderBy(F.xxhash64("text", F.lit(13)), F.xxhash64("id")).limit(max_unlabelled).select("text")
+    ordered = sorted(r.text or "" for r in positive.collect())  # an order that no id decides
+    return fit(ordered, sorted(r.text or "" for r in unlabelled.collect()), float(toxic) / n, **options)
+
+
+def score(text: Column | str, model: Model) -> Column:
+    """Score of a text column, 0 to 1."""
+    used = np.flatnonzero(model.weights)
+    values, bias = model.weights[used], model.bias
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights = np.zeros(1 << BITS)
+        weights[used] = values
+        here = Model(weights, bias)
+        for s in batches:
+            parts = [here.scores(t) for _, t in arrays.slices(s.tolist())]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return F.pandas_udf(run, "double")(text)

@@ -36,3 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    out = f"_{name}"
+    while out.lower() in taken:
+        out = f"_{out}"
+    return out

@@ -6,11 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, fmindex, minhash, repair, toxicity
-from tablecraft.llm.frames import table
+from tablecraft.llm import bpe, fmindex, linededup, minhash, repair, suffixes, toxicity
+from tablecraft.llm.frames import KEY, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 400-byte strings that occur twice."""
+    docs = table(spark, sf_dir, "documents")
+    cut = suffixes.removed(docs, texts=False).select(*KEY, "n_removed", "n_spans", "kept_sha256")
+    own = F.sha2(F.coalesce("text", F.lit("")), 256)
+    whole = docs.select("doc_id", *text_key("doc_id", "text"),
+                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), own.alias("own"))
+    return whole.join(cut, KEY, "left").select(
+        "doc_id", "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("kept_sha256", "own").alias("kept_sha256"),
+    )
+
+
 #: A third of the documents never lend their labels to training.
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % 3 == 1
@@ -63,6 +78,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that 2 % or more of their source's distinct pages have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = linededup.drop_boilerplate(docs, "source", "text", ratio=0.02, min_pages=5, dropped_col="n_dropped")
+    return out.select("doc_id", "n_dropped", F.length("text").cast("long").alias("n_chars_kept"),
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: Lower-cases A-Z only, as the contracts say; DuckDB's lower() folds other letters too.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -110,15 +133,39 @@ select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.
 from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
+_OP9_SQL = """
+with p as (select row_number() over () as r, doc_id, source, text from documents),
+l as (
+  select r, source, text, unnest(string_split(text, chr(10))) as line,
+    unnest(range(1, len(string_split(text, chr(10))) + 1)) as at from p where text is not null),
+t as (select source, count(distinct text) as total from p group by source),
+b as (
+  select l.source, trim(l.line, ' ') as line
+  from l join t on t.source is not distinct from l.source
+  where trim(l.line, ' ') <> '' group by 1, 2
+  having count(distinct l.text) >= 5 and count(distinct l.text) / any_value(t.total) >= 0.02),
+k as (
+  select l.r, sum((b.line is not null)::int) as n_dropped,
+    string_agg(l.line, chr(10) order by l.at) filter (where b.line is null) as kept
+  from l left join b on b.source is not distinct from l.source and b.line = trim(l.line, ' ') group by l.r)
+select p.doc_id, coalesce(k.n_dropped, 0)::bigint as n_dropped,
+  case when p.text is not null then length(coalesce(k.kept, '')) end as n_chars_kept,
+  case when p.text is not null then sha256(coalesce(k.kept, '')) end as kept_sha256
+from p left join k on k.r = p.r
+"""
+
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op4_pu_toxicity": op4_pu_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_fm_decontamination": op6_fm_decontamination,
     "op7_repair_output": op7_repair_output,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE = {
     "op5_minhash_near_dedup": _OP5_SQL,
     "op6_fm_decontamination": _OP6_SQL,
+    "op9_line_dedup": _OP9_SQL,
 }

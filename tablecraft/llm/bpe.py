@@ -11,7 +11,7 @@ the vocabulary and aggregates the bytes of each text in position order.
 Spark partitions the texts; no row leaves its task. The vocabulary file is read once per
 Python worker from ``vocabulary`` (a path that every worker can open, like any installed
 package data). Memory per worker: the piece table (at most ``PieceTable.limit`` pieces)
-and one DuckDB of at most 400 MB.
+and one DuckDB of at most 250 MB.
 
 Edge cases. Null and empty texts have no ids and decode to no bytes. Ids and bytes of a
 text never depend on its neighbours in the batch. A piece of n bytes without white space
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tablecraft.llm import arrays, tokens
 
 #: Distinct pieces per recursive query, and bytes (token rows at the start).
-_WORDS, _ROWS = 30_000, 400_000
+_WORDS, _ROWS = 20_000, 250_000
 
 _MERGE = """
 with recursive t(word, pos, id, open) as (
@@ -73,7 +73,7 @@ class _Bpe:
         ]
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         merges = pa.table({"pair": np.array([p for p, _ in pairs], np.int64), "rank": np.array([r for _, r in pairs], np.int32)})
         # every byte is one character here, so that text aggregation puts bytes together
         vocabulary = pa.table({"id": np.array(list(self.ranks.values()), np.int32), "bytes": [t.decode("latin-1") for t in self.ranks]})
@@ -180,29 +180,49 @@ def _groups(sizes: list[int], limit: int) -> Iterator[slice]:
         yield slice(first, len(sizes))
 
 
+def _encoded(s: pd.Series, vocabulary: str, pattern: str) -> list[np.ndarray]:
+    texts = ["" if t is None else t for t in s.tolist()]
+    out: list[np.ndarray] = []
+    for part in _groups([len(t) for t in texts], arrays.SLICE_BYTES):
+        out += bpe(vocabulary, pattern).encode(texts[part])
+    return out
+
+
+def _decoded(lists: list[np.ndarray], vocabulary: str, pattern: str) -> list[bytes]:
+    out: list[bytes] = []
+    for part in _groups([len(x) for x in lists], arrays.SLICE_BYTES // 2):
+        out += bpe(vocabulary, pattern).decode(lists[part])
+    return out
+
+
 def encoded(text: Column | str, vocabulary: str, pattern: str) -> Column:
     """Token ids (array of int) of a text column."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            texts = ["" if t is None else t for t in s.tolist()]
-            out: list[np.ndarray] = []
-            for part in _groups([len(t) for t in texts], 4 * arrays.SLICE_BYTES):
-                out += bpe(vocabulary, pattern).encode(texts[part])
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(_encoded(s, vocabulary, pattern), dtype=object)
 
     return F.pandas_udf(run, "array<int>")(text)
 
 
 def decoded(ids: Column | str, vocabulary: str, pattern: str) -> Column:
-    """Bytes of the texts whose ids a column holds."""
+    """Bytes of the texts whose ids a column holds; null is no ids."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             lists = [np.zeros(0, np.int32) if x is None else np.asarray(x, np.int32) for x in s.tolist()]
-            out: list[bytes] = []
-            for part in _groups([len(x) for x in lists], arrays.SLICE_BYTES):
-                out += bpe(vocabulary, pattern).decode(lists[part])
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(_decoded(lists, vocabulary, pattern), dtype=object)
 
     return F.pandas_udf(run, "binary")(ids)
+
+
+def round_trip(text: Column | str, vocabulary: str, pattern: str) -> Column:
+    """Struct of the ids of a text column and the bytes that these decode to, in one pass,
+    so that a task needs one Python worker."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            ids = _encoded(s, vocabulary, pattern)
+            yield pd.DataFrame({"ids": ids, "decoded": _decoded(ids, vocabulary, pattern)})
+
+    return F.pandas_udf(run, "ids array<int>, decoded binary")(text)

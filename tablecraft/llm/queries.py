@@ -69,12 +69,12 @@ def op7_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to."""
     where = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded("text", *where).alias("ids"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip("text", *where).alias("t"))
     return docs.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded("ids", *where), 256).alias("decoded_sha256"),
+        F.size("t.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("t.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("t.decoded", 256).alias("decoded_sha256"),
     )
 
 

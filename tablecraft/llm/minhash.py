@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays
 from tablecraft.llm.components import components
-from tablecraft.llm.frames import stored
+from tablecraft.llm.frames import stored, unused
 
 _U = np.uint64
 _SPACE = np.ones(256, bool)
@@ -191,6 +191,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.expr("coalesce(component, id) <=> id").alias("kept"))
 
 
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of every group: the one with the smallest id, one row of
+    it. Documents without an id give way to any other of their group."""
+    out = stored(near_duplicates(docs, id_col, text_col, **options), "groups")
+    key = unused(docs, "row_key")
+    gone = out.where("not kept").select(F.col("row_key").alias(key)).distinct()
+    kept = docs.withColumn(key, F.xxhash64(id_col, text_col)).join(gone, key, "left_anti")
+    repeated = out.where("kept").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([key])
+    return kept.select(*docs.columns)
+
+
 def _linked(members: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """(node, root) for the nodes of ``members`` that are linked with a smaller one."""
     # the smallest id of a bucket is its hub; documents that share a bucket share its hub

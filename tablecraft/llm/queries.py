@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, fmindex, linededup, minhash, repair, suffixes, toxicity
-from tablecraft.llm.frames import KEY, table, text_key
+from tablecraft.llm import bpe, fmindex, linededup, minhash, repair, simhash, suffixes, toxicity
+from tablecraft.llm.frames import KEY, stored, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
 
@@ -86,6 +86,27 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likeness of every document's fingerprint to its edited text's and to the next
+    document's; for ids divisible by 100 also the number of other documents whose
+    fingerprint is at most 3 bits away."""
+    rows = stored(simhash.half_edits(table(spark, sf_dir, "documents")), "half-edits")
+    queries = rows.where("id % 100 = 0")
+    copies = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("copies"))
+    near = simhash.within_radius(rows, queries, radius=3).join(copies, ["f1", "f2"])
+    near = near.groupBy("q1", "q2").agg((F.sum("copies") - 1).alias("n_near"))
+    searched = queries.select("id", "f1", "f2").join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2"))).select(
+        "id", "n_near").distinct()
+    return rows.join(searched, "id", "left").select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+        simhash.as_text("f1", "f2").alias("fingerprint"),
+        simhash.as_text("e1", "e2").alias("edited_fingerprint"),
+        simhash.likeness("f1", "f2", "e1", "e2").alias("near_edited"),
+        simhash.likeness("f1", "f2", "n1", "n2").alias("near_next"),
+        "n_near",
+    )
+
+
 #: Lower-cases A-Z only, as the contracts say; DuckDB's lower() folds other letters too.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -162,6 +183,7 @@ QUERIES = {
     "op7_repair_output": op7_repair_output,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE = {

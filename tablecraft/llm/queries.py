@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, fmindex, linededup, minhash, repair, simhash, suffixes, toxicity
+from tablecraft.llm import bpe, chat, fmindex, linededup, minhash, repair, simhash, suffixes, toxicity, urls
 from tablecraft.llm.frames import KEY, stored, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
@@ -26,6 +26,21 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = urls.rules(["block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/"])
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    out = urls.judged(table(spark, sf_dir, "pages"), RULES)
+    return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered turns of the conversations that are no snapshot of a longer one."""
+    out = chat.maximal_conversations(table(spark, sf_dir, "conversations"))
+    return out.select(F.col("conv").alias("conv_id"), "position", "n_turns", "role", "segment")
+
+
 #: A third of the documents never lend their labels to training.
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % 3 == 1
@@ -154,6 +169,21 @@ select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.
 from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
+_OP3_SQL = """
+with t as (
+  select conv_id, role, text, row_number() over w as position, count(*) over (partition by conv_id) as n_turns,
+    string_agg(coalesce('r' || role, '') || chr(31) || coalesce('t' || text, ''), chr(30)) over w as prefix
+  from conversations
+  window w as (partition by conv_id order by turn nulls first, role nulls first, text nulls first
+    rows between unbounded preceding and current row)),
+kept as (
+  select min(conv_id) as conv_id from t where position = n_turns group by prefix
+  having prefix not in (select prefix from t where position < n_turns))
+select t.conv_id, t.position, t.n_turns, t.role,
+  '<|im_start|>' || coalesce(t.role, 'unknown') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10) as segment
+from t join kept on kept.conv_id is not distinct from t.conv_id
+"""
+
 _OP9_SQL = """
 with p as (select row_number() over () as r, doc_id, source, text from documents),
 l as (
@@ -177,6 +207,8 @@ from p left join k on k.r = p.r
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_url_filter": op2_url_filter,
+    "op3_chat_format": op3_chat_format,
     "op4_pu_toxicity": op4_pu_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_fm_decontamination": op6_fm_decontamination,
@@ -187,6 +219,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_chat_format": _OP3_SQL,
     "op5_minhash_near_dedup": _OP5_SQL,
     "op6_fm_decontamination": _OP6_SQL,
     "op9_line_dedup": _OP9_SQL,

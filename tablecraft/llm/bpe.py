@@ -30,6 +30,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays, tokens
+from tablecraft.llm.frames import small_batches
 
 #: Distinct pieces per recursive query, and bytes (token rows at the start).
 _WORDS, _ROWS = 20_000, 250_000
@@ -202,6 +203,7 @@ def encoded(text: Column | str, vocabulary: str, pattern: str) -> Column:
         for s in batches:
             yield pd.Series(_encoded(s, vocabulary, pattern), dtype=object)
 
+    small_batches()
     return F.pandas_udf(run, "array<int>")(text)
 
 
@@ -213,6 +215,7 @@ def decoded(ids: Column | str, vocabulary: str, pattern: str) -> Column:
             lists = [np.zeros(0, np.int32) if x is None else np.asarray(x, np.int32) for x in s.tolist()]
             yield pd.Series(_decoded(lists, vocabulary, pattern), dtype=object)
 
+    small_batches()
     return F.pandas_udf(run, "binary")(ids)
 
 
@@ -225,4 +228,5 @@ def round_trip(text: Column | str, vocabulary: str, pattern: str) -> Column:
             ids = _encoded(s, vocabulary, pattern)
             yield pd.DataFrame({"ids": ids, "decoded": _decoded(ids, vocabulary, pattern)})
 
+    small_batches()
     return F.pandas_udf(run, "ids array<int>, decoded binary")(text)

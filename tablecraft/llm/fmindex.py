@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays
+from tablecraft.llm.frames import small_batches
 
 _SHARD_BYTES = 4 << 20
 _SAMPLE = 8  # every 8th position of a run, and its first, is a sampled suffix position
@@ -218,6 +219,7 @@ def contamination(text: Column | str, benchmark: DataFrame, id_col: str = "item_
                   window: int = 10, block_bytes: int = 16 << 20) -> Column:
     """Struct column ``RESULT`` with what of ``benchmark`` occurs in a text column."""
     spark = benchmark.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
@@ -268,4 +270,5 @@ def without_spans(text: Column | str, spans: Column | str) -> Column:
                 out.append(t)
             yield pd.Series(out, dtype=object)
 
+    small_batches()
     return F.pandas_udf(run, "string")(text, spans)

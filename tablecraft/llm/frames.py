@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from tablecraft.sources.scratch import scratch_path
 
 
+#: Rows and bytes of an Arrow batch. Memory of a Python worker goes by the texts it holds
+#: at once, so batches of long texts must be small ones.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def small_batches(spark: SparkSession | None = None) -> None:
+    """Lower the session's Arrow batch limits to ``_BATCH`` where they are higher; called by
+    every operator that hands texts to Python workers."""
+    spark = spark or SparkSession.getActiveSession()
+    for key, most in _BATCH.items():
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or int(now) > most or int(now) <= 0:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays
 from tablecraft.llm.components import components
-from tablecraft.llm.frames import stored, unused
+from tablecraft.llm.frames import small_batches, stored, unused
 
 _U = np.uint64
 _SPACE = np.ones(256, bool)
@@ -164,6 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, row_key, n_shingles, component, kept) per row of ``docs``. Documents are linked
     when 100 * |A and B| >= similarity_pct * |A or B|; ``component`` is the smallest id
     reachable over links."""
+    small_batches(docs.sparkSession)
     sig = stored(signatures(docs, id_col, text_col, shingle, permutations, rows), "signatures")
     nodes = stored(
         sig.where("n_shingles > 0").groupBy("node").agg(

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays, tokens
+from tablecraft.llm.frames import small_batches
 
 SHARD_IDS = 1 << 22
 _SYMBOLS = 1 << 16  # symbols are stored in 16 bits
@@ -196,6 +197,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
     """Encode ``docs`` in ascending id order and write them as compressed shards."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     narrow = narrow.orderBy(F.col("id").asc_nulls_first(), F.xxhash64("text")).select("id", "text")
+    small_batches(docs.sparkSession)
     id_type = narrow.schema["id"].dataType.simpleString()
     schema = (f"part int, chunk int, ids array<{id_type}>, offsets array<long>, base int, "
               "rules binary, lengths binary, symbols binary")
@@ -247,6 +249,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """(id, start, n_tokens, ids) of every document in the files at ``path``; ``start``
     counts the ids of all documents before it."""
+    small_batches(spark)
     shards = spark.read.parquet(path)
     total = F.element_at("offsets", -1)
     # one narrow row per shard

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays
-from tablecraft.llm.frames import KEY, default_parallelism, stored, text_key
+from tablecraft.llm.frames import KEY, default_parallelism, small_batches, stored, text_key
 from tablecraft.sources.scratch import scratch_path
 
 _U = np.uint64
@@ -211,6 +211,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(row key, lo, hi): runs of window starts whose windows repeat; and the name of the
     temporary table, bucketed by row key, with the texts that have any."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(*text_key(id_col, text_col), F.col(text_col).alias("text")).where(F.octet_length("text") >= WIDTH)
     whole, refine = _settled(texts.mapInPandas(_start, _ROWS), "anchors")
 

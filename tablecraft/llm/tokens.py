@@ -124,7 +124,7 @@ class PieceTable:
     only."""
 
     def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
-                 dtype: type = np.int32, limit: int = 1_500_000):
+                 dtype: type = np.int32, limit: int = 1_000_000):
         self.make, self.dtype, self.limit = make, dtype, limit
         self._clear()
 

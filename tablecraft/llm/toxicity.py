@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm import arrays
+from tablecraft.llm.frames import small_batches
 
 BITS = 20
 _GRAM, _PREFIX = 5, 7  # bytes
@@ -211,4 +212,5 @@ def score(text: Column | str, model: Model) -> Column:
             parts = [here.scores(t) for _, t in arrays.slices(s.tolist())]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
+    small_batches()
     return F.pandas_udf(run, "double")(text)

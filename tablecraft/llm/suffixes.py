@@ -166,9 +166,9 @@ def _next(refine: str):
                 length = np.fromiter(map(len, parts), np.int64, len(parts))
                 starts = np.cumsum(length) - length
                 mine, doc = [], []
-                for i, s, b in zip(of, at, starts):
+                for i, s, b, n in zip(of, at, starts, length):
                     w = wanted[i]
-                    w = w[(w[:, 1] >= s) & (w[:, 1] < s + _SEGMENT)]
+                    w = w[(w[:, 1] >= s) & (w[:, 1] <= s + n - WIDTH)]
                     mine.append(w + (b - s))
                     doc.append(np.full((len(w), 2), (i, s - b)))
                 mine, doc = np.concatenate(mine), np.concatenate(doc)

@@ -174,13 +174,16 @@ def _rate_keys(df: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, known: list[Rule], id_col: str = "page_id", url_col: str = "url",
-           max_training: int = 50_000, threshold: float = 0.5, smoothing: float = 20.0) -> DataFrame:
+           max_training: int = 50_000, threshold: float = 0.5, smoothing: float = 20.0,
+           held_out: Column | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, block_score) per row of ``pages``; the score is the
-    trees' probability of block."""
+    trees' probability of block. Labels count only where ``held_out`` (over the column
+    ``id``) is not true."""
     host, path = parts(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     rows = _rate_keys(rows.withColumn("r", fitting(F.col("host"), F.col("path"), known)))
-    rows = rows.withColumn("label", (F.col("r.verdict") == "block").cast("int"))
+    label = (F.col("r.verdict") == "block").cast("int")
+    rows = rows.withColumn("label", label if held_out is None else F.when(~F.coalesce(held_out, F.lit(False)), label))
     labelled = rows.where("label is not null")
     n, blocked = labelled.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = blocked / n if n else 0.0

@@ -145,7 +145,9 @@ def fit(positive: list[str | None], unlabelled: list[str | None], prior: float,
                 gp = gp_minus - up * _sigmoid(-fp)
             else:
                 gu, gp = -gu, -gp_minus
-            g = np.bincount(cp, np.repeat(gp, np_), len(w)) + np.bincount(cu, np.repeat(gu, nu), len(w))
+            g = np.zeros(len(w))
+            for c, each in ((cp, np.repeat(gp, np_)), (cu, np.repeat(gu, nu))):
+                g += np.bincount(c, each, len(w))
             g[-1] = gp.sum() + gu.sum()
             g[:-1] += l2 * w[:-1]
             t += 1
@@ -193,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     positive = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).select("text")
     total = texts.count()
     # about twice the sample by hash of the text, of which the first by another hash
-    share = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1_000_000)) < int(min(1.0, 2 * max_unlabelled / total) * 1_000_000 + 1)
+    share = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1_000_000)) < int(min(1.0, 2 * max_unlabelled / max(total, 1)) * 1_000_000 + 1)
     unlabelled = texts.where(share).orderBy(F.xxhash64("text", F.lit(13)), F.xxhash64("id")).limit(max_unlabelled).select("text")
     ordered = sorted(r.text or "" for r in positive.collect())  # an order that no id decides
     return fit(ordered, sorted(r.text or "" for r in unlabelled.collect()), float(toxic) / n, **options)

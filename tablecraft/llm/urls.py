@@ -6,7 +6,7 @@ splits, numpy) on lexical features, and the trees judge the URLs that no rule fi
 Features: lengths of URL, host and path, depth, number of host labels, digit ratio,
 character entropy, number of parameters, fragment, hyphens, and smoothed block rates of
 the top-level domain, of the file suffix and of the first path segment, counted over all
-labelled URLs (without the URL's own label where it trains).
+labelled URLs (for a URL that trains: over the other four fifths of them).
 
 Training takes at most ``max_training`` labelled rows, the first by a hash of the URL; the
 rates cover all of them. Rate tables join by key; Spark broadcasts them when their measured
@@ -32,6 +32,7 @@ from tablecraft.llm.frames import stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RATES = ("tld", "suffix", "head")
+_FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -187,12 +188,16 @@ def judged(pages: DataFrame, known: list[Rule], id_col: str = "page_id", url_col
     labelled = rows.where("label is not null")
     n, blocked = labelled.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = blocked / n if n else 0.0
+    # training URLs take rates from the other folds, so a label never enters its own features
+    fold = F.pmod(F.xxhash64("url", F.lit(32)), F.lit(_FOLDS)).cast("int")
+    rows = rows.withColumn("fold", F.when(F.col("label").isNotNull(), fold))
     for key in RATES:
-        counts = stored(labelled.groupBy(key).agg(F.count("label").alias(f"{key}_n"), F.sum("label").alias(f"{key}_b")), f"rate-{key}")
+        sums = [F.array(*[F.sum(F.when(F.col("fold") == f, x).otherwise(0)) for f in range(_FOLDS)]) for x in (F.lit(1), F.col("label"))]
+        counts = stored(rows.where("label is not null").groupBy(key).agg(
+            F.count("label").alias("n"), F.sum("label").alias("b"), sums[0].alias("n_of"), sums[1].alias("b_of")), f"rate-{key}")
         rows = rows.join(counts, key, "left")
-        own, mine = F.coalesce("label", F.lit(0)), F.when(F.col("label").isNull(), 0).otherwise(1)
-        rate = (F.coalesce(f"{key}_b", F.lit(0)) - own + smoothing * prior) / (F.coalesce(f"{key}_n", F.lit(0)) - mine + smoothing)
-        rows = rows.withColumn(f"{key}_rate", rate)
+        n_used, b_used = (F.coalesce(F.col(x) - F.coalesce(F.get(f"{x}_of", "fold"), F.lit(0)), F.lit(0)) for x in ("n", "b"))
+        rows = rows.withColumn(f"{key}_rate", (b_used + smoothing * prior) / (n_used + smoothing)).drop("n", "b", "n_of", "b_of")
     share = F.pmod(F.xxhash64("url", F.lit(31)), F.lit(1_000_000)) < int(min(1.0, 2 * max_training / max(n, 1)) * 1_000_000 + 1)
     sample = rows.where("label is not null").where(share).orderBy(F.xxhash64("url"), "id").limit(max_training)
     columns = ["url", "host", "path", *(f"{k}_rate" for k in RATES)]

@@ -12,6 +12,7 @@ from tablecraft.operators import versions as V
 from tablecraft.plans import logical as L
 from tablecraft.sources.readers import read_json, read_parquet
 from tablecraft.sources.scratch import scratch_path
+from tablecraft.sources.sinks import write_parquet
 from tablecraft.streaming.jobs import (
     export_transactions_json,
     flag_large,
@@ -38,29 +39,29 @@ def q_tumbling_batch(spark, sf):
 
 def q_stream_tumbling_agg(spark, sf):
     """Watermarked tumbling windows, append mode to Parquet: a window is written once,
-    when the watermark (max event time - lateness) passes its end."""
+    when the watermark (max event time - lateness) passes its end. Windows that it has
+    not passed when the files are drained stay in the state: unfinished output."""
     out, chk = scratch_path(spark, "stream_windows"), scratch_path(spark, "chk_windows")
-    q = run_to_files(tumbling_totals(transactions_stream(spark, sf), WINDOW, LATENESS), out, chk)
+    q = run_to_files(tumbling_totals(transactions_stream(spark, f"{sf}/events.parquet"), WINDOW, LATENESS), out, chk)
     q.awaitTermination()
     return read_parquet(spark, out)
 
 
 def q_stream_upsert_agg(spark, sf):
-    """Update mode: each micro-batch's changed windows are upserted into a versioned
-    table keyed by window start, so the table always holds the latest values."""
+    """Update mode: each micro-batch's changed windows are merged by window start into a
+    Parquet table, so the table always holds the latest values. Every batch writes a new
+    folder named by its number: a repeated batch starts again from its predecessor's."""
     base, chk = scratch_path(spark, "stream_window_table"), scratch_path(spark, "chk_upsert")
+    latest = [None]
 
-    def upsert_batch(batch, _batch_id):
-        # the batch feeds the touched-segment scan, the key check and the merge
-        batch.persist()
-        try:
-            V.upsert_or_create(batch, base, ["window_start"])
-        finally:
-            batch.unpersist()
+    def upsert_batch(batch, batch_id):
+        before = [p for p in (latest[0],) if p]
+        merged = V.upsert(read_parquet(spark, before[0]), batch, ["window_start"]) if before else batch
+        latest[0] = write_parquet(merged, f"{base}/batch={batch_id}")
 
-    q = run_foreach_batch(tumbling_totals(transactions_stream(spark, sf), WINDOW, LATENESS), upsert_batch, chk)
+    q = run_foreach_batch(tumbling_totals(transactions_stream(spark, f"{sf}/events.parquet"), WINDOW, LATENESS), upsert_batch, chk)
     q.awaitTermination()
-    return V.read_version(spark, base)
+    return read_parquet(spark, latest[0])
 
 
 def _json_feed(spark, sf):
@@ -69,7 +70,7 @@ def _json_feed(spark, sf):
 
 
 def q_stream_filter_append(spark, sf):
-    """JSON file stream (one file per trigger, text event time parsed) -> stateless
+    """JSON file stream (text event time parsed) -> stateless
     filter + flag -> JSON file sink."""
     out, chk = scratch_path(spark, "stream_large"), scratch_path(spark, "chk_large")
     src = transactions_json_stream(spark, _json_feed(spark, sf))

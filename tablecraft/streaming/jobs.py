@@ -40,21 +40,30 @@ TX_JSON_SCHEMA = StructType([
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def transactions_stream(spark: SparkSession, source_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Events files read as a stream of payment transactions, ``files_per_trigger``
-    files per micro-batch."""
-    raw = (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "events*.parquet")
-        .parquet(source_dir)
-    )
-    return to_transactions(raw)
-
-
-def export_transactions_json(events: DataFrame, path: str, files: int = 4) -> str:
-    """Write events as JSON-line transaction files with a text ``event_time`` (the shape
-    a payment feed delivers), ``files`` files, each a contiguous time range."""
+def _file_stream(spark: SparkSession, schema: StructType, files_per_trigger: int | None):
+    """Reader of a file stream. Without ``files_per_trigger`` a micro-batch takes all files
+    that are there, so a replay of a backlog sees every row before the watermark moves,
+    whatever the order of the files. A limit suits files that arrive in time order within
+    the allowed lateness."""
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
+
+
+def transactions_stream(spark: SparkSession, source: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Events table at ``source`` (a file, or a folder of part files) as a stream of payment
+    transactions."""
+    reader = _file_stream(spark, EVENTS_SCHEMA, files_per_trigger)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        # a stream reads folders: take the one file of its folder
+        reader, source = reader.option("pathGlobFilter", path.getName()), str(path.getParent())
+    return to_transactions(reader.parquet(source))
+
+
+def export_transactions_json(events: DataFrame, path: str) -> str:
+    """Write events as JSON-line transaction files with a text ``event_time`` (the shape a
+    payment feed delivers), each a contiguous time range; as many files as shuffle
+    partitions."""
     tx = events.select(
         F.col("event_id").alias("transaction_id"),
         F.col("user_id").alias("customer_id"),
@@ -62,18 +71,14 @@ def export_transactions_json(events: DataFrame, path: str, files: int = 4) -> st
         F.when(F.col("event_type") == "purchase", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
         F.date_format(F.col("ts"), EVENT_TIME_FORMAT).alias("event_time"),
     )
-    tx.repartitionByRange(files, "event_time").write.mode("errorifexists").json(path)
+    tx.repartitionByRange("event_time").write.mode("errorifexists").json(path)
     return path
 
 
-def transactions_json_stream(spark: SparkSession, source_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """JSON transaction files as a stream (explicit schema, ``files_per_trigger`` files
-    per micro-batch); the text event time is parsed, malformed text gives null."""
-    raw = (
-        spark.readStream.schema(TX_JSON_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .json(source_dir)
-    )
+def transactions_json_stream(spark: SparkSession, source_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """JSON transaction files as a stream (explicit schema); the text event time is parsed,
+    malformed text gives null."""
+    raw = _file_stream(spark, TX_JSON_SCHEMA, files_per_trigger).json(source_dir)
     return raw.select(
         "transaction_id", "customer_id", "amount", "status",
         F.try_to_timestamp(F.col("event_time"), F.lit(EVENT_TIME_FORMAT)).alias("event_timestamp"),

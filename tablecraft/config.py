@@ -16,8 +16,6 @@ def scale_settings(
     input_bytes: int,
     total_cores: int,
     partition_bytes: int = 256 * MB,
-    max_shuffle_partitions: int = 200_000,
-    rocksdb_state_from_bytes: int = 10 * 1024 * MB,
 ) -> dict[str, str]:
     """Settings so that scan splits and shuffle partitions stay near ``partition_bytes``.
 
@@ -27,11 +25,9 @@ def scale_settings(
       size and splits skewed ones (a partition over 5x the median and 4x the target);
     * broadcasts: the static threshold stays at Spark's 10 MB and AQE may broadcast a side
       it measured below 64 MB at runtime;
-    * streaming state: RocksDB state store from ``rocksdb_state_from_bytes`` of input on
-      (below that, the in-memory default is faster).
+    * streaming state: RocksDB state store, which spills to local disk.
     """
     n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
-    n = min(max_shuffle_partitions, n)
     n = int(math.ceil(n / total_cores) * total_cores)
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -45,12 +41,11 @@ def scale_settings(
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.session.timeZone": "UTC",
     }
-    if input_bytes >= rocksdb_state_from_bytes:
-        # streaming state (window aggregates) in RocksDB: spills to local disk and
-        # checkpoints changes, instead of holding all state on the executor heap
-        settings["spark.sql.streaming.stateStore.providerClass"] = (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        )
+    # streaming state (window aggregates) in RocksDB: spills to local disk and checkpoints
+    # changes, instead of holding all state on the executor heap
+    settings["spark.sql.streaming.stateStore.providerClass"] = (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
     return settings
 
 

@@ -56,7 +56,6 @@ def exact_quantiles(
     probs: dict[str, float],
     num_partitions: int | None = None,
     method: str = "ranged",
-    max_distinct_in_memory: int = 1_000_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (``quantile_cont`` semantics), long
     form ``(stat, value)``, without gathering the values of the column in one task.
@@ -68,15 +67,11 @@ def exact_quantiles(
     arithmetic of Spark's ``percentile``. (SQL engines may round that last step
     differently: results can differ from theirs in the last bit.)
 
-    ``method="auto"`` first estimates the number of distinct values (HyperLogLog); when
-    it is below ``max_distinct_in_memory`` Spark's exact ``percentile`` is used (it holds
-    one count per distinct value, so its memory is bounded by that estimate).
+    ``method="memory"`` is Spark's exact ``percentile``, for columns known to have few
+    distinct values (it holds a count per distinct value in one task).
     """
     from tablecraft.operators.windows import _carry, _checkpoint, _range_split
 
-    if method == "auto":
-        distinct = df.agg(F.approx_count_distinct(column, 0.05)).first()[0]
-        method = "memory" if distinct <= max_distinct_in_memory else "ranged"
     if method == "memory":
         pct = F.percentile(F.col(column), list(probs.values()))
         return df.agg(*[pct[i].cast("double").alias(k) for i, k in enumerate(probs)]).unpivot(
@@ -145,7 +140,7 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max(F.col(c)).cast("double").alias("max"),
         )
         moments = stats.unpivot([], ["count", "mean", "stddev", "min", "max"], "stat", "value")
-        quantiles = exact_quantiles(df, c, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, method="auto")
+        quantiles = exact_quantiles(df, c, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
         parts.append(moments.unionByName(quantiles).select(F.lit(c).alias("column_name"), "stat", "value"))
     out = parts[0]
     for p in parts[1:]:

@@ -5,8 +5,8 @@ ties in an undefined order and makes running values non-deterministic.
 
 A plain window processes each partition key in one task. Every operator here also has
 a range-split form (``ranged=True``) that cuts a large or hot key across tasks; see
-the section "range-split windows" below. ``ranged="auto"`` measures the largest key
-first (:func:`needs_split`) and splits only when one key would overload a task.
+the section "range-split windows" below. The caller chooses the form; both give the
+same result, null keys included.
 """
 
 from __future__ import annotations
@@ -32,14 +32,13 @@ def rank_within(
     order_cols: OrderSpec,
     kind: str = "rank",
     name: str | None = None,
-    ranged: bool | str = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Add ``rank`` / ``dense_rank`` / ``row_number`` (as bigint) within partitions.
 
-    ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`);
-    ``ranged="auto"`` does so only when :func:`needs_split` finds an oversized key.
+    ``ranged=True`` splits large partitions over tasks (:func:`rank_within_ranged`).
     """
-    if _resolve(ranged, df, partition_cols):
+    if ranged:
         return rank_within_ranged(df, partition_cols, order_cols, kind, name)
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
     return df.withColumn(name or kind, fn().over(_spec(partition_cols, order_cols)).cast("long"))
@@ -68,13 +67,13 @@ def running_total(
     order_cols: OrderSpec,
     value_col: str,
     name: str = "running_total",
-    ranged: bool | str = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Exact cumulative sum, frame ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
 
     ``ranged=True`` splits hot keys over tasks (:func:`running_total_ranged`).
     """
-    if _resolve(ranged, df, partition_cols):
+    if ranged:
         return running_total_ranged(df, partition_cols, order_cols, value_col, name)
     w = _spec(partition_cols, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.sum(money(value_col)).over(w).cast("double"))
@@ -89,7 +88,7 @@ def moving_average(
     following: int = 3,
     name: str = "moving_avg",
     rounded: bool = True,
-    ranged: bool | str = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Centred moving average over ``ROWS BETWEEN -preceding AND +following``."""
 
@@ -98,7 +97,7 @@ def moving_average(
         avg = F.sum(money(value_col)).over(f).cast("double") / F.count(F.col(value_col)).over(f)
         return {name: round2(avg) if rounded else avg}
 
-    if _resolve(ranged, df, partition_cols):
+    if ranged:
         return bounded_window_ranged(df, partition_cols, order_cols, build, preceding, following)
     return df.withColumns(build(_spec(partition_cols, order_cols)))
 
@@ -110,7 +109,7 @@ def lag_delta(
     value_col: str,
     prev_name: str = "prev_value",
     delta_name: str = "delta",
-    ranged: bool | str = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Previous value in the partition (null at the first row) and the difference."""
     out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)
@@ -121,7 +120,7 @@ def _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged):
     def build(w):
         return {prev_name: F.lag(F.col(value_col), 1).over(w)}
 
-    if _resolve(ranged, df, partition_cols):
+    if ranged:
         return bounded_window_ranged(df, partition_cols, order_cols, build, 1, 0)
     return df.withColumns(build(_spec(partition_cols, order_cols)))
 
@@ -133,7 +132,7 @@ def lag_pct_change(
     value_col: str,
     prev_name: str = "prev_value",
     pct_name: str = "pct_change",
-    ranged: bool | str = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """Percent change to the previous value, rounded to 2; null when previous is 0/null."""
     out = _with_lag(df, partition_cols, order_cols, value_col, prev_name, ranged)
@@ -151,11 +150,12 @@ def lag_pct_change(
 #
 # 1. ``repartitionByRange`` on ``keys + order`` (sampled bounds split a hot key; equal
 #    sort keys always land in the same range, so ties never straddle two ranges);
-# 2. the window is evaluated per (range, key) segment in that partitioning, and the
-#    result is checkpointed so range ids stay fixed for the steps below;
+# 2. the window is evaluated per (range, key) segment (a second exchange, on range and
+#    key, as Spark can't know that a range is one partition), and the result is
+#    checkpointed so range ids stay fixed for the steps below;
 # 3. a key continues across ranges only as the first or last key of a range, so at
 #    most two segments per range need fixing: a bounded table (<= 2 x ranges rows)
-#    that is safe to broadcast.
+#    that is safe to broadcast. Keys are matched null-safely, as windows group nulls.
 
 
 def _range_split(df: DataFrame, keys: Sequence[str], order: OrderSpec, n: int | None) -> DataFrame:
@@ -170,26 +170,11 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-HOT_KEY_MIN_ROWS = 1_000_000
-
-
-def needs_split(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
-                min_rows: int = HOT_KEY_MIN_ROWS) -> bool:
-    """True when the largest partition key would overload one task: it holds more than
-    ``min_rows`` rows *and* more than two average partitions' worth of rows.
-
-    One map-side-combined count per key, then a two-number aggregate.
-    """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.agg(F.count(F.lit(1)).alias("_n"))
-    biggest, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
-    if not biggest:
-        return False
-    return biggest > max(min_rows, 2 * total / n)
-
-
-def _resolve(ranged, df, keys) -> bool:
-    return needs_split(df, keys) if ranged == "auto" else bool(ranged)
+def _with_segments(local: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a per-segment table; null keys match null keys."""
+    renamed = table.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in table.columns if c not in on])
+    match = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return local.join(renamed, match, how).drop(*[f"_on_{c}" for c in on])
 
 
 def _carry(seg: DataFrame, keys: Sequence[str], metric: str) -> DataFrame:
@@ -226,7 +211,7 @@ def running_total_ranged(
     )
     seg = local.groupBy("_range", *keys).agg(F.sum(money(value_col)).alias("_seg_total"))
     carry = _carry(seg, keys, "_seg_total")
-    out = local.join(F.broadcast(carry), ["_range", *keys], "left").withColumn(
+    out = _with_segments(local, F.broadcast(carry), ["_range", *keys]).withColumn(
         name, (F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).cast("double")
     )
     return out.select(*df.columns, name)
@@ -240,24 +225,43 @@ def rank_within_ranged(
     name: str | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``rank`` / ``dense_rank`` / ``row_number`` with large partitions split over tasks.
+    """``rank`` / ``dense_rank`` / ``row_number`` with large partitions split over tasks."""
+    return rankings_ranged(df, partition_cols, order_cols, {name or kind: kind}, num_partitions=num_partitions)
+
+
+def rankings_ranged(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_cols: OrderSpec,
+    kinds: dict[str, str],
+    tie_breakers: OrderSpec = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Several rankings (``{column: kind}``) from one range split and one checkpoint.
 
     Ranges are cut on exactly ``partition_cols + order_cols``, so tied rows share a
     range: global rank = local rank + rows of the key in earlier ranges, global dense
     rank = local dense rank + distinct order values of the key in earlier ranges.
+    ``tie_breakers`` order tied rows for ``row_number`` only.
     """
     keys = list(partition_cols)
-    name = name or kind
-    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
     w = Window.partitionBy("_range", *keys).orderBy(*order_cols)
-    local = _checkpoint(_range_split(df, keys, order_cols, num_partitions).withColumn("_local", fn().over(w)))
-    metric = F.max("_local") if kind == "dense_rank" else F.count(F.lit(1))
-    seg = local.groupBy("_range", *keys).agg(metric.alias("_seg"))
-    carry = _carry(seg, keys, "_seg")
-    out = local.join(F.broadcast(carry), ["_range", *keys], "left").withColumn(
-        name, (F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).cast("long")
-    )
-    return out.select(*df.columns, name)
+    total = Window.partitionBy("_range", *keys).orderBy(*order_cols, *tie_breakers)
+    fn = {"rank": lambda: F.rank().over(w), "dense_rank": lambda: F.dense_rank().over(w),
+          "row_number": lambda: F.row_number().over(total)}
+    local = {f"_local{i}": fn[kind]() for i, kind in enumerate(kinds.values())}
+    split = _checkpoint(_range_split(df, keys, order_cols, num_partitions).withColumns(local))
+    dense = [c for c, kind in zip(local, kinds.values()) if kind == "dense_rank"]
+    seg = split.groupBy("_range", *keys).agg(
+        F.count(F.lit(1)).alias("_rows"), (F.max(dense[0]) if dense else F.lit(0)).alias("_values"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = seg.select("_range", *keys, F.sum("_rows").over(before).alias("_rows"),
+                       F.sum("_values").over(before).alias("_values")).filter(F.col("_rows").isNotNull())
+    out = _with_segments(split, F.broadcast(carry), ["_range", *keys])
+    for c, (name, kind) in zip(local, kinds.items()):
+        carried = F.col("_values" if kind == "dense_rank" else "_rows")
+        out = out.withColumn(name, (F.col(c) + F.coalesce(carried, F.lit(0))).cast("long"))
+    return out.select(*df.columns, *kinds)
 
 
 def bounded_window_ranged(
@@ -296,8 +300,8 @@ def bounded_window_ranged(
         .select("_range", *keys)
     )
     edges = (
-        local.select(*df.columns, "_range", "_pos", "_cnt")
-        .join(F.broadcast(crossing), ["_range", *keys])
+        _with_segments(local.select(*df.columns, "_range", "_pos", "_cnt"), F.broadcast(crossing),
+                       ["_range", *keys], "inner")
         .filter((F.col("_pos") <= reach) | (F.col("_pos") > F.col("_cnt") - reach))
     )
     fixed = (
@@ -306,6 +310,7 @@ def bounded_window_ranged(
         .select("_range", *keys, "_pos", F.lit(True).alias("_fixed"),
                 *[F.col(c).alias(f"_fix_{c}") for c in cols])
     )
-    out = local.join(F.broadcast(fixed), ["_range", *keys, "_pos"], "left")
+    # its rows grow with the frame, which the caller chooses: Spark picks the join
+    out = _with_segments(local, fixed, ["_range", *keys, "_pos"])
     out = out.withColumns({c: F.when(F.col("_fixed"), F.col(f"_fix_{c}")).otherwise(F.col(c)) for c in cols})
     return out.select(*df.columns, *cols)

@@ -11,8 +11,8 @@ from tablecraft.operators.windows import (
     lag_delta,
     lag_pct_change,
     moving_average,
-    needs_split,
     rank_within,
+    rankings_ranged,
     running_total,
 )
 from tablecraft.plans import logical as L
@@ -21,13 +21,18 @@ from tablecraft.plans.sql_views import msum, sql
 ORDER = ["order_date", "order_id"]  # order id breaks date ties
 
 
+def _completed(spark, sf):
+    """Spend and order histories count completed orders only."""
+    return L.orders_flat(spark, sf).filter(F.col("status") == "COMPLETED")
+
+
 def spend_per_customer(spark, sf, how="inner"):
     """Total order value per customer with the customer's tier (an aggregate of a join).
 
     Orders are aggregated per customer *before* the join (name and tier depend on the
     customer key), so the join and its shuffle see one row per customer.
     """
-    o = L.orders_flat(spark, sf).groupBy("customer_id").agg(money_sum("amount").alias("spend"))
+    o = _completed(spark, sf).groupBy("customer_id").agg(money_sum("amount").alias("spend"))
     c = L.customers(spark, sf).select("customer_id", "customer_name", "tier")
     return o.join(c, "customer_id", how).select("customer_id", "customer_name", "tier", "spend")
 
@@ -36,35 +41,31 @@ def q_rank_in_tier(spark, sf):
     """Rank customers in their tier; a tier is split across tasks (few tiers, many
     customers each)."""
     return rank_within(spend_per_customer(spark, sf), ["tier"], [F.col("spend").desc()], "rank",
-                       "rank_in_tier", ranged="auto")
+                       "rank_in_tier", ranged=True)
 
 
 def q_spend_dense_rank(spark, sf):
     """Left join: orders of unknown customers stay in a null-tier group."""
     return rank_within(spend_per_customer(spark, sf, "left"), ["tier"], [F.col("spend").desc()],
-                       "dense_rank", "dense_rank_in_tier", ranged="auto")
+                       "dense_rank", "dense_rank_in_tier", ranged=True)
 
 
 def q_rank_three_ways(spark, sf):
     """rank, dense_rank and row_number side by side over a SQL derived table.
 
-    Tiers are few and large, so the tier size is measured once and, past the hot-key
-    bound, all three rankings are computed with tiers split across tasks.
+    Tiers are few and large, so they are split across tasks; one split serves all three.
     """
     v = f"spend_{uuid.uuid4().hex[:8]}"
     spend_per_customer(spark, sf).createOrReplaceTempView(v)
     spend = spark.sql(f"SELECT customer_id, tier, spend FROM (SELECT customer_id, tier, spend FROM {v}) t")
-    split = needs_split(spend, ["tier"])
-    by_spend = [F.col("spend").desc()]
-    out = rank_within(spend, ["tier"], by_spend, "rank", "rnk", ranged=split)
-    out = rank_within(out, ["tier"], by_spend, "dense_rank", "dense_rnk", ranged=split)
-    return rank_within(out, ["tier"], by_spend + [F.col("customer_id")], "row_number", "row_num", ranged=split)
+    kinds = {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"}
+    return rankings_ranged(spend, ["tier"], [F.col("spend").desc()], kinds, tie_breakers=["customer_id"])
 
 
 def q_top_customer_per_tier(spark, sf):
     """Chained CTEs ending in a rank-1 filter (planned as a window group limit)."""
     o, c = f"o_{uuid.uuid4().hex[:8]}", f"c_{uuid.uuid4().hex[:8]}"
-    L.orders_flat(spark, sf).createOrReplaceTempView(o)
+    _completed(spark, sf).createOrReplaceTempView(o)
     L.customers(spark, sf).createOrReplaceTempView(c)
     return spark.sql(f"""
         WITH order_values AS (
@@ -85,23 +86,23 @@ def q_top_customer_per_tier(spark, sf):
 def q_running_total(spark, sf):
     """Cumulative spend per customer; a customer with a huge history is split across
     tasks by range partitioning (see ``running_total_ranged``)."""
-    o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return running_total(o, ["customer_id"], ORDER, "amount", "running_total", ranged="auto")
+    o = _completed(spark, sf).select("order_id", "customer_id", "order_date", "amount")
+    return running_total(o, ["customer_id"], ORDER, "amount", "running_total", ranged=True)
 
 
 def q_lag_delta(spark, sf):
-    o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta", ranged="auto")
+    o = _completed(spark, sf).select("order_id", "customer_id", "order_date", "amount")
+    return lag_delta(o, ["customer_id"], ORDER, "amount", "prev_amount", "delta", ranged=True)
 
 
 def q_lag_pct_change(spark, sf):
-    o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change", ranged="auto")
+    o = _completed(spark, sf).select("order_id", "customer_id", "order_date", "amount")
+    return lag_pct_change(o, ["customer_id"], ORDER, "amount", "prev_amount", "pct_change", ranged=True)
 
 
 def q_moving_avg_7(spark, sf):
-    o = L.orders_flat(spark, sf).select("order_id", "customer_id", "order_date", "amount")
-    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7", ranged="auto")
+    o = _completed(spark, sf).select("order_id", "customer_id", "order_date", "amount")
+    return moving_average(o, ["customer_id"], ORDER, "amount", 3, 3, "moving_avg_7", ranged=True)
 
 
 QUERIES = {
@@ -116,7 +117,7 @@ QUERIES = {
 }
 
 _SPEND = ", spend AS (SELECT o.customer_id, c.customer_name, c.tier, " + msum("o.amount") + """ AS spend
-  FROM orders_flat o {how} JOIN customers c ON o.customer_id = c.customer_id
+  FROM (SELECT * FROM orders_flat WHERE status = 'COMPLETED') o {how} JOIN customers c ON o.customer_id = c.customer_id
   GROUP BY o.customer_id, c.customer_name, c.tier)
 """
 _W = "OVER (PARTITION BY customer_id ORDER BY order_date, order_id"
@@ -139,21 +140,21 @@ SELECT customer_id, customer_name, tier, spend FROM (
 SELECT order_id, customer_id, order_date, amount,
        CAST(SUM(CAST(amount AS DECIMAL(18,2))) {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
            AS running_total
-FROM orders_flat"""),
+FROM orders_flat WHERE status = 'COMPLETED'"""),
     "lag_delta": sql(["orders_flat"], f"""
 SELECT order_id, customer_id, order_date, amount, LAG(amount, 1) {_W}) AS prev_amount,
        amount - LAG(amount, 1) {_W}) AS delta
-FROM orders_flat"""),
+FROM orders_flat WHERE status = 'COMPLETED'"""),
     "lag_pct_change": sql(["orders_flat"], f"""
 SELECT order_id, customer_id, order_date, amount, prev_amount,
        CASE WHEN prev_amount = 0 THEN NULL
             ELSE CAST(ROUND(CAST((amount - prev_amount) / prev_amount * 100.0 AS DECIMAL(38,10)), 2) AS DOUBLE) END
            AS pct_change
-FROM (SELECT *, COALESCE(LAG(amount, 1) {_W}), 0.0) AS prev_amount FROM orders_flat) t"""),
+FROM (SELECT *, COALESCE(LAG(amount, 1) {_W}), 0.0) AS prev_amount FROM orders_flat WHERE status = 'COMPLETED') t"""),
     "moving_avg_7": sql(["orders_flat"], f"""
 SELECT order_id, customer_id, order_date, amount,
        CAST(ROUND(CAST(CAST(SUM(CAST(amount AS DECIMAL(18,2))) {_W} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS DOUBLE)
             / COUNT(amount) {_W} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS DECIMAL(38,10)), 2) AS DOUBLE)
            AS moving_avg_7
-FROM orders_flat"""),
+FROM orders_flat WHERE status = 'COMPLETED'"""),
 }

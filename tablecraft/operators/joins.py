@@ -4,9 +4,9 @@ Spark already chooses broadcast, sort-merge or shuffled-hash joins, and adaptive
 execution re-plans at runtime (small side -> broadcast, skewed partition -> split).
 These helpers only add what Spark does not decide by itself:
 
-* ``bounded_broadcast`` broadcasts a side only after proving it has at most
-  ``max_rows`` rows (a ``limit(n + 1).count()`` probe that stops early); past the
-  bound the side is joined by shuffle.
+* ``bounded_broadcast`` hints a broadcast only when the optimizer's size estimate of the
+  side is within a byte limit; past it the side is joined by shuffle, and AQE may still
+  broadcast it once its shuffle size is known.
 * ``salted_join`` spreads hot keys of the big side over ``salts`` sub-keys with a
   deterministic hash (a task retry sees the same salt, unlike ``rand``) and
   replicates only the matching rows of the small side.
@@ -24,14 +24,19 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import hash_bucket
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 32 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it from file sizes; runs no job. The
+    estimate of a filter or projection is not below its output, that of a join may be
+    far above it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is estimated at ``max_bytes`` or less, else ``df`` unchanged."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def join(
@@ -40,15 +45,15 @@ def join(
     on: str | Sequence[str] | Column,
     how: str = "inner",
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with an optional strategy request.
 
     ``auto`` leaves the choice to Catalyst and AQE; ``broadcast`` broadcasts ``right``
-    only within ``max_broadcast_rows``; ``merge`` and ``shuffle_hash`` are join hints.
+    only within ``max_broadcast_bytes``; ``merge`` and ``shuffle_hash`` are join hints.
     """
     if strategy == "broadcast":
-        right = bounded_broadcast(right, max_broadcast_rows)
+        right = bounded_broadcast(right, max_broadcast_bytes)
     elif strategy in ("merge", "shuffle_hash", "shuffle_replicate_nl"):
         right = right.hint(strategy)
     elif strategy != "auto":
@@ -65,8 +70,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.05) -> lis
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(1, int(total * min_share))
-    return [tuple(r) for r in counts.filter(F.col("_n") >= threshold).select(*keys).collect()]
+    if not total:
+        return []
+    return [tuple(r) for r in counts.filter(F.col("_n") >= max(total * min_share, 2)).select(*keys).collect()]
 
 
 def salted_join(
@@ -121,33 +127,28 @@ def temporal_join(
     from_col: str = "effective_from",
     to_col: str = "effective_to",
     how: str = "left",
-    method: str = "auto",
-    max_versions_per_key: int = 64,
+    method: str = "join",
 ) -> DataFrame:
     """Join each fact row to the dimension version valid at ``event_col``.
 
     Valid means ``from <= t`` and (``to`` is null or ``t <= to``), both ends
     inclusive. The dimension's key columns are dropped from the output.
 
-    ``method="sweep"`` (default) is an as-of merge for dimensions whose versions do not
-    overlap per key (SCD-2): facts and versions are sorted together per key and each
+    The caller names the method; nothing about the data changes it. ``method="join"``
+    (default) is the equi-join with the interval as a residual condition: overlapping
+    versions are allowed, and a fact matches every valid version. ``method="sweep"``
+    promises versions that do not overlap per key, and is an as-of merge (SCD-2): facts and versions are sorted together per key and each
     fact takes the latest version started at or before it, which is then checked
     against ``to``. No fact x version comparisons, and a hot key is split across tasks
-    (range split with a carried "last version"). ``method="join"`` is the general
-    equi-join with the interval as a residual condition (overlapping versions allowed:
-    a fact then matches every valid version). ``method="auto"`` counts versions per
-    key and sweeps only when some key has more than ``max_versions_per_key`` of them
-    (then a join would compare every fact of that key with every version).
+    (range split with a carried "last version"); on overlapping versions it gives the
+    latest started one.
     """
     keys = list(keys)
-    if method == "auto":
-        most = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        method = "sweep" if (most or 0) > max_versions_per_key else "join"
     if method == "join":
         return _temporal_equi_join(fact, dim, keys, event_col, from_col, to_col, how)
     if method != "sweep":
         raise ValueError(f"unknown method {method!r}")
-    from tablecraft.operators.windows import _checkpoint, _range_split
+    from tablecraft.operators.windows import _checkpoint, _range_split, _with_segments
 
     dim_cols = [c for c in dim.columns if c not in keys]
     fact_cols = [c for c in fact.columns if c not in keys]
@@ -184,9 +185,9 @@ def temporal_join(
     v = F.coalesce(F.col("_last"), F.col("_carry"))
     valid = v.isNotNull() & (v.getField(to_col).isNull() | (F.col("_t") <= v.getField(to_col)))
     matched = (
-        local.filter(F.col("_kind") == 1)
-        .join(F.broadcast(carry), ["_range", *keys], "left")
-        .withColumn("_v", F.when(valid, v))
+        _with_segments(local.filter(F.col("_kind") == 1), F.broadcast(carry), ["_range", *keys])
+        # a null key matches no version, as in a join
+        .withColumn("_v", F.when(valid & ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)), v))
     )
     if how == "inner":
         matched = matched.filter(F.col("_v").isNotNull())

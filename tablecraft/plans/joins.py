@@ -30,7 +30,7 @@ def q_join_left(spark, sf):
 
 
 def q_join_broadcast(spark, sf):
-    """Broadcast the customer side, but only after proving it is within the row bound."""
+    """Broadcast the customer side, but only after checking its estimated size."""
     return _enriched(spark, sf, "inner", "broadcast")
 
 

@@ -70,11 +70,11 @@ def parse_timestamp(c: ColumnOrName, fmt: str | None = None) -> Column:
 def discount(value: ColumnOrName, code: ColumnOrName) -> Column:
     """Discounted order value as a built-in expression.
 
-    null value -> 0.0; null or unknown code -> value; codes are case-insensitive.
+    null or NaN value -> 0.0; null or unknown code -> value; codes are case-insensitive.
     """
     v, c = _col(value).cast("double"), F.upper(_col(code))
     return (
-        F.when(v.isNull(), F.lit(0.0))
+        F.when(v.isNull() | F.isnan(v), F.lit(0.0))
         .when(c.isNull(), v)
         .when(c == DISCOUNT_SAVE10, v * F.lit(0.9))
         .when(c == DISCOUNT_FLAT500, F.greatest(F.lit(0.0), v - F.lit(500.0)))
@@ -84,9 +84,9 @@ def discount(value: ColumnOrName, code: ColumnOrName) -> Column:
 
 
 def order_category(value: ColumnOrName, status: ColumnOrName) -> Column:
-    """Order category: UNKNOWN for null inputs first, then status, then value bands."""
+    """Order category: UNKNOWN for null or NaN inputs first, then status, then value bands."""
     v, s = _col(value).cast("double"), _col(status)
-    expr = F.when(v.isNull() | s.isNull(), F.lit("UNKNOWN")).when(
+    expr = F.when(v.isNull() | F.isnan(v) | s.isNull(), F.lit("UNKNOWN")).when(
         s != F.lit("COMPLETED"), F.lit("NON_COMPLETED")
     )
     for floor, name in CATEGORY_BANDS:

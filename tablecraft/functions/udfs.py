@@ -2,7 +2,8 @@
 
 The built-in expressions in :mod:`tablecraft.functions.columns` are the fast path; the
 pandas UDFs exist for callers that need a registered function name in SQL
-(``SELECT apply_discount(v, code)``) and they give identical results.
+(``SELECT apply_discount(v, code)``) and they give identical results; in both, NaN is
+a missing value.
 """
 
 from __future__ import annotations

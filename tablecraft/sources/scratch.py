@@ -2,12 +2,14 @@
 
 Writes (sinks, snapshot versions, stream checkpoints, lineage cuts) go under the
 shared folder the cluster names in ``spark.checkpoint.dir``. A session without that
-setting (a laptop or a unit test) gets a private temporary folder, which is also set
-as the checkpoint directory so ``DataFrame.checkpoint()`` works there too.
+setting gets a private temporary folder only in local mode (a laptop or a unit test),
+where all tasks share the machine; on a cluster its absence is an error, as executors
+would write to folders that the others cannot see.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,11 +19,13 @@ _CONF = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a temporary one only when unset."""
+    """The session's shared checkpoint folder; a temporary one only in local mode."""
     root = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"set {_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tablecraft-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

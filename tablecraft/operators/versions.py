@@ -1,57 +1,33 @@
-"""Versioned snapshot tables on plain Parquet: write, append, upsert, delete, time
-travel, schema change, compaction, retention, history.
+"""Merge-style changes of tables kept as plain Parquet folders.
 
-Layout under ``base``::
-
-    base/segments/<id>/    immutable Parquet data written by one commit
-    base/_history/         one row per version: version, operation, segments, row_count
-
-A version is the list of segments it reads. Appends add a segment (no rewrite).
-Upsert and delete find the segments that hold a matched key / a deleted row (a scan of
-the key columns tagged with each row's segment) and rewrite only those into one new
-segment; untouched segments carry over. Schema change and compaction rewrite
-everything (that is their purpose). Segments are never modified, so a reader of
-version N is never disturbed by later commits, and a failed commit leaves no history
-row (the new segment is simply unreferenced). The operators assume a single writer
-per table: there is no concurrent-commit protocol.
-
-The relational cores (:func:`upsert`, :func:`delete_where`) are DataFrame ->
-DataFrame functions usable without the snapshot layout.
+The functions are DataFrame to DataFrame; a caller that needs an earlier state keeps the
+folder it was written to. Nothing here tracks versions or files.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
-
-HISTORY_SCHEMA = StructType([
-    StructField("version", LongType()),
-    StructField("operation", StringType()),
-    StructField("segments", ArrayType(StringType())),
-    StructField("row_count", LongType()),
-    StructField("committed_at", TimestampType()),
-])
 
+from tablecraft.config import MB, input_size
 
-class DuplicateSourceKeys(ValueError):
-    pass
 
-
-# ------------------------------------------------------------------ relational cores
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched keys take the source row (update all), unmatched source rows are
-    inserted, other target rows are kept. Source keys must be unique."""
+    """Matched keys take the source row (update all), unmatched source rows are inserted,
+    other target rows are kept. A null key matches nothing.
+
+    Several source rows for one target row make the update ambiguous; that raises when the
+    result is computed. Several source rows with a new key are all inserted.
+    """
     keys = list(keys)
-    dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise DuplicateSourceKeys(f"source has repeated keys on {keys}")
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    matches = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_matches"))
+    joined = target.join(matches, keys, "left")
+    ambiguous = F.raise_error(F.lit(f"several source rows match one target row on {', '.join(keys)}")).cast("boolean")
+    kept = joined.filter(F.when(F.col("_matches") > 1, ambiguous).otherwise(F.col("_matches").isNull()))
+    return kept.drop("_matches").select(*target.columns).unionByName(source, allowMissingColumns=True)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -59,178 +35,6 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-# ------------------------------------------------------------------ snapshot layout
-def _history_path(base: str) -> str:
-    return f"{base}/_history"
-
-
-def history(spark: SparkSession, base: str) -> DataFrame:
-    """All versions, oldest first."""
-    return spark.read.schema(HISTORY_SCHEMA).parquet(_history_path(base)).orderBy("version")
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def _version_row(spark: SparkSession, base: str, version: int | None = None):
-    """The history row of ``version`` (latest if None), or None. Only that one row
-    comes to the driver, however long the history is."""
-    if not _path_exists(spark, _history_path(base)):
-        return None
-    h = spark.read.schema(HISTORY_SCHEMA).parquet(_history_path(base)).select("version", "segments")
-    if version is None:
-        rows = h.orderBy(F.col("version").desc()).limit(1).collect()
-    else:
-        rows = h.filter(F.col("version") == version).limit(1).collect()
-    return rows[0] if rows else None
-
-
-def exists(spark: SparkSession, base: str) -> bool:
-    return _version_row(spark, base) is not None
-
-
-def _segment_paths(base: str, segments: Sequence[str]) -> list[str]:
-    return [f"{base}/segments/{s}" for s in segments]
-
-
-def _read_segments(spark: SparkSession, base: str, segments: Sequence[str]) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*_segment_paths(base, segments))
-
-
-def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
-    """Content at ``version`` (latest if None); columns of all segments are merged."""
-    row = _version_row(spark, base, version)
-    if row is None:
-        if not exists(spark, base):
-            raise FileNotFoundError(f"no table at {base}")
-        raise KeyError(f"{base} has no version {version}")
-    return _read_segments(spark, base, row.segments)
-
-
-def _with_segment(df: DataFrame) -> DataFrame:
-    """Tag each scanned row with the segment its file belongs to."""
-    return df.withColumn("_segment", F.regexp_extract(F.input_file_name(), r"/segments/([0-9a-f]+)/", 1))
-
-
-def _touched(rows_hit: DataFrame) -> list[str]:
-    """Distinct segment ids of the hit rows (at most one row per segment reaches the driver)."""
-    return sorted(r._segment for r in rows_hit.select("_segment").distinct().collect())
-
-
-_UNSET = object()
-
-
-def _commit(df: DataFrame | None, base: str, operation: str, carried: Sequence[str], spark=None,
-            last=_UNSET) -> int:
-    """New version = ``carried`` segments + one new segment holding ``df`` (if any).
-    ``last`` is the current latest history row when the caller already has it."""
-    spark = spark or df.sparkSession
-    if last is _UNSET:
-        last = _version_row(spark, base)
-    version = last.version + 1 if last is not None else 0
-    segments = list(carried)
-    if df is not None:
-        segment = uuid.uuid4().hex
-        df.write.mode("errorifexists").parquet(f"{base}/segments/{segment}")
-        segments.append(segment)
-    total = _read_segments(spark, base, segments).count() if segments else 0  # Parquet footers
-    entry = spark.createDataFrame(
-        [(version, operation, segments, total, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-        HISTORY_SCHEMA,
-    )
-    entry.coalesce(1).write.mode("append").parquet(_history_path(base))
-    return version
-
-
-def _latest(spark: SparkSession, base: str):
-    row = _version_row(spark, base)
-    if row is None:
-        raise FileNotFoundError(f"no table at {base}")
-    return row
-
-
-def write_version(df: DataFrame, base: str, operation: str = "WRITE") -> int:
-    """New version whose content is exactly ``df`` (overwrite; schema may change)."""
-    return _commit(df, base, operation, [])
-
-
-def append_version(df: DataFrame, base: str) -> int:
-    """New version = previous content plus ``df`` (no rewrite of existing data)."""
-    last = _latest(df.sparkSession, base)
-    return _commit(df, base, "APPEND", list(last.segments), last=last)
-
-
-def upsert_version(source: DataFrame, base: str, keys: Sequence[str], last=None) -> int:
-    """Merge ``source`` by ``keys``: only segments holding a matched key are rewritten."""
-    spark = source.sparkSession
-    keys = list(keys)
-    last = last or _latest(spark, base)
-    segments = list(last.segments)
-    tagged = _with_segment(_read_segments(spark, base, segments)).select(*keys, "_segment")
-    touched = _touched(tagged.join(source.select(*keys), keys, "left_semi"))
-    carried = [s for s in segments if s not in touched]
-    if touched:
-        merged = upsert(_read_segments(spark, base, touched), source, keys)
-    else:
-        merged = upsert(source.limit(0), source, keys)  # same duplicate-key check
-    return _commit(merged, base, "MERGE", carried, last=last)
-
-
-def upsert_or_create(source: DataFrame, base: str, keys: Sequence[str]) -> int:
-    """Merge into an existing table, or create it from ``source``."""
-    last = _version_row(source.sparkSession, base)
-    if last is not None:
-        return upsert_version(source, base, keys, last=last)
-    return _commit(source, base, "WRITE", [], last=None)
-
-
-def delete_version(spark: SparkSession, base: str, condition: Column) -> int:
-    """Delete rows where ``condition`` is true: only segments holding such rows are rewritten."""
-    last = _latest(spark, base)
-    segments = list(last.segments)
-    tagged = _with_segment(_read_segments(spark, base, segments))
-    touched = _touched(tagged.filter(F.coalesce(condition, F.lit(False))))
-    carried = [s for s in segments if s not in touched]
-    rewritten = delete_where(_read_segments(spark, base, touched), condition) if touched else None
-    return _commit(rewritten, base, "DELETE", carried, spark, last=last)
-
-
-def add_column_version(spark: SparkSession, base: str, name: str, value: Column) -> int:
-    """Schema change: the latest content with one more column, as a new version."""
-    return _commit(read_version(spark, base).withColumn(name, value), base, "ADD COLUMN", [])
-
-
-def compact(spark: SparkSession, base: str, files: int = 1) -> int:
-    """Rewrite the latest content into ``files`` files (no shuffle), same rows."""
-    return _commit(read_version(spark, base).coalesce(files), base, "OPTIMIZE", [])
-
-
-def expire_versions(spark: SparkSession, base: str, keep: int = 1) -> list[str]:
-    """Delete segments referenced only by versions older than the newest ``keep``.
-
-    ``keep`` must be >= 1: the current version is never expired. Older versions stay in
-    the history but can no longer be read.
-    """
-    if keep < 1:
-        raise ValueError("keep must be >= 1")
-    last = _version_row(spark, base)
-    if last is None:
-        return []
-    cutoff = last.version - keep + 1
-    segs = history(spark, base).select("version", F.explode("segments").alias("segment"))
-    live = segs.filter(F.col("version") >= cutoff).select("segment")
-    old = segs.filter(F.col("version") < cutoff).select("segment")
-    # only the segment ids to delete reach the driver
-    dead = sorted(r.segment for r in old.subtract(live).collect())
-    for s in dead:
-        p, fs = _hadoop_path(spark, f"{base}/segments/{s}")
-        fs.delete(p, True)
-    return dead
+def compacted(spark: SparkSession, path: str, file_bytes: int = 256 * MB) -> DataFrame:
+    """The table at ``path``, dealt out to files of about ``file_bytes`` when written."""
+    return spark.read.parquet(path).repartition(max(1, math.ceil(input_size([path], spark) / file_bytes)))

@@ -1,5 +1,6 @@
-"""Versioned order table: two overlapping order batches written, appended, merged,
-deleted from, widened, compacted, read at past versions.
+"""Order table as plain Parquet: two overlapping order batches written, appended, merged,
+deleted from, widened and compacted. Every state has its own folder, so an earlier one can
+still be read.
 
 Batch 1: orders dated before 1999 as first seen (all PENDING).
 Batch 2: orders dated 1998 or later with their final status. The 1998 orders are
@@ -14,7 +15,9 @@ from tablecraft.functions.columns import status_from_code
 from tablecraft.operators import versions as V
 from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import STATUS_CASE
+from tablecraft.sources.readers import read_parquet
 from tablecraft.sources.scratch import scratch_path
+from tablecraft.sources.sinks import write_parquet
 
 KEYS = ["order_id"]
 BATCH1_BEFORE = "1999-01-01"
@@ -45,62 +48,68 @@ def _new_in_batch2(spark, sf):
     return batch2(spark, sf).filter(F.col("order_date") >= F.lit(BATCH1_BEFORE).cast("date"))
 
 
-def _base(spark):
-    return scratch_path(spark, "order_table")
+def _written(df):
+    """Path of a new folder that holds ``df``."""
+    return write_parquet(df, scratch_path(df.sparkSession, "order_table"))
 
 
-def q_table_append(spark, sf):
-    base = _base(spark)
-    V.write_version(batch1(spark, sf), base)
-    V.append_version(_new_in_batch2(spark, sf), base)
-    return V.read_version(spark, base)
+def _appended(spark, sf):
+    path = _written(batch1(spark, sf))
+    return write_parquet(_new_in_batch2(spark, sf), path, mode="append")
+
+
+def _merged(spark, sf, path=None):
+    before = path or _written(batch1(spark, sf))
+    return before, _written(V.upsert(read_parquet(spark, before), batch2(spark, sf), KEYS))
 
 
-def _merged(spark, sf):
-    base = _base(spark)
-    V.upsert_or_create(batch1(spark, sf), base, KEYS)  # creates
-    V.upsert_or_create(batch2(spark, sf), base, KEYS)  # merges
-    return base
+def q_table_append(spark, sf):
+    """Plain append to a Parquet folder."""
+    return read_parquet(spark, _appended(spark, sf))
 
 
 def q_table_upsert(spark, sf):
-    return V.read_version(spark, _merged(spark, sf))
+    return read_parquet(spark, _merged(spark, sf)[1])
+
+
+def _without_cancelled(spark, path):
+    return _written(V.delete_where(read_parquet(spark, path), F.col("status") == "CANCELLED"))
 
 
 def q_table_delete(spark, sf):
-    base = _merged(spark, sf)
-    V.delete_version(spark, base, F.col("status") == "CANCELLED")
-    return V.read_version(spark, base)
+    return read_parquet(spark, _without_cancelled(spark, _merged(spark, sf)[1]))
 
 
 def q_table_time_travel(spark, sf):
-    base = _merged(spark, sf)
-    return V.read_version(spark, base, 0)
+    """The state before the merge, from the folder it was written to."""
+    return read_parquet(spark, _merged(spark, sf)[0])
 
 
 def q_table_schema_change(spark, sf):
-    base = _base(spark)
-    V.write_version(batch1(spark, sf), base)
-    V.add_column_version(spark, base, "discount", F.lit(0.0))
-    return V.read_version(spark, base)
+    """The whole merged table with a column more."""
+    _, path = _merged(spark, sf)
+    return read_parquet(spark, _written(read_parquet(spark, path).withColumn("discount", F.lit(0.0))))
 
 
 def q_table_compact(spark, sf):
-    base = _base(spark)
-    V.write_version(batch1(spark, sf), base)
-    V.append_version(_new_in_batch2(spark, sf), base)
-    V.compact(spark, base, files=1)
-    return V.read_version(spark, base)
+    """The appended table with files of a fixed size."""
+    return read_parquet(spark, _written(V.compacted(spark, _appended(spark, sf))))
 
 
 def q_table_history(spark, sf):
-    base = _base(spark)
-    V.write_version(batch1(spark, sf), base)
-    V.append_version(_new_in_batch2(spark, sf), base)
-    V.upsert_version(batch2(spark, sf), base, KEYS)
-    V.delete_version(spark, base, F.col("status") == "CANCELLED")
-    V.compact(spark, base)
-    return V.history(spark, base).select("version", "operation", "row_count")
+    """Rows of the table after each step of its life."""
+    first = _written(batch1(spark, sf))
+    appended = write_parquet(_new_in_batch2(spark, sf), _written(read_parquet(spark, first)), mode="append")
+    _, merged = _merged(spark, sf, appended)
+    deleted = _without_cancelled(spark, merged)
+    steps = {"WRITE": first, "APPEND": appended, "MERGE": merged, "DELETE": deleted,
+             "OPTIMIZE": _written(V.compacted(spark, deleted))}
+    out = None
+    for i, (operation, path) in enumerate(steps.items()):
+        rows = read_parquet(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
+        one = rows.select(F.lit(i).cast("long").alias("version"), F.lit(operation).alias("operation"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 QUERIES = {
@@ -131,7 +140,7 @@ ORACLE = {
     "table_upsert": _CTE + "SELECT * FROM merged",
     "table_delete": _CTE + "SELECT * FROM merged WHERE NOT COALESCE(status = 'CANCELLED', false)",
     "table_time_travel": _CTE + "SELECT * FROM b1",
-    "table_schema_change": _CTE + "SELECT *, CAST(0.0 AS DOUBLE) AS discount FROM b1",
+    "table_schema_change": _CTE + "SELECT *, CAST(0.0 AS DOUBLE) AS discount FROM merged",
     "table_compact": _CTE + "SELECT * FROM appended",
     "table_history": _CTE + """
 SELECT * FROM (VALUES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,3 +40,15 @@ def flatten_items(
     exploded = df.withColumn(item_alias, gen(F.col(array_col)))
     cols = [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in fields.items()]
     return exploded.select(*cols)
+
+
+def struct_columns(df: DataFrame, structs: Sequence[str], prefixed: Collection[str] = ()) -> DataFrame:
+    """``df`` with the fields of the named struct columns in place of the structs, as the
+    schema lists them. Fields in ``prefixed`` are named ``struct_field``; a field whose
+    name is a column of ``df`` already is left out."""
+    fields = [
+        (c, f, f"{c}_{f}" if f in prefixed else f)
+        for c in structs for f in df.schema[c].dataType.names
+    ]
+    own = [c for c in df.columns if c not in structs]
+    return df.select(*own, *[F.col(f"{c}.{f}").alias(name) for c, f, name in fields if name not in own])

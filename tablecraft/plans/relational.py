@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,46 +68,52 @@ def q_category_udf(spark, sf):
     )
 
 
-def _discounted(df: DataFrame, use_udf: bool) -> DataFrame:
-    df = with_order_value(df)
+BUILT_IN = {"apply_discount": discount, "order_category": order_category}
+
+
+def _priced(spark, orders: DataFrame, use_udf: bool) -> DataFrame:
+    """Orders with their gross value, what the promotion takes off, and the category of
+    the net value; the rules come as registered functions or as built-in expressions."""
     if use_udf:
-        disc = F.call_udf("apply_discount", F.col("order_value"), F.col("promo_code"))
-    else:
-        disc = discount("order_value", "promo_code")
-    df = df.withColumn("discounted_value", disc).withColumn(
-        "discount_amount", F.col("order_value") - F.col("discounted_value")
-    )
-    cat = (
-        F.call_udf("order_category", F.col("discounted_value"), F.col("status"))
-        if use_udf
-        else order_category("discounted_value", "status")
-    )
-    return df.withColumn("category", cat)
+        udfs.register(spark)
+    rule = {name: partial(F.call_udf, name) if use_udf else BUILT_IN[name] for name in BUILT_IN}
+    net = with_order_value(orders).withColumn(
+        "discounted_value", rule["apply_discount"](F.col("order_value"), F.col("promo_code")))
+    return net.withColumns({
+        "category": rule["order_category"](F.col("discounted_value"), F.col("status")),
+        "discount_amount": F.col("order_value") - F.col("discounted_value"),
+    })
+
+
+PRICED = ["order_value", "discounted_value", "discount_amount", "category"]
 
 
-DISCOUNT_COLS = ["order_id", "product", "promo_code", "order_value", "discounted_value", "discount_amount", "category"]
+def _priced_orders(spark, sf, use_udf):
+    return _priced(spark, L.orders_v3(spark, sf), use_udf).select("order_id", "product", "promo_code", *PRICED)
 
 
 def q_discount_builtin(spark, sf):
-    return _discounted(L.orders_v3(spark, sf), use_udf=False).select(*DISCOUNT_COLS)
+    return _priced_orders(spark, sf, use_udf=False)
 
 
 def q_discount_udf(spark, sf):
-    udfs.register(spark)
-    return _discounted(L.orders_v3(spark, sf), use_udf=True).select(*DISCOUNT_COLS)
+    return _priced_orders(spark, sf, use_udf=True)
+
+
+def grouped_report(spark, view: str, keys: list[str], sums: dict[str, str], where: str) -> DataFrame:
+    """SQL report over ``view``: orders and the sums of the given measures (output name ->
+    column, to the cent) per key, the first sum descending."""
+    measures = ", ".join(f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(18,4))), 2) AS DOUBLE) AS {name}" for name, c in sums.items())
+    by = ", ".join(keys)
+    return spark.sql(f"SELECT {by}, COUNT(order_id) AS order_count, {measures} FROM {view} WHERE {where} "
+                     f"GROUP BY {by} ORDER BY {next(iter(sums))} DESC")
 
 
 def q_discount_report(spark, sf):
-    """SQL over a view whose columns come from the registered UDFs."""
-    udfs.register(spark)
-    v = _view(_discounted(L.orders_v3(spark, sf), use_udf=True), "orders_with_discount")
-    return spark.sql(f"""
-        SELECT product, promo_code, COUNT(order_id) AS order_count,
-               CAST(ROUND(SUM(CAST(order_value AS DECIMAL(18,4))), 2) AS DOUBLE) AS gross_revenue,
-               CAST(ROUND(SUM(CAST(discounted_value AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_revenue,
-               CAST(ROUND(SUM(CAST(discount_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_discount_given
-        FROM {v} WHERE status = 'COMPLETED'
-        GROUP BY product, promo_code ORDER BY gross_revenue DESC""")
+    """Revenue before and after discounts, from a view whose columns are registered UDFs."""
+    v = _view(_priced(spark, L.orders_v3(spark, sf), use_udf=True), "priced_orders")
+    sums = {"gross_revenue": "order_value", "net_revenue": "discounted_value", "total_discount_given": "discount_amount"}
+    return grouped_report(spark, v, ["product", "promo_code"], sums, "status = 'COMPLETED'")
 
 
 # ----------------------------------------------------------------- aggregations
@@ -141,7 +148,8 @@ def q_revenue_by_tier_product(spark, sf):
                    SUM(CAST(quantity * price AS DECIMAL(18,2))) AS s
             FROM {o} WHERE status = 'COMPLETED' GROUP BY customer_id, product
         )
-        SELECT c.tier, p.product, SUM(p.n) AS order_count, CAST(SUM(p.s) AS DOUBLE) AS total_revenue
+        SELECT c.tier, p.product, SUM(p.n) AS order_count, CAST(SUM(p.s) AS DOUBLE) AS total_revenue,
+               CAST(ROUND(CAST(CAST(SUM(p.s) AS DOUBLE) / SUM(p.n) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_order_value
         FROM per_customer p JOIN {c} c ON p.customer_id = c.customer_id
         GROUP BY c.tier, p.product
         ORDER BY c.tier, total_revenue DESC""")
@@ -154,7 +162,7 @@ def q_total_revenue(spark, sf):
 
 def q_max_order_per_customer(spark, sf):
     """Left join keeps orders of unknown customers in a null-name group."""
-    o = with_order_value(L.orders_v2(spark, sf))
+    o = with_order_value(completed(L.orders_v2(spark, sf)))
     per_customer = o.groupBy("customer_id").agg(
         F.max("order_value").alias("max_order_value"), F.count(F.lit(1)).alias("order_count")
     )
@@ -186,7 +194,7 @@ WORD_SPLIT = r"[ \t\n\r\f\x0B]+"
 
 def q_word_count(spark, sf):
     """Case-sensitive word counts over the full text of every document."""
-    words = L.table(spark, sf, "documents").select(F.explode(F.split("text", WORD_SPLIT)).alias("word"))
+    words = L.table(spark, sf, "documents").select(F.explode(F.split(F.trim("text"), WORD_SPLIT)).alias("word"))
     return words.filter(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -315,7 +323,8 @@ SELECT c.tier, COUNT(*) AS order_count, {msum('o.quantity * o.price')} AS total_
        {r2(mmean('o.quantity * o.price'))} AS avg_order_value
 {_TIER_JOIN} GROUP BY c.tier"""),
     "revenue_by_tier_product": sql(["orders_v2", "customers"], f"""
-SELECT c.tier, o.product, COUNT(*) AS order_count, {msum('o.quantity * o.price')} AS total_revenue
+SELECT c.tier, o.product, COUNT(*) AS order_count, {msum('o.quantity * o.price')} AS total_revenue,
+       {r2(mmean('o.quantity * o.price'))} AS avg_order_value
 {_TIER_JOIN} GROUP BY c.tier, o.product"""),
     "total_revenue": sql(["orders_v2"], f"""
 SELECT COUNT(*) AS order_count, {msum('quantity * price')} AS total_revenue,
@@ -324,7 +333,7 @@ FROM orders_v2 WHERE status = 'COMPLETED'"""),
     "max_order_per_customer": sql(["orders_v2", "customers"], """
 SELECT o.customer_id, c.customer_name, MAX(o.quantity * o.price) AS max_order_value, COUNT(*) AS order_count
 FROM orders_v2 o LEFT JOIN customers c ON o.customer_id = c.customer_id
-GROUP BY o.customer_id, c.customer_name"""),
+WHERE o.status = 'COMPLETED' GROUP BY o.customer_id, c.customer_name"""),
     "top_customers": sql(["orders_v2"], f"""
 SELECT customer_id, {msum('quantity * price')} AS total_spend
 FROM orders_v2 WHERE status = 'COMPLETED' GROUP BY customer_id
@@ -333,7 +342,7 @@ ORDER BY total_spend DESC, customer_id ASC LIMIT 10"""),
     "null_audit": sql(["orders_dirty"], _NULLS),
     "word_count": r"""
 SELECT word, COUNT(*) AS n FROM (
-  SELECT unnest(string_split_regex(text, '[ \t\n\r\f\x0B]+')) AS word FROM documents) t
+  SELECT unnest(string_split_regex(trim(text), '[ \t\n\r\f\x0B]+')) AS word FROM documents) t
 WHERE word <> '' GROUP BY word""",
     "scan_parquet_count": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in L.TABLES

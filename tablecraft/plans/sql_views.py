@@ -72,7 +72,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
            o.o_orderdate AS event_timestamp,
            c.customer_name, c.tier, c.city,
            o.o_orderpriority AS payment_method,
-           CASE WHEN o.o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS payment_status,
+           CASE WHEN o.o_orderpriority = '5-LOW' THEN 'FAILED' ELSE 'SUCCESS' END AS payment_status,
            o.o_totalprice AS amount,
            it.price, it.product, it.quantity
     FROM orders o

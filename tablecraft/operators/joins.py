@@ -79,20 +79,24 @@ def salted_join(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
-    salts: int = 8,
+    salts: int | None = None,
     how: str = "inner",
     hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """Equi-join on ``keys`` with hot keys of ``big`` split ``salts`` ways.
+    """Equi-join on ``keys`` with hot keys of ``big`` split ``salts`` ways (by default over
+    as many sub-keys as there are shuffle partitions, so that a key's share of a task
+    falls as the cluster grows).
 
     ``hot`` lists the key tuples to split (see :func:`hot_keys`, whose size is bounded
     by construction); they are matched with an ``isin`` expression, no extra join.
     Without it every key is salted and ``small`` is replicated ``salts`` times.
-    Supported ``how``: inner, left (outer side = ``big``).
+    Supported ``how``: inner, left (outer side = ``big``). Rows with a null key match
+    nothing and are spread like a hot key.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join keeps big as the preserved side: inner or left")
     keys = list(keys)
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt_of_row = hash_bucket(salts, *big.columns)
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     if hot is None:
@@ -112,7 +116,10 @@ def salted_join(
                 cond = cond | match
             return cond
 
-        big_s = big.withColumn("_salt", F.when(is_hot(big), salt_of_row).otherwise(F.lit(0)))
+        spread = is_hot(big)
+        for k in keys:
+            spread = spread | F.col(k).isNull()
+        big_s = big.withColumn("_salt", F.when(spread, salt_of_row).otherwise(F.lit(0)))
         small_s = small.withColumn(
             "_salt", F.explode(F.when(is_hot(small), all_salts).otherwise(F.array(F.lit(0))))
         )

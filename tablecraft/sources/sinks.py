@@ -30,7 +30,13 @@ def write_parquet(
     partition_by: Sequence[str] | None = None,
     dynamic_overwrite: bool = False,
 ) -> str:
-    """Parquet write; ``dynamic_overwrite`` replaces only the partitions present in ``df``."""
+    """Parquet write; ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+
+    Rows are first rebalanced by the partition columns: a task writes few partitions, and
+    adaptive execution splits a large one, so there are not tasks x partitions files.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -85,3 +85,35 @@ def test_bucketed_write_one_file_per_bucket(spark, tmp):
     write_bucketed(df, "tc_files", 8, "k", path=f"{tmp}/b")
     files = [f for f in os.listdir(f"{tmp}/b") if f.endswith(".parquet")]
     assert len(files) <= 8
+
+
+def test_cached_reuse_reads_the_cache(spark, sf, monkeypatch):
+    from tablecraft.plans import io
+
+    plans = []
+    write = io.write_parquet
+    monkeypatch.setattr(io, "write_parquet", lambda df, path: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, path))[1])
+    out = io.q_cached_reuse(spark, sf)
+    assert "InMemoryTableScan" in plans[0]
+    assert abs(out.agg(F.sum("share")).first()[0] - 1) < 1e-9
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    import pytest
+
+    from tablecraft.sources.scratch import scratch_root
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: Cluster.conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="share"):
+        scratch_root(Cluster)
+    Cluster.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        scratch_root(Cluster)

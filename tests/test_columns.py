@@ -64,3 +64,18 @@ def test_udf_in_sql(spark):
 def test_round2_half_up(spark):
     r = spark.range(1).select(round2(F.lit(1.005)).alias("a"), round2(F.lit(2.675)).alias("b")).first()
     assert r.a == 1.01 and r.b == 2.68
+
+
+def test_udf_and_built_in_rules_agree_on_odd_values(spark):
+    from tablecraft.functions import udfs
+    from tablecraft.functions.columns import discount, order_category
+
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, -1.0, 499.0, 60000.0, 100000.0]
+    rows = [(v, c, s) for v in values for c in (None, "save10", "FLAT500", "WELCOME200", "x") for s in (None, "COMPLETED", "PENDING")]
+    df = spark.createDataFrame(rows, "v double, c string, s string")
+    out = df.select("v", udfs.apply_discount("v", "c").alias("a"), discount("v", "c").alias("b"),
+                    udfs.order_category_udf("v", "s").alias("x"), order_category("v", "s").alias("y")).collect()
+    for r in out:
+        assert (r.a == r.b) and (r.x == r.y), r
+        if r.v is None or r.v != r.v:
+            assert r.a == 0.0 and r.x == "UNKNOWN"

@@ -84,12 +84,32 @@ def test_sweep_equals_interval_join_on_hot_key(spark):
     facts = [(i, 1, base + dt.timedelta(days=(i * 7) % 1300 - 5)) for i in range(3000)]
     facts += [(10000 + c, c, base + dt.timedelta(days=c + (c % 3) - 1)) for c in range(2, 60)]
     fact = spark.createDataFrame(facts, "order_id int, customer_id int, event_date date")
-    sweep = temporal_join(fact, dim, ["customer_id"], "event_date")
-    plain = temporal_join(fact, dim, ["customer_id"], "event_date", method="join").select(*sweep.columns)
+    sweep = temporal_join(fact, dim, ["customer_id"], "event_date", method="sweep")
+    plain = temporal_join(fact, dim, ["customer_id"], "event_date").select(*sweep.columns)
     assert sweep.count() == fact.count()
     assert sweep.exceptAll(plain).count() == 0 and plain.exceptAll(sweep).count() == 0
 
 
+def test_temporal_join_does_not_depend_on_other_keys(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    overlapping = [(1, "A", day(1), None), (1, "B", day(2), day(20)), (1, "C", day(3), None)]
+    other = [(2, f"V{i}", dt.date(2020, 1, 1) + dt.timedelta(days=i), None) for i in range(70)]
+    fact = spark.createDataFrame([(10, 1, day(10))], "order_id int, customer_id int, event_date date")
+    schema = "customer_id int, tier string, effective_from date, effective_to date"
+    for rows in (overlapping, overlapping + other):
+        out = temporal_join(fact, spark.createDataFrame(rows, schema), ["customer_id"], "event_date")
+        assert sorted(r.tier for r in out.collect()) == ["A", "B", "C"]
+
+
+def test_sweep_gives_null_keys_no_version(spark):
+    schema = "customer_id int, tier string, effective_from date, effective_to date"
+    dim = spark.createDataFrame([(None, "X", dt.date(2020, 1, 1), None), (1, "Y", dt.date(2020, 1, 1), None)], schema)
+    fact = spark.createDataFrame([(i, None if i % 2 else 1, dt.date(2024, 1, 1)) for i in range(400)],
+                                 "order_id int, customer_id int, event_date date")
+    out = temporal_join(fact, dim, ["customer_id"], "event_date", method="sweep")
+    assert {(r.customer_id, r.tier) for r in out.collect()} == {(None, None), (1, "Y")} and out.count() == 400
+
+
 def test_dedup_latest_limits_before_the_shuffle(spark, sf):
     from tablecraft.plans import logical as L
 

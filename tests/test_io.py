@@ -57,8 +57,11 @@ def test_scale_settings():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_scale_settings_state_store():
-    from tablecraft.config import scale_settings
-
-    assert "spark.sql.streaming.stateStore.providerClass" not in scale_settings(40 * 2**20, 8)
-    assert "RocksDB" in scale_settings(100 * 10**12, 8000)["spark.sql.streaming.stateStore.providerClass"]
+def test_scale_settings_do_not_switch_with_size():
+    from tablecraft.config import MB, scale_settings
+
+    small, large = scale_settings(40 * MB, 8), scale_settings(100 * 2**40, 8000)
+    assert set(small) == set(large)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    assert small[key] == large[key] and "RocksDB" in small[key]
+    assert int(large["spark.sql.shuffle.partitions"]) * 256 * MB >= 100 * 2**40

@@ -26,9 +26,16 @@ def test_broadcast_and_merge_plans(spark, sf):
 
 
 def test_bounded_broadcast_falls_back(spark):
-    df = spark.range(100)
-    assert bounded_broadcast(df, max_rows=1000) is not df
-    assert bounded_broadcast(df, max_rows=10) is df
+    df = spark.range(100)  # 800 bytes
+    assert bounded_broadcast(df, max_bytes=1000) is not df
+    assert bounded_broadcast(df, max_bytes=10) is df
+
+
+def test_broadcast_decision_runs_no_job(spark, sf):
+    before = max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1)
+    out = J.q_join_broadcast(spark, sf)
+    assert max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1) == before
+    assert "SinglePartition" not in plan(out)
 
 
 def test_salted_join_equals_plain_join(spark, sf):
@@ -42,6 +49,19 @@ def test_salted_join_equals_plain_join(spark, sf):
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
+def test_salted_shuffle_plan_and_null_keys(spark, sf):
+    big = L.orders_skewed(spark, sf).withColumn(
+        "customer_id", F.when(F.col("order_id") % 10 == 0, F.lit(None).cast("long")).otherwise(F.col("customer_id")))
+    small = L.customers(spark, sf).select("customer_id", "tier").hint("merge")
+    hot = hot_keys(big, ["customer_id"], min_share=0.05)
+    assert (1,) in hot
+    out = salted_join(big, small, ["customer_id"], how="left", hot=hot)
+    p = plan(out)
+    assert "SortMergeJoin" in p and "_salt" in p[p.index("Exchange hashpartitioning"):]
+    plain = big.join(small, "customer_id", "left").select(*out.columns)
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+
+
 def test_key_skew_detects_hot_key(spark, sf):
     top = J.q_key_skew(spark, sf).orderBy(F.col("n").desc()).first()
     assert top.customer_id == 1 and top.ratio_to_avg > 3
@@ -61,10 +81,13 @@ def test_skew_join_plan(spark, sf):
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
     try:
-        df = J.q_join_skew_aqe(spark, sf)
-        assert df.count() > 0
+        # several map tasks, as a partition is split by the map outputs it is made of
+        big = L.orders_skewed(spark, sf).repartition(8)
+        small = L.customers(spark, sf).select("customer_id", "customer_name", "tier")
+        df = join(big, small, "customer_id", "inner", "merge").select(*J.SKEW_COLS)
+        assert len(df.collect()) == J.q_join_skew_aqe(spark, sf).count()
         final = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in final
+        assert "SortMergeJoin(skew=true)" in final  # the hot partition was split
     finally:
         for k in ("skewedPartitionThresholdInBytes", "skewedPartitionFactor"):
             spark.conf.unset(f"spark.sql.adaptive.skewJoin.{k}")

@@ -131,3 +131,32 @@ def test_five_row_transaction_stream(spark, tmp):
     alerts = spark.read.parquet(f"{tmp}/alerts").collect()
     assert [a.transaction_id for a in alerts] == [4] and alerts[0].alert_type == "HIGH_VALUE_TRANSACTION"
     assert alerts[0].alert_time is not None
+
+
+def test_streams_cover_whole_tables_of_any_layout(spark, sf, tmp):
+    """One file, several files with rows in random places, a folder of part files: every
+    closed window has the batch answer, and an upserted table covers every row."""
+    from tablecraft.plans import streams as S
+
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    os.makedirs(f"{tmp}/one")
+    shutil.copy(f"{sf}/events.parquet", f"{tmp}/one/events.parquet")
+    ev.orderBy(F.xxhash64("event_id")).repartition(3).write.parquet(f"{tmp}/random/events.parquet")
+    ev.repartitionByRange(4, F.col("ts").desc()).write.parquet(f"{tmp}/late/events.parquet")
+    last = ev.agg(F.max("ts")).first()[0]
+    want = {r.window_start: (r.n, r.total, r.max_amount) for r in S.q_tumbling_batch(spark, sf).collect()}
+    for d in ("one", "random", "late"):
+        windows = S.q_stream_tumbling_agg(spark, f"{tmp}/{d}").collect()
+        assert all(want[r.window_start] == (r.n, r.total, r.max_amount) for r in windows)
+        assert {r.window_start for r in windows} >= {w for w in want if (last - w).total_seconds() > 7 * 60 + 1}
+        assert {r.window_start: (r.n, r.total, r.max_amount) for r in S.q_stream_upsert_agg(spark, f"{tmp}/{d}").collect()} == want
+        flagged = S.q_stream_filter_append(spark, f"{tmp}/{d}").count()
+        assert flagged == ev.filter("event_type = 'purchase'").count()
+
+
+def test_memory_sink(spark, sf, tmp):
+    src = stage_events(spark, sf, f"{tmp}/in")
+    q = (flag_large(transactions_stream(spark, src), 100.0).writeStream.format("memory").queryName("flagged")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("flagged").count() == spark.read.parquet(f"{src}/events.parquet").filter("event_type = 'purchase'").count()

@@ -114,3 +114,27 @@ def test_ranged_ranks_match_plain(spark):
     plain = rank_within(df, ["tier"], [F.col("spend").desc(), "customer_id"], "row_number", "r")
     ranged = rank_within(df, ["tier"], [F.col("spend").desc(), "customer_id"], "row_number", "r", ranged=True)
     assert _same(plain, ranged)
+
+
+def test_ranged_forms_match_plain_on_null_hot_and_tied_keys(spark):
+    rows = [(None if i % 4 else i % 7, i // 3, i, float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, tied int, seq int, amount double").repartition(5)
+    for kind in ("rank", "dense_rank", "row_number"):
+        order = ["tied", "seq"] if kind == "row_number" else ["tied"]
+        assert _same(rank_within(df, ["k"], order, kind, "r"), rank_within(df, ["k"], order, kind, "r", ranged=True))
+    for f in (lambda **o: running_total(df, ["k"], ["seq"], "amount", **o),
+              lambda **o: lag_delta(df, ["k"], ["seq"], "amount", **o),
+              lambda **o: moving_average(df, ["k"], ["seq"], "amount", **o)):
+        assert _same(f(), f(ranged=True))
+
+
+def test_three_rankings_from_one_split(spark):
+    from tablecraft.operators.windows import rankings_ranged
+
+    df = spark.createDataFrame([(i, None if i % 3 else "T", float(i % 50)) for i in range(2000)], "id int, tier string, spend double")
+    by = [F.col("spend").desc()]
+    plain = rank_within(df, ["tier"], by, "rank", "a")
+    plain = rank_within(plain, ["tier"], by, "dense_rank", "b")
+    plain = rank_within(plain, ["tier"], [*by, "id"], "row_number", "c")
+    split = rankings_ranged(df, ["tier"], by, {"a": "rank", "b": "dense_rank", "c": "row_number"}, tie_breakers=["id"], num_partitions=7)
+    assert _same(plain, split)

@@ -36,6 +36,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def release() -> None:
+    """Give back the memory that a task leaves behind in its worker, which later tasks of
+    other operators share."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    global _powers
+    _powers = (np.ones(1, _U), np.ones(1, _U))
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of ``values[start:end]`` for every run; equal content, equal hash
     whatever the position. Lengths enter the hash. Runs must ascend."""

@@ -62,30 +62,44 @@ class _Bpe:
     """Vocabulary, merge table and piece table of one worker process."""
 
     def __init__(self, path: str, pattern: str):
-        import duckdb
         import regex
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
-        pairs = [
-            (self.ranks[t[:i]] << 20 | self.ranks[t[i:]], rank)
-            for t, rank in self.ranks.items() for i in range(1, len(t))
-            if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
-        merges = pa.table({"pair": np.array([p for p, _ in pairs], np.int64), "rank": np.array([r for _, r in pairs], np.int32)})
-        # every byte is one character here, so that text aggregation puts bytes together
-        vocabulary = pa.table({"id": np.array(list(self.ranks.values()), np.int32), "bytes": [t.decode("latin-1") for t in self.ranks]})
-        self.db.register("m", merges)
-        self.db.register("v", vocabulary)
-        self.db.execute("create table merges as from m; create table vocabulary as from v")
+        self.opened = None
         self.begins = np.zeros(max(self.ranks.values()) + 1, bool)
         self.begins[[r for t, r in self.ranks.items() if t[:1] == b" "]] = True
         self.table = tokens.PieceTable(lambda *runs: self.encode_pieces([p.encode() for p in tokens.latin_pieces(*runs)]))
         self.words = tokens.PieceTable(self.decode_runs, np.uint8)
 
+    @property
+    def db(self):
+        """The DuckDB of the running task, with the merge table and the vocabulary."""
+        if self.opened is None:
+            import duckdb
+
+            pairs = np.array([
+                (self.ranks[t[:i]] << 20 | self.ranks[t[i:]], rank)
+                for t, rank in self.ranks.items() for i in range(1, len(t))
+                if t[:i] in self.ranks and t[i:] in self.ranks
+            ], np.int64)
+            self.opened = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
+            self.opened.register("m", pa.table({"pair": pairs[:, 0], "rank": pairs[:, 1].astype(np.int32)}))
+            # every byte is one character here, so that text aggregation puts bytes together
+            self.opened.register("v", pa.table({
+                "id": np.array(list(self.ranks.values()), np.int32), "bytes": [t.decode("latin-1") for t in self.ranks]}))
+            self.opened.execute("create table merges as from m; create table vocabulary as from v")
+        return self.opened
+
+    def close(self) -> None:
+        """End of a task: only the tables of known pieces stay in the worker."""
+        if self.opened is not None:
+            self.opened.close()
+            self.opened = None
+        arrays.release()
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all the pieces, concatenated, and the number of ids of each."""
         whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int32, len(pieces))
@@ -202,6 +216,7 @@ def encoded(text: Column | str, vocabulary: str, pattern: str) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series(_encoded(s, vocabulary, pattern), dtype=object)
+        bpe(vocabulary, pattern).close()
 
     small_batches()
     return F.pandas_udf(run, "array<int>")(text)
@@ -214,6 +229,7 @@ def decoded(ids: Column | str, vocabulary: str, pattern: str) -> Column:
         for s in batches:
             lists = [np.zeros(0, np.int32) if x is None else np.asarray(x, np.int32) for x in s.tolist()]
             yield pd.Series(_decoded(lists, vocabulary, pattern), dtype=object)
+        bpe(vocabulary, pattern).close()
 
     small_batches()
     return F.pandas_udf(run, "binary")(ids)
@@ -227,6 +243,7 @@ def round_trip(text: Column | str, vocabulary: str, pattern: str) -> Column:
         for s in batches:
             ids = _encoded(s, vocabulary, pattern)
             yield pd.DataFrame({"ids": ids, "decoded": _decoded(ids, vocabulary, pattern)})
+        bpe(vocabulary, pattern).close()
 
     small_batches()
     return F.pandas_udf(run, "ids array<int>, decoded binary")(text)

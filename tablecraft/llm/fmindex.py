@@ -236,6 +236,7 @@ def _search(phrases):
         for s in batches:
             shards = [search_shard(t, phrases.value) for _, t in arrays.slices(s.tolist(), _SHARD_BYTES)]
             yield pd.concat(shards, ignore_index=True) if shards else search_shard([], phrases.value)
+        arrays.release()
 
     return F.pandas_udf(run, RESULT)
 

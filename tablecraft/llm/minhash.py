@@ -132,6 +132,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
             yield _signed(s, shingle, permutations, rows)
+        arrays.release()
 
     udf = F.pandas_udf(run, "n_shingles long, node binary, bands array<long>")
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -152,6 +153,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingl
                 sh, counts = shingle_sets(texts, shingle)
                 out += np.split(sh.view(np.int64), np.cumsum(counts)[:-1])
             yield pd.Series(out, dtype=object)
+        arrays.release()
 
     udf = F.pandas_udf(run, "array<long>")
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(_row_key(), "text")
@@ -171,8 +173,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.min("id").alias("id"), F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("copies"),
             F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
     members = nodes.select("node", "id", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stored(members.join(shared, "bucket"), "members")
+    # stored first, so that adaptive execution can split a hot bucket in the join
+    shared = stored(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket"), "shared")
+    members = stored(members.join(shared, "bucket", "left_semi"), "members")
     if members.isEmpty():
         roots = members.select("node", F.col("node").alias("root"))
     else:
@@ -208,7 +211,7 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 def _linked(members: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """(node, root) for the nodes of ``members`` that are linked with a smaller one."""
     # the smallest id of a bucket is its hub; documents that share a bucket share its hub
-    hubs = members.groupBy("bucket").agg(F.min(F.struct("id", "node"))["node"].alias("hub"))
+    hubs = stored(members.groupBy("bucket").agg(F.min(F.struct("id", "node"))["node"].alias("hub")), "bucket-hubs")
     pairs = stored(members.join(hubs, "bucket").select("hub", "node", "n").distinct(), "hubs")
     blocks = pairs.groupBy("hub").agg(F.ceil(F.sum("n") / _BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

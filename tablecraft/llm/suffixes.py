@@ -152,6 +152,7 @@ def _start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out[["anchor", "lo", "hi"]] += shift[:, None]
             doc = np.asarray(of)[seg]
             yield out.assign(_k1=k1[doc], _k2=k2[doc])[[c.split()[0] for c in _ROWS.split(", ")]]
+    arrays.release()
 
 
 def _next(refine: str):
@@ -189,13 +190,15 @@ def _settled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Two sets of rows: those whose whole string repeats, and those to refine. Rows alone
     with their core are unique and in neither. Of equal strings one goes on for all, as
     others may agree with a part of it."""
+    # what is joined with the rows is stored first: a join whose sides are both shuffled for
+    # it can have a hot core split by adaptive execution, one on top of a grouping can't
     rows = stored(rows, name)
-    company = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    company = stored(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), f"{name}-company")
     rows = stored(rows.join(company, "core", "left_semi"), f"{name}-shared")
     classes = stored(rows.groupBy("core", "outer").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "anchor", "lo", "hi")).alias("w")), f"{name}-classes")
     repeated = rows.join(classes.where("n > 1").select("core", "outer"), ["core", "outer"], "left_semi")
-    mixed = classes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    mixed = stored(classes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), f"{name}-mixed")
     refine = classes.join(mixed, "core", "left_semi").select("w.*")
     return repeated.select(*KEY, "lo", "hi"), refine
 
@@ -223,7 +226,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     in_blocks, refine = _settled(held.join(_per_text(refine), KEY).mapInPandas(_next("blocks"), _ROWS), "blocks")
     windows = held.join(_per_text(refine), KEY).mapInPandas(_next("windows"), _ROWS)
     windows = stored(windows.select(*KEY, "lo", "core", "outer"), "windows")
-    twice = windows.groupBy("core", "outer").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = stored(windows.groupBy("core", "outer").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
     single = windows.join(twice, ["core", "outer"], "left_semi").select(*KEY, "lo", F.col("lo").alias("hi"))
     return whole.unionByName(in_blocks).unionByName(single), name
 

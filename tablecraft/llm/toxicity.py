@@ -213,6 +213,7 @@ def score(text: Column | str, model: Model) -> Column:
         for s in batches:
             parts = [here.scores(t) for _, t in arrays.slices(s.tolist())]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        arrays.release()
 
     small_batches()
     return F.pandas_udf(run, "double")(text)

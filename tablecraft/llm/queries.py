@@ -101,14 +101,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: 95 of 100 pairs of texts with a similarity of 0.8 are that near, and more of the nearer ones.
+NEAR_BITS = simhash.radius_for(0.8)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Likeness of every document's fingerprint to its edited text's and to the next
     document's; for ids divisible by 100 also the number of other documents whose
-    fingerprint is at most 3 bits away."""
+    fingerprint is as near as those of texts with a similarity of 0.8 are."""
     rows = stored(simhash.half_edits(table(spark, sf_dir, "documents")), "half-edits")
     queries = rows.where("id % 100 = 0")
     copies = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("copies"))
-    near = simhash.within_radius(rows, queries, radius=3).join(copies, ["f1", "f2"])
+    near = simhash.within_radius(rows, queries, NEAR_BITS).join(copies, ["f1", "f2"])
     near = near.groupBy("q1", "q2").agg((F.sum("copies") - 1).alias("n_near"))
     searched = queries.select("id", "f1", "f2").join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2"))).select(
         "id", "n_near").distinct()

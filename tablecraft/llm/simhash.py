@@ -6,10 +6,13 @@ counted as packed lanes: one 64-bit sum holds the ones of four bits in 16-bit la
 makes 32 sums of a whole-stage-generated aggregation do for 128 counters. A lane holds
 30,000 votes at most; longer texts are summed in chunks and the chunks in 32-bit lanes.
 
-``within_radius`` finds fingerprints at Hamming distance ``radius`` or less: cut into
-radius + 1 blocks, two such fingerprints agree in at least one block whole, so one table
-per block, keyed by the block that its permutation brings to the front, finds every pair.
-Equal fingerprints are searched once, with the number of their documents.
+``within_radius`` finds fingerprints at Hamming distance ``radius`` or less, all of them:
+cut into m blocks with allowances that add up to radius + 1 - m, two such fingerprints
+differ in at least one block by no more than its allowance. There is one table per block,
+keyed by the block that its permutation brings to the front, and a query looks up every key
+within the allowance. A pair is made in the first table that has it only. Equal
+fingerprints are searched once, with the number of their documents. ``radius_for`` derives
+the radius from a similarity of texts.
 
 Edge cases. Null and wordless texts have no votes and the all-zero fingerprint. Equal texts
 have equal fingerprints. Repeated rows and equal ids are ordered by a hash of their text;
@@ -19,6 +22,9 @@ Empty table: empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +35,7 @@ _LANES = 0x0001000100010001
 _WIDE = 0x0000FFFF0000FFFF
 _CHUNK = 30_000  # below 2**15, so that the highest lane stays out of the sign
 _TERM = 5
+_TABLES = 8  # at most; more radius than tables goes into allowances of the 16-bit blocks
 
 
 def terms(text: Column | str) -> Column:
@@ -90,30 +97,70 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  ["id", "text_hash"], "terms")
 
 
-def _blocks(fps: DataFrame, radius: int) -> DataFrame:
-    """A row per fingerprint and table: the table's number and the block it is keyed by."""
-    n, out = radius + 1, []
+def radius_for(similarity: float, recall: float = 0.95) -> int:
+    """The least radius within which two texts of that Jaccard similarity of terms fall with
+    probability ``recall``. A bit differs with probability angle / pi; texts of equal length
+    have the widest angle of all with that similarity."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    reached, radius = (1 - p) ** BITS, 0
+    while reached < recall:
+        radius += 1
+        reached += math.comb(BITS, radius) * p ** radius * (1 - p) ** (BITS - radius)
+    return radius
+
+
+def _layout(radius: int) -> list[tuple[list[tuple[int, int, int]], int]]:
+    """Per table the pieces (fingerprint column, shift, width) of its block and the bits in
+    which a key may differ."""
+    n = min(radius + 1, _TABLES)
+    spare, out = radius + 1 - n, []
     for t in range(n):
         lo, hi = t * BITS // n, (t + 1) * BITS // n
-        parts = []
-        for f, base in (("f1", 0), ("f2", 64)):
-            a, b = max(lo, base), min(hi, base + 64)
-            if a < b:
-                mask = (1 << (b - a)) - 1
-                part = F.shiftrightunsigned(f, a - base)
-                parts.append(part if b - a == 64 else part.bitwiseAND(F.lit(mask)))
-        out.append(F.struct(F.lit(t).alias("table"), (parts[0] if len(parts) == 1 else F.xxhash64(*parts)).alias("block")))
-    return fps.select("*", F.explode(F.array(*out)).alias("_b")).select("*", "_b.table", "_b.block").drop("_b")
+        cut = [(c, max(lo, 64 * c) - 64 * c, min(hi, 64 * c + 64) - max(lo, 64 * c)) for c in (0, 1)]
+        out.append(([x for x in cut if x[2] > 0], spare // n + (t < spare % n)))
+    return out
+
+
+def _piece(value: Column, shift: int, width: int) -> Column:
+    out = F.shiftrightunsigned(value, shift)
+    return out if width == 64 else out.bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _blocks(fps: DataFrame, radius: int, lookup: bool) -> DataFrame:
+    """A row per fingerprint and table: the table's number and the block it is keyed by; for
+    ``lookup`` a row for every key within the table's allowance."""
+    out = []
+    for t, (cut, allowed) in enumerate(_layout(radius)):
+        parts = [_piece(F.col(("f1", "f2")[c]), shift, width) for c, shift, width in cut]
+        block = parts[0] if len(parts) == 1 else F.xxhash64(*parts)
+        keys = F.array(block)
+        if lookup and allowed:
+            # only the layout with most tables has allowances; its blocks lie in one column
+            width = cut[0][2]
+            flips = [sum(1 << i for i in x) for k in range(allowed + 1) for x in itertools.combinations(range(width), k)]
+            keys = F.transform(F.lit(flips).cast("array<long>"), block.bitwiseXOR)
+        out.append(F.struct(F.lit(t).alias("table"), keys.alias("keys")))
+    rows = fps.select("*", F.explode(F.array(*out)).alias("_b"))
+    return rows.select("*", "_b.table", F.explode("_b.keys").alias("block")).drop("_b")
 
 
 def within_radius(fps: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
     """(q1, q2, f1, f2, distance) for every distinct fingerprint of ``queries`` and every
     distinct one of ``fps`` at most ``radius`` bits away; both have columns f1, f2."""
-    left = _blocks(queries.select("f1", "f2").distinct(), radius).select(
-        F.col("f1").alias("q1"), F.col("f2").alias("q2"), "table", "block")
-    right = _blocks(fps.select("f1", "f2").distinct(), radius)
-    near = left.join(right, ["table", "block"]).withColumn("distance", distance("q1", "q2", "f1", "f2"))
-    return near.where(F.col("distance") <= radius).select("q1", "q2", "f1", "f2", "distance").distinct()
+    left = _blocks(queries.select("f1", "f2").distinct(), radius, True).select(
+        F.col("f1").alias("q1"), F.col("f2").alias("q2"), F.col("table").alias("_t"), F.col("block").alias("_k"))
+    right = _blocks(fps.select("f1", "f2").distinct(), radius, False)
+    other = [F.col("q1").bitwiseXOR(F.col("f1")), F.col("q2").bitwiseXOR(F.col("f2"))]
+    first = None
+    for t, (cut, allowed) in enumerate(_layout(radius)):
+        bits = sum((F.bit_count(_piece(other[c], shift, width)) for c, shift, width in cut[1:]),
+                   F.bit_count(_piece(other[cut[0][0]], *cut[0][1:])))
+        first = (F if first is None else first).when(bits <= allowed, t)
+    # one condition of the join, so that candidates which are none never become rows; merged,
+    # as the planner's size estimate leaves out the keys that a query looks up
+    near = left.hint("merge").join(right, (F.col("_t") == F.col("table")) & (F.col("_k") == F.col("block"))
+                     & (distance("q1", "q2", "f1", "f2") <= radius) & (first == F.col("table")))
+    return near.select("q1", "q2", "f1", "f2", distance("q1", "q2", "f1", "f2").alias("distance"))
 
 
 def _ranges(ids: DataFrame, n: int) -> tuple[Column, int]:

@@ -99,3 +99,45 @@ def test_main_path_has_no_python(spark, sf):
 def test_edited_texts_are_nearer_than_the_next_ones(spark, sf):
     r = QUERIES["op10_simhash"](spark, sf).agg(F.avg("near_edited").alias("e"), F.avg("near_next").alias("n")).first()
     assert r.e > r.n + 0.1
+
+
+def shuffled_words(rng, n):
+    return [rng.choice("abcdefghijklmnop") + str(rng.randint(0, 10 ** 6)) for _ in range(n)]
+
+
+def edited_pairs(rng, n_words, n_changes, n):
+    """Texts and copies of them with some words changed, far apart: a change takes five terms."""
+    for _ in range(n):
+        words = shuffled_words(rng, n_words)
+        copy = list(words)
+        for i in range(n_changes):
+            copy[(2 * i + 1) * n_words // (2 * n_changes)] = f"new{rng.randint(0, 10 ** 6)}"
+        yield " ".join(words), " ".join(copy)
+
+
+def test_wide_radius_finds_all(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(128) for _ in range(6)]
+    values = [b ^ sum(1 << i for i in rng.sample(range(128), rng.randint(0, 20))) for b in base for _ in range(40)]
+    signed = [tuple((v >> s & (1 << 64) - 1) - (1 << 64 if v >> s + 63 & 1 else 0) for s in (0, 64)) for v in values]
+    fps = spark.createDataFrame(signed, "f1 long, f2 long")
+    for radius in (7, 11, simhash.radius_for(0.8)):
+        rows = [(r.q1, r.q2, r.f1, r.f2, r.distance) for r in simhash.within_radius(fps, fps.limit(60), radius).collect()]
+        asked = {(r.f1, r.f2) for r in fps.limit(60).collect()}
+        want = {(*signed[i], *signed[j], (values[i] ^ values[j]).bit_count()) for i, j in itertools.product(range(len(values)), repeat=2)
+                if (values[i] ^ values[j]).bit_count() <= radius and signed[i] in asked}
+        assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_edited_copies_are_counted(spark, tmp):
+    # Jaccard 0.97 (1 word of 300) and 0.82 (6 words of 300, 20 of 1,000)
+    rng, rows = random.Random(5), []
+    for n_words, n_changes in ((300, 1), (300, 6), (1000, 20)):
+        for text, copy in edited_pairs(rng, n_words, n_changes, 40):
+            k = 100 * (len(rows) // 2 + 1)
+            rows += [(k, text), (k + 1, copy)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp}/edited/documents.parquet")
+    got = {r.doc_id: r.n_near for r in QUERIES["op10_simhash"](spark, f"{tmp}/edited").where("n_near is not null").collect()}
+    found = [got[k] for k, _ in rows[::2]]
+    assert len(found) == 120 and set(found) <= {0, 1}
+    assert [sum(found[i:i + 40]) >= 36 for i in (0, 40, 80)] == [True] * 3

@@ -18,7 +18,8 @@ expansion lengths locate any id range without expanding what comes before it.
 
 Encoding looks at distinct pieces only: the vocabulary's pattern splits a text, and equal
 pieces have equal ids, so each worker passes a piece to the library once. Texts with
-characters outside ASCII and the Latin-1 letters go through the library whole.
+characters outside ASCII and the Latin-1 letters, or with the string of an added token
+(<|endoftext|>, which gets its own id), go through the library whole.
 
 Edge cases. Null text: empty, so only the end id. Rows with equal ids are ordered by a
 hash of their text; a null id sorts first. Empty table: no files' rows, empty result. A
@@ -51,7 +52,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path) as f:
             spec = json.load(f)
         self.size = self.library.get_vocab_size()
@@ -60,10 +60,23 @@ class _Encoder:
         self.by_class = all(x in split for x in ('"Lowercase"', '"NFC"', r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
         suffix = spec["model"].get("end_of_word_suffix")
         self.by_class = self.by_class and bool(suffix)
+        # texts with an added token's string go through the library whole; the lines of
+        # pieces that _make sends must never hold one
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.by_class = self.by_class and not any(t.normalized or t.content in self._line(t.content) for t in added)
         self.word_end = np.zeros(self.size, bool)
         self.word_end[[i for t, i in self.library.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         self.table = tokens.PieceTable(self._make)
 
+    @staticmethod
+    def _line(text: str) -> str:
+        """The pieces of a text as a blank-separated line; empty if it can't be split by class."""
+        if not tokens.simple(text):
+            return ""
+        codes, _ = tokens.code_points([text], lower=True)
+        return " ".join(tokens.latin_pieces(codes, *tokens.word_pieces(codes)))
+
     def _make(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces go to the library in blank-separated lines; ids are cut where a word ends."""
         pieces = tokens.latin_pieces(codes, starts, ends)
@@ -79,7 +92,7 @@ class _Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
-        easy = [i for i, t in enumerate(texts) if self.by_class and tokens.simple(t)]
+        easy = [i for i, t in enumerate(texts) if self.by_class and tokens.simple(t) and not any(a in t for a in self.added)]
         codes, begin = tokens.code_points([texts[i] for i in easy], lower=True)
         starts, ends = tokens.word_pieces(codes)
         ids, count = self.table.lookup(codes, starts, ends)

@@ -130,3 +130,21 @@ def test_queries_on_the_smoke_tables(spark, sf, tiktoken_encoding):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest, hashlib.sha256(docs[r.doc_id].encode()).hexdigest())
     out = QUERIES["op7_repair_output"](spark, sf)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() == len(docs)
+
+
+def test_strings_of_added_tokens_get_their_ids(spark, tmp):
+    from tokenizers import Tokenizer
+
+    library, enc = Tokenizer.from_file(WORDS), repair.encoder(WORDS)
+    rng = random.Random(9)
+    strings = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", " endoftext|>", "\u00e9", "\u6f22"]
+    texts = ["see <|endoftext|> here", "<|endoftext|>", "a<|startoftext|><|endoftext|>b", *random_texts(200)]
+    texts += ["".join(rng.choice(strings) + x for x in random_texts(3)[:3]) for _ in range(100)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.by_class and want[0] == [862, 49407, 763]
+    assert [g.tolist() for g in enc.encode(texts)] == want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    repair.write_shards(df, f"{tmp}/added", WORDS, end_id=2)
+    got = repair.read_shards(spark, f"{tmp}/added").orderBy("id").collect()
+    assert [r.ids for r in got] == [ids + [2] for ids in want]
+    assert [r.start for r in got] == np.cumsum([0, *(len(ids) + 1 for ids in want[:-1])]).tolist()

@@ -195,9 +195,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     # at most max_positive ids, so the broadcast is bounded
     positive = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).select("text")
     total = texts.count()
-    # about twice the sample by hash of the text, of which the first by another hash
-    share = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1_000_000)) < int(min(1.0, 2 * max_unlabelled / max(total, 1)) * 1_000_000 + 1)
-    unlabelled = texts.where(share).orderBy(F.xxhash64("text", F.lit(13)), F.xxhash64("id")).limit(max_unlabelled).select("text")
+    # about twice the sample by hash of the row, of which the first by another hash; with the
+    # id in it copies of a text are sampled in proportion (the id chooses rows and nothing else)
+    share = F.pmod(F.xxhash64("id", "text", F.lit(12)), F.lit(1_000_000)) < int(min(1.0, 2 * max_unlabelled / max(total, 1)) * 1_000_000 + 1)
+    unlabelled = texts.where(share).orderBy(F.xxhash64("id", "text", F.lit(13))).limit(max_unlabelled).select("text")
     # sorted by text: an order that no id decides
     samples = [sorted(r.text or "" for r in df.toLocalIterator()) for df in (positive, unlabelled)]
     model = fit(*samples, float(toxic) / n, **options)

@@ -94,3 +94,14 @@ def test_slices_do_not_matter():
     one = model.scores(arrays.text_bytes(sample))
     apart = np.concatenate([model.scores(p) for _, p in arrays.slices(sample, 100)])
     assert np.allclose(one, apart)
+
+
+def test_copies_are_sampled_in_proportion(spark, monkeypatch):
+    samples = []
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: samples.append(unlabelled) or toxicity.Model(np.zeros(1), 0.0))
+    for copied in ("one page", "another page"):
+        rows = [(i, copied if i % 3 == 0 else f"text {i}") for i in range(6000)]
+        labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+        toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, F.lit(False), max_unlabelled=600)
+        assert len(samples[-1]) == 600
+        assert 140 < samples[-1].count(copied) < 260  # 200 and five standard deviations

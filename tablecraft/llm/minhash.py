@@ -166,6 +166,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, row_key, n_shingles, component, kept) per row of ``docs``. Documents are linked
     when 100 * |A and B| >= similarity_pct * |A or B|; ``component`` is the smallest id
     reachable over links."""
+    return _grouped(docs, id_col, text_col, shingle, similarity_pct, permutations, rows).drop("root")
+
+
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+             similarity_pct: int = 80, permutations: int = 64, rows: int = 4) -> DataFrame:
+    """``near_duplicates`` with the node ``root`` that names a row's component whatever the
+    ids in it; null for rows without words, which are in no component."""
     small_batches(docs.sparkSession)
     sig = stored(signatures(docs, id_col, text_col, shingle, permutations, rows), "signatures")
     nodes = stored(
@@ -189,18 +196,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         nodes.join(roots.select(F.col("root").alias("node")).distinct(), "node", "left_semi")
         .where("copies = 1").select("node", "id", F.col("node").alias("root")))
     smallest = in_group.groupBy("root").agg(F.min("id").alias("component"))
-    named = stored(in_group.join(smallest, "root").select("node", "component"), "classes")
+    named = stored(in_group.join(smallest, "root").select("node", "root", "component"), "classes")
     out = sig.select("id", "row_key", "n_shingles", "node").join(named, "node", "left")
     return out.select("id", "row_key", "n_shingles", F.coalesce("component", "id").alias("component"),
-                      F.expr("coalesce(component, id) <=> id").alias("kept"))
+                      F.expr("coalesce(component, id) <=> id").alias("kept"),
+                      F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of every group: the one with the smallest id, one row of
-    it. Documents without an id give way to any other of their group."""
-    out = stored(near_duplicates(docs, id_col, text_col, **options), "groups")
+    it. Documents without an id give way to any other of their group. Of several texts
+    under the smallest id (or all without one) the least by hash of id and text stays."""
+    out = stored(_grouped(docs, id_col, text_col, **options), "groups")
     key = unused(docs, "row_key")
-    gone = out.where("not kept").select(F.col("row_key").alias(key)).distinct()
+    kept = out.where("kept and root is not null")
+    several = kept.groupBy("root").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most")).where("least < most")
+    others = kept.join(several, "root").where("row_key <> least").select("row_key")
+    gone = out.where("not kept").select("row_key").unionByName(others).select(F.col("row_key").alias(key)).distinct()
     kept = docs.withColumn(key, F.xxhash64(id_col, text_col)).join(gone, key, "left_anti")
     repeated = out.where("kept").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not repeated.isEmpty():

@@ -113,3 +113,18 @@ def test_query_equals_oracle_columns(spark, sf):
     out = QUERIES["op5_minhash_near_dedup"](spark, sf)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert out.where(F.col("kept") != (F.col("doc_id") == F.col("component_id"))).count() == 0
+
+
+def test_one_survivor_where_ids_repeat_or_are_missing(spark):
+    rng = random.Random(12)
+    page, other, *alone = [" ".join(f"{rng.choice('abcdef')}{rng.randint(0, 10 ** 6)}" for _ in range(200)) for _ in range(6)]
+    rows = [(1, page), (1, page + " again"), (1, "once " + page), (7, page + " later"),  # a page crawled again under its id
+            (None, other), (None, other + " tail"), (None, other + " tail"),  # near copies without any id
+            (5, alone[0]), (5, alone[1]), (None, alone[2]), (None, alone[3]),  # no copies, though ids are equal
+            (8, ""), (8, "!"), (None, None), (None, "?")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in minhash.survivors(df).collect()]
+    pages = [r for r in got if r[1] and page in r[1]]
+    assert len(pages) == 1 and pages[0][0] == 1
+    assert len([r for r in got if r[1] and other in r[1]]) == 1
+    assert sorted(map(str, got)) == sorted(map(str, [*pages, *[r for r in got if r[1] and other in r[1]], *rows[7:]]))

@@ -11,8 +11,7 @@ import numpy as np
 SLICE_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_powers = (np.ones(1, _U), np.ones(1, _U))
+_CACHED = 1 << 15  # values that run_hashes works on at a time: they stay in the CPU cache
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -22,18 +21,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, for exponents below ``n``."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << max(10, (n - 1).bit_length())
-        out = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, base, _U)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=_U))
-        _powers = (out[0], out[1])
-    return _powers[0][:n], _powers[1][:n]
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """:func:`mix` in place."""
+    y = x >> _U(30)
+    x ^= y
+    x *= _U(0xBF58476D1CE4E5B9)
+    np.right_shift(x, _U(27), out=y)
+    x ^= y
+    x *= _U(0x94D049BB133111EB)
+    np.right_shift(x, _U(31), out=y)
+    x ^= y
+    return x
 
 
 def release() -> None:
@@ -44,8 +42,6 @@ def release() -> None:
 
     import pyarrow as pa
 
-    global _powers
-    _powers = (np.ones(1, _U), np.ones(1, _U))
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -56,21 +52,34 @@ def release() -> None:
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of ``values[start:end]`` for every run; equal content, equal hash
-    whatever the position. Lengths enter the hash. Runs must ascend."""
-    if len(values) > 2 * SLICE_BYTES and len(starts) > 1:  # bounds the tables of powers
-        out = np.empty(len(starts), _U)
-        at = 0
-        while at < len(starts):
-            to = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE_BYTES)))
-            first = int(starts[at])
-            out[at:to] = run_hashes(values[first:int(ends[to - 1])], starts[at:to] - first, ends[at:to] - first)
-            at = to
-        return out
-    up, down = powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, _U)
-    np.cumsum((values.astype(_U) + _U(1)) * up[:-1], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mix(h ^ ((ends - starts).astype(_U) << _U(48)))
+    whatever the position. Runs must ascend, values be below 2**32. Every value is mixed
+    with its place in the run before the sum is taken, so that no pattern of values (as in
+    a sum of powers modulo 2**64) cancels out. Lengths enter the hash."""
+    length = ends - starts
+    sums = np.zeros(len(starts), _U)
+    total = np.r_[0, np.cumsum(length)]
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + _CACHED, "right")) - 1)
+        if to == at + 1:  # perhaps a very long run
+            parts = [np.zeros(1, _U)]
+            for a in range(int(starts[at]), int(ends[at]), SLICE_BYTES):
+                part = values[a:min(a + SLICE_BYTES, int(ends[at]))].astype(_U)
+                parts.append(mix(part << _U(32) | np.arange(a - starts[at], a - starts[at] + len(part), dtype=_U)))
+            sums[at:to] = sum(p.sum(dtype=_U, keepdims=True) for p in parts)
+        else:
+            n = length[at:to]
+            first = total[at:to] - total[at]
+            place = np.arange(total[to] - total[at]) - np.repeat(first, n)
+            x = values[place + np.repeat(starts[at:to], n)].astype(_U)
+            x <<= _U(32)
+            x |= place.view(_U)
+            run = np.empty(len(x) + 1, _U)
+            run[0] = 0
+            np.cumsum(_mixed(x), out=run[1:])
+            sums[at:to] = run[first + n] - run[first]
+        at = to
+    return mix(sums + length.astype(_U) * _U(0xA0761D6478BD642F))
 
 
 def text_bytes(texts: Sequence[str | None]) -> list[bytes]:

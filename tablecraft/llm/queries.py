@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, chat, fmindex, linededup, minhash, repair, simhash, suffixes, toxicity, urls
+from tablecraft.llm import bpe, chat, fmindex, linededup, minhash, ranked, repair, simhash, suffixes, toxicity, urls
 from tablecraft.llm.frames import KEY, stored, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
@@ -126,6 +126,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    out = ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 #: Lower-cases A-Z only, as the contracts say; DuckDB's lower() folds other letters too.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -173,6 +179,26 @@ select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.
 from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
+_OP12_TERMS = f"regexp_extract_all({_AZ}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_OP12_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id, t, len(t) as n from (select doc_id, {_OP12_TERMS} as t from documents)),
+i as (select row_number() over () as q, item_id, {_OP12_TERMS} as t from benchmark),
+c as (select count(*) filter (where n > 0)::bigint as docs, sum(n)::bigint as total from d),
+p as (select r, term, count(*)::bigint as tf from (select r, unnest(t) as term from d) group by 1, 2),
+w as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from p, c group by term),
+k as (select q, term, count(*)::bigint as times from (select q, unnest(t) as term from i) group by 1, 2),
+s as (
+  select k.q, p.r, sum(k.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * d.n * c.docs) // c.total))))::bigint as score
+  from k join w on w.term = k.term join p on p.term = k.term join d on d.r = p.r, c group by 1, 2),
+o as (
+  select s.q, d.doc_id, s.score, row_number() over (partition by s.q order by s.score desc, d.doc_id nulls first) as rank
+  from s join d on d.r = s.r where s.score > 0)
+select i.item_id, o.rank::int as rank, o.doc_id, o.score from o join i on i.q = o.q where o.rank <= 10
+"""
+
 _OP3_SQL = """
 with t as (
   select conv_id, role, text, row_number() over w as position, count(*) over (partition by conv_id) as n_turns,
@@ -220,6 +246,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLE = {
@@ -227,4 +254,5 @@ ORACLE = {
     "op5_minhash_near_dedup": _OP5_SQL,
     "op6_fm_decontamination": _OP6_SQL,
     "op9_line_dedup": _OP9_SQL,
+    "op12_ranked_search": _OP12_SQL,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, chat, fmindex, linededup, minhash, ranked, repair, simhash, suffixes, toxicity, urls
+from tablecraft.llm import bpe, chat, fmindex, lempelziv, linededup, minhash, ranked, repair, simhash, suffixes, toxicity, urls
 from tablecraft.llm.frames import KEY, stored, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
@@ -126,6 +126,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the windows of 35 words that occur twice."""
+    out = lempelziv.removed(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best documents of every benchmark item."""
     out = ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
@@ -179,6 +185,22 @@ select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.
 from d left join h on h.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
+_OP11_SQL = """
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+g as (
+  select r, i, array_to_string(w[i:i + 34], ' ') as g
+  from (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+s as (select r, i from g where g in (select g from g group by g having count(*) > 1)),
+h as (select distinct r, unnest(range(i, i + 35)) as k from s),
+k as (
+  select d.r, count(h.k) as n_removed, string_agg(d.x, ' ' order by d.k) filter (where h.k is null) as kept
+  from (select r, unnest(w) as x, unnest(range(1, len(w) + 1)) as k from d) d left join h on h.r = d.r and h.k = d.k
+  group by d.r)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from d left join k on k.r = d.r
+"""
+
 _OP12_TERMS = f"regexp_extract_all({_AZ}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 _OP12_SQL = f"""
 with d as (
@@ -246,6 +268,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_ranked_search": op12_ranked_search,
 }
 
@@ -254,5 +277,6 @@ ORACLE = {
     "op5_minhash_near_dedup": _OP5_SQL,
     "op6_fm_decontamination": _OP6_SQL,
     "op9_line_dedup": _OP9_SQL,
+    "op11_substring_dedup": _OP11_SQL,
     "op12_ranked_search": _OP12_SQL,
 }

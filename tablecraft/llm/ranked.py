@@ -7,7 +7,7 @@ document's score; the upper end adds, for every list that the document was not m
 impact at which that list stands. Reading goes on until no document outside the best ``k``
 can reach them, ties included, and the scores of the best are no intervals any more.
 
-Spark partitions the documents. A task takes its documents in shards of ``_SHARD``, orders
+Spark partitions the documents. A task takes its documents in shards of ``shard``, orders
 their lists by impact and runs NRA for every query; a document's score depends on corpus
 totals that were counted over all documents before, so shards need nothing of each other.
 Two passes share the work between them: the first reads the tops of the lists and returns
@@ -97,7 +97,7 @@ def _forward(docs: DataFrame, id_col: str, text_col: str, number: dict[bytes, in
             ], ["id", "n", "terms", "tfs"])
         arrays.release()
 
-    schema = StructType().add("id", docs.schema[id_col].dataType).add("n", "long")
+    schema = StructType().add("id", docs.schema[id_col].dataType).add("n", LongType())
     schema = schema.add("terms", ArrayType(IntegerType())).add("tfs", ArrayType(LongType()))
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -146,12 +146,12 @@ class _Lists:
         return found, lower[found]
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     held, rows = [], 0
     for b in batches:
         held.append(b)
         rows += b.num_rows
-        if rows >= _SHARD:
+        if rows >= size:
             yield pa.Table.from_batches(held).combine_chunks()
             held, rows = [], 0
     if rows:
@@ -159,13 +159,13 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _pass(index: DataFrame, queries: list[tuple[int, np.ndarray, np.ndarray]], n_terms: int, n_docs: int, total: int,
-          k: int, floors: np.ndarray | None) -> DataFrame:
+          k: int, floors: np.ndarray | None, shard: int) -> DataFrame:
     """(query, id, score) from every shard: with ``floors`` the results, else lower ends."""
     shared = index.sparkSession.sparkContext.broadcast((queries, floors))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, floors = shared.value
-        for t in _shards(batches):
+        for t in _shards(batches, shard):
             term, tf = (t[c].combine_chunks() for c in ("terms", "tfs"))
             counts = np.diff(term.offsets.to_numpy())
             lists = _Lists(t["n"].to_numpy(), counts, term.flatten().to_numpy(), tf.flatten().to_numpy(), n_terms, n_docs, total)
@@ -184,7 +184,7 @@ def _pass(index: DataFrame, queries: list[tuple[int, np.ndarray, np.ndarray]], n
             yield pa.RecordBatch.from_arrays([pa.array(query), t["id"].combine_chunks().take(pa.array(doc)), pa.array(score)], ["query", "id", "score"])
         arrays.release()
 
-    schema = StructType().add("query", "long").add("id", index.schema["id"].dataType).add("score", "long")
+    schema = StructType().add("query", LongType()).add("id", index.schema["id"].dataType).add("score", LongType())
     return index.mapInArrow(run, schema)
 
 
@@ -208,7 +208,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
-           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+           item_col: str = "item_id", item_text_col: str = "text", shard: int = _SHARD) -> DataFrame:
     """(item, rank, id, score): the ``k`` best documents of every item, by score, then id.
 
     With N documents that have terms, L terms in all, df documents holding a term, and n
@@ -230,17 +230,17 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
         for q, (_, c) in enumerate(counted):
             at = np.array([number[t] for t in c], np.int64)
             queries.append((q, at, w[at] * np.array(list(c.values()), np.int64)))
-        tops = _best(_pass(index, queries, len(number), n_docs, total, k, None).select("query", "id", "score"), k)
+        tops = _best(_pass(index, queries, len(number), n_docs, total, k, None, shard).select("query", "id", "score"), k)
         floors = np.zeros(len(block), np.int64)
         for q, s in tops.where(F.col("rank") == k).select("query", "score").collect():  # one row per item
             floors[q] = s
-        best = _best(_pass(index, queries, len(number), n_docs, total, k, floors), k)
+        best = _best(_pass(index, queries, len(number), n_docs, total, k, floors, shard), k)
         names = spark.createDataFrame(
             [(q, item) for q, (item, _) in enumerate(block)],
-            StructType().add("query", "long").add("item", items.schema[item_col].dataType))
+            StructType().add("query", LongType()).add("item", items.schema[item_col].dataType))
         rows = best.join(F.broadcast(names), "query").select("item", "rank", "id", "score")
         out = rows if out is None else out.unionByName(rows)
     if out is None:
-        schema = StructType().add("item", items.schema[item_col].dataType).add("rank", "int")
-        out = spark.createDataFrame([], schema.add("id", docs.schema[id_col].dataType).add("score", "long"))
+        schema = StructType().add("item", items.schema[item_col].dataType).add("rank", IntegerType())
+        out = spark.createDataFrame([], schema.add("id", docs.schema[id_col].dataType).add("score", LongType()))
     return out

@@ -43,17 +43,15 @@ def check(spark, docs, items, k=10, **options):
 
 
 @pytest.mark.parametrize("shard", [7, 4096])
-def test_equals_scoring_of_all_pairs(spark, monkeypatch, shard):
-    monkeypatch.setattr(ranked, "_SHARD", shard)
-    monkeypatch.setattr(ranked, "_TOP", 2)
+def test_equals_scoring_of_all_pairs(spark, shard):
     rng = random.Random(shard)
     rare = [f"w{i}" for i in range(400)]
     docs = [(i, sentence(rng, rng.randint(0, 60)) + " " + " ".join(rng.choice(rare) for _ in range(rng.randint(0, 9)))) for i in range(300)]
     docs += [(1000 + i, docs[3][1]) for i in range(20)]  # ties
     items = [(i, sentence(rng, 5) + " " + " ".join(rng.choice(rare) for _ in range(4))) for i in range(25)]
     items += [(90, docs[3][1]), (91, None), (92, ""), (93, "Zz-top unknown"), (93, "the THE the w7")]
-    check(spark, docs, items)
-    check(spark, docs, items, k=1)
+    check(spark, docs, items, shard=shard)
+    check(spark, docs, items, k=1, shard=shard)
 
 
 def test_odd_documents(spark, odd_documents):
@@ -62,13 +60,41 @@ def test_odd_documents(spark, odd_documents):
     check(spark, docs, items)
 
 
-def test_blocks_of_queries_and_parts_of_texts(spark, monkeypatch):
+def test_blocks_of_queries(spark, monkeypatch):
     monkeypatch.setattr(ranked, "_BLOCK_BYTES", 30)
-    monkeypatch.setattr(ranked, "_PART", 11)
     rng = random.Random(2)
     check(spark, [(i, sentence(rng, 30)) for i in range(30)], [(i, sentence(rng, 4)) for i in range(9)], k=3)
 
 
+def test_parts_of_a_long_text(monkeypatch):
+    monkeypatch.setattr(ranked, "_PART", 11)
+    text = sentence(random.Random(6), 60) + " " + "x" * 50 + "-É1"
+    parts = list(ranked.terms(text))
+    assert len(parts) > 10 and [w.decode() for p in parts for w in p] == split(text)
+
+
+def test_short_rounds(monkeypatch):
+    """Scores after any number of rounds are those of all reads."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    n, n_terms = 300, 12
+    has = [np.sort(rng.choice(n_terms, rng.integers(0, n_terms + 1), replace=False)) for _ in range(n)]
+    counts, term = np.array([len(x) for x in has]), np.concatenate(has)
+    lists = ranked._Lists(rng.integers(12, 90, n), counts, term, rng.integers(1, 5, len(term)), n_terms, n, 40 * n)
+    scores = np.zeros(n, np.int64)
+    query, factor = np.array([1, 4, 5, 7, 11]), np.array([900, 3, 500, 0, 40])
+    for t, w in zip(query, factor):
+        np.add.at(scores, lists.doc[lists.cut[t]:lists.cut[t + 1]], w * lists.impact[lists.cut[t]:lists.cut[t + 1]])
+    kth = np.sort(scores)[-10]
+    for top in (1, 2, 500):
+        monkeypatch.setattr(ranked, "_TOP", top)
+        for floor in (0, int(kth), int(scores.max()) + 1):
+            found, got = lists.search(query, factor, 10, floor)
+            want = np.flatnonzero((scores >= max(kth, floor)) & (scores > 0))
+            assert found.tolist() == want.tolist() and got.tolist() == scores[want].tolist()
+
+
 def test_empty_tables(spark):
     some, none = [(1, "one two")], []
     check(spark, none, some)

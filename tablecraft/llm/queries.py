@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, chat, fmindex, lempelziv, linededup, minhash, ranked, repair, simhash, suffixes, toxicity, urls
+from tablecraft.llm import bpe, chat, fmindex, lempelziv, linededup, minhash, ranked, repair, simhash, suffixes, toxicity, trie, urls
 from tablecraft.llm.frames import KEY, stored, table, text_key
 from tablecraft.sources.scratch import scratch_path
 
@@ -138,6 +138,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt on the turns of every fifth."""
+    turns = trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    c = F.col("conv")
+    out = trie.prefix_trie(*trie.rebuilt(turns, base=c - c % 5, shared=F.crc32(c.cast("string")) % 9))
+    return out.withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 #: Lower-cases A-Z only, as the contracts say; DuckDB's lower() folds other letters too.
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -221,6 +229,45 @@ o as (
 select i.item_id, o.rank::int as rank, o.doc_id, o.score from o join i on i.q = o.q where o.rank <= 10
 """
 
+#: The usual checksum of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295::bigint], list_transform(string_split({c}::varchar, ''), lambda x: ascii(x)::bigint)),
+  lambda s, b: list_reduce(list_concat([xor(s, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda v, i: xor(v >> 1, (v & 1) * 3988292384))))"""
+_OP13_SQL = f"""
+with t as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+z as (select c, max(pos) as n, c - c % 5 as b, {_CRC32.format(c="c")} % 9 as h from t group by c),
+v as (
+  select z.c, z.b, z.h, case when y.n is null then 0 else least(z.h, y.n) end as taken, z.n - least(z.n, z.h) as own
+  from z left join z y on y.c = z.b),
+r as (
+  select t.c, t.pos - v.h + v.taken as pos, t.role, t.text from t join v on v.c = t.c where t.pos > v.h
+  union all
+  select v.c, t.pos, t.role, t.text from v join t on t.c = v.b and t.pos <= v.taken),
+p as (
+  select c, pos as d, text, string_agg(role || chr(31) || text, chr(30)) over (
+    partition by c order by pos rows between unbounded preceding and current row) as k
+  from r union all select c, 0, '', '' from v),
+n as (select d, k, count(*) as m, min(c) as c, strlen(any_value(text)) as bytes from p group by d, k),
+u as (
+  select n.d, n.k, n.m, n.c, n.bytes, a.c as above
+  from n left join p on p.c = n.c and p.d = n.d - 1 left join n a on a.d = n.d - 1 and a.k = p.k),
+s as (select above as c, d - 1 as d, count(*) as kids from u where above is not null group by 1, 2),
+w as (select u.*, coalesce(s.kids, 0) as kids from u left join s on s.c = u.c and s.d = u.d),
+o as (
+  select p.d, p.k, sum((w.kids = 0)::int) as leaves, sum((w.m - 1) * w.bytes) as saved
+  from w join p on p.c = w.c and p.d <= w.d group by 1, 2),
+e as (
+  select p.d, p.k, string_agg(p.c::varchar, ',' order by p.c) as ends
+  from v join p on p.c = v.c and p.d = v.taken + v.own group by 1, 2)
+select w.c as conv_id, w.d::bigint as depth, w.above as parent_conv_id, w.m::bigint as n_convs, w.kids::bigint as n_children,
+  o.leaves::bigint as n_leaves, o.saved::bigint as saved_tokens, sha256(coalesce(e.ends, '')) as ends_sha256
+from w join o on o.d = w.d and o.k = w.k left join e on e.d = w.d and e.k = w.k
+"""
+
 _OP3_SQL = """
 with t as (
   select conv_id, role, text, row_number() over w as position, count(*) over (partition by conv_id) as n_turns,
@@ -270,6 +317,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_substring_dedup": op11_substring_dedup,
     "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
@@ -279,4 +327,5 @@ ORACLE = {
     "op9_line_dedup": _OP9_SQL,
     "op11_substring_dedup": _OP11_SQL,
     "op12_ranked_search": _OP12_SQL,
+    "op13_prefix_trie": _OP13_SQL,
 }

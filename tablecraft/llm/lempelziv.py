@@ -321,7 +321,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = stored(once.mapInArrow(_entries, _ENTRY), "reference")
 
     blocks = found.where("name = 0").select("seed", *KEY, "lo", "words").repartition(n, "seed").sortWithinPartitions("seed")
-    factored = blocks.mapInArrow(_factored, "_k1 long, _k2 long, lo int, hi int")
+    # written by itself, as a stage that also joins could not have the join's hot keys split
+    factored = stored(blocks.mapInArrow(_factored, "_k1 long, _k2 long, lo int, hi int"), "factored")
     windows = found.where("name <> 0").select("seed", "name", *KEY, "lo")
     twice = stored(windows.groupBy("seed", "name").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "windows")
     split = windows.join(twice, ["seed", "name"], "left_semi").select(*KEY, "lo", F.col("lo").alias("hi"))

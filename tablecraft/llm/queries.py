@@ -114,9 +114,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = rows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("copies"))
     near = simhash.within_radius(rows, queries, NEAR_BITS).join(copies, ["f1", "f2"])
     near = near.groupBy("q1", "q2").agg((F.sum("copies") - 1).alias("n_near"))
-    searched = queries.select("id", "f1", "f2").join(near, (F.col("f1") == F.col("q1")) & (F.col("f2") == F.col("q2"))).select(
-        "id", "n_near").distinct()
-    return rows.join(searched, "id", "left").select(
+    # a text's count goes to the rows with its fingerprint: ids may repeat
+    near = near.withColumnsRenamed({"q1": "f1", "q2": "f2"})
+    others = rows.where("id is null or id % 100 <> 0").withColumn("n_near", F.lit(None).cast("long"))
+    return queries.join(near, ["f1", "f2"], "left").unionByName(others).select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         simhash.as_text("f1", "f2").alias("fingerprint"),
         simhash.as_text("e1", "e2").alias("edited_fingerprint"),

@@ -141,3 +141,13 @@ def test_edited_copies_are_counted(spark, tmp):
     found = [got[k] for k, _ in rows[::2]]
     assert len(found) == 120 and set(found) <= {0, 1}
     assert [sum(found[i:i + 40]) >= 36 for i in (0, 40, 80)] == [True] * 3
+
+
+def test_rows_that_share_an_id_stay_apart(spark, tmp):
+    """One id with two texts, repeated rows and null ids: a row for every row."""
+    a, b = "one two three four five six seven", "quite another text with other words in it"
+    rows = [(100, a), (100, a), (100, b), (200, a), (7, b), (None, a), (None, b)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp}/ids/documents.parquet")
+    got = [(r.doc_id, r.n_chars, r.n_near) for r in QUERIES["op10_simhash"](spark, f"{tmp}/ids").collect()]
+    want = [(100, len(a), 3), (100, len(a), 3), (100, len(b), 2), (200, len(a), 3), (7, len(b), None), (None, len(a), None), (None, len(b), None)]
+    assert sorted(got, key=str) == sorted(want, key=str)

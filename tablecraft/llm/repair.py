@@ -119,7 +119,10 @@ def encoder(path: str) -> _Encoder:
 def compress(ids: np.ndarray, base: int, min_count: int = 16, per_round: int = 4096,
              least_gain: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols) of a sequence of ids below ``base``: rule r replaces the two
-    symbols rules[r] by the symbol base + r."""
+    symbols rules[r] by the symbol base + r. Symbols have 16 bits; more ids than these can
+    tell apart are refused."""
+    if base >= _SYMBOLS or len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < base:
+        raise ValueError(f"ids must be below the base {base}, and that below {_SYMBOLS}")
     seq = ids.astype(np.uint16)
     rules = np.zeros((0, 2), np.uint16)
     while len(seq) > 1 and base + len(rules) < _SYMBOLS:
@@ -210,6 +213,10 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
     """Encode ``docs`` in ascending id order and write them as compressed shards."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     narrow = narrow.orderBy(F.col("id").asc_nulls_first(), F.xxhash64("text")).select("id", "text")
+    if encoder(vocabulary).size > _SYMBOLS - 1:
+        raise ValueError(f"symbols have 16 bits: the vocabulary must have fewer than {_SYMBOLS} ids")
+    if not 0 <= end_id < encoder(vocabulary).size:
+        raise ValueError("end_id is no id of the vocabulary")
     small_batches(docs.sparkSession)
     id_type = narrow.schema["id"].dataType.simpleString()
     schema = (f"part int, chunk int, ids array<{id_type}>, offsets array<long>, base int, "

@@ -10,8 +10,8 @@ the vocabulary and aggregates the bytes of each text in position order.
 
 Spark partitions the texts; no row leaves its task. The vocabulary file is read once per
 Python worker from ``vocabulary`` (a path that every worker can open, like any installed
-package data). Memory per worker: the piece table (at most ``PieceTable.limit`` pieces)
-and one DuckDB of at most 250 MB.
+package data). Memory per worker: two tables of known pieces (at most ``PieceTable.limit``
+bytes each, gone when the task ends) and one DuckDB of at most 250 MB that may not spill.
 
 Edge cases. Null and empty texts have no ids and decode to no bytes. Ids and bytes of a
 text never depend on its neighbours in the batch. A piece of n bytes without white space
@@ -39,16 +39,16 @@ _MERGE = """
 with recursive t(word, pos, id, open) as (
   select word, pos, id, true from pieces
   union all
-  select word, pos, case when pos = (best & 16777215) then best >> 24 else id end, best is not null
+  select word, pos, case when pos = (best & 4294967295) then best >> 32 else id end, best is not null
   from (
     select word, pos, id, before, min(pair) over (partition by word) as best
     from (
-      select n.word, n.pos, n.id, n.before, (m.rank::bigint << 24) | n.pos as pair
+      select n.word, n.pos, n.id, n.before, (m.rank::bigint << 32) | n.pos as pair
       from (
         select word, pos, id, lead(id) over w as after, lag(pos) over w as before
         from t where open window w as (partition by word order by pos)) n
       left join merges m on m.pair = ((n.id::bigint << 20) | n.after)))
-  where best is null or before is distinct from (best & 16777215))
+  where best is null or before is distinct from (best & 4294967295))
 select word, pos, id::integer as id from t where not open order by word, pos
 """
 
@@ -85,7 +85,7 @@ class _Bpe:
                 for t, rank in self.ranks.items() for i in range(1, len(t))
                 if t[:i] in self.ranks and t[i:] in self.ranks
             ], np.int64)
-            self.opened = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
+            self.opened = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
             self.opened.register("m", pa.table({"pair": pairs[:, 0], "rank": pairs[:, 1].astype(np.int32)}))
             # every byte is one character here, so that text aggregation puts bytes together
             self.opened.register("v", pa.table({
@@ -94,7 +94,9 @@ class _Bpe:
         return self.opened
 
     def close(self) -> None:
-        """End of a task: only the tables of known pieces stay in the worker."""
+        """End of a task: only the vocabulary stays in the worker."""
+        self.table.clear()
+        self.words.clear()
         if self.opened is not None:
             self.opened.close()
             self.opened = None

@@ -120,15 +120,15 @@ def byte_pieces(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class PieceTable:
     """Results for every distinct run of codes met so far, found by hash. ``make`` gets
     the new distinct runs (codes, starts, ends) and returns their results, concatenated,
-    and the length of each. Past ``limit`` runs the table starts anew, which costs time
-    only."""
+    and the length of each. Beyond ``limit`` bytes the table starts anew, which costs time
+    only; a task clears it when it ends."""
 
     def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
-                 dtype: type = np.int32, limit: int = 1_000_000):
+                 dtype: type = np.int32, limit: int = 24 << 20):
         self.make, self.dtype, self.limit = make, dtype, limit
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int32)
@@ -140,8 +140,8 @@ class PieceTable:
             return np.zeros(0, self.dtype), np.zeros(0, np.int32)
         h = arrays.run_hashes(codes, starts, ends)
         distinct, one, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > self.limit:
-            self._clear()
+        if (len(self.hashes) + len(distinct)) * 20 + self.flat.nbytes > self.limit:
+            self.clear()
         at = np.searchsorted(self.hashes, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.hashes)

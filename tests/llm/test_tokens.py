@@ -148,3 +148,31 @@ def test_strings_of_added_tokens_get_their_ids(spark, tmp):
     got = repair.read_shards(spark, f"{tmp}/added").orderBy("id").collect()
     assert [r.ids for r in got] == [ids + [2] for ids in want]
     assert [r.start for r in got] == np.cumsum([0, *(len(ids) + 1 for ids in want[:-1])]).tolist()
+
+
+def test_patterned_words_keep_their_own_ids(tiktoken_encoding):
+    """Thue-Morse words and their complements, on which sums of powers of an odd base agree."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate({97: 98, 98: 97})
+    words = [word, word.translate({97: 98, 98: 97}), word[:1024], word[1024:]]
+    coder = bpe.bpe(RANKS, PATTERN)
+    got = coder.encode(words)
+    assert [x.tolist() for x in got] == [tiktoken_encoding.encode_ordinary(w) for w in words]
+    assert [b.decode() for b in coder.decode(got)] == words
+    coder.close()
+
+
+def test_tables_of_pieces_end_with_the_task():
+    coder = bpe.bpe(RANKS, PATTERN)
+    coder.decode(coder.encode(["some words of a text"]))
+    assert len(coder.table.hashes) and len(coder.words.hashes)
+    coder.close()
+    assert not len(coder.table.hashes) and not len(coder.words.flat) and coder.opened is None
+
+
+def test_ids_that_do_not_fit_are_refused():
+    with pytest.raises(ValueError):
+        repair.compress(np.array([1, 70_000]), 80_000)
+    with pytest.raises(ValueError):
+        repair.compress(np.array([1, 70_000]), 60_000)

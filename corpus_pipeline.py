@@ -29,8 +29,8 @@ def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def boilerplate_lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that 2 % or more of their source's distinct pages have go."""
-    out = linededup.drop_boilerplate(docs, "source", "text", ratio=0.02, min_pages=5)
+    """Lines that repeat and that 2 % or more of their source's distinct pages have go."""
+    out = linededup.drop_boilerplate(docs, "source", "text", ratio=0.02, min_pages=2)
     return _with_text(out, F.col("text"))
 
 

@@ -15,6 +15,7 @@ from tablecraft.functions.columns import status_from_code
 from tablecraft.operators import versions as V
 from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import STATUS_CASE
+from tablecraft.sources import states as S
 from tablecraft.sources.readers import read_parquet
 from tablecraft.sources.scratch import scratch_path
 from tablecraft.sources.sinks import write_parquet
@@ -80,9 +81,23 @@ def q_table_delete(spark, sf):
     return read_parquet(spark, _without_cancelled(spark, _merged(spark, sf)[1]))
 
 
+def q_table_upsert_or_create(spark, sf):
+    """The same call makes the table of the first batch and merges the second into it."""
+    path = scratch_path(spark, "order_states")
+    for batch in (batch1(spark, sf), batch2(spark, sf)):
+        S.upsert_or_create(batch, path, KEYS)
+    return S.read_latest(spark, path)
+
+
 def q_table_time_travel(spark, sf):
-    """The state before the merge, from the folder it was written to."""
-    return read_parquet(spark, _merged(spark, sf)[0])
+    """Every order of the state before the merge, with its status after it: both states are
+    still there."""
+    path = scratch_path(spark, "order_states")
+    first = S.write_state(batch1(spark, sf).unionByName(_new_in_batch2(spark, sf)), path)
+    last = S.upsert_or_create(batch2(spark, sf), path, KEYS)
+    states = S.committed(spark, path)
+    after = S.read_state(spark, states[last]).select("order_id", F.col("status").alias("status_after"))
+    return S.read_state(spark, states[first]).join(after, "order_id", "left")
 
 
 def q_table_schema_change(spark, sf):
@@ -91,8 +106,16 @@ def q_table_schema_change(spark, sf):
     return read_parquet(spark, _written(read_parquet(spark, path).withColumn("discount", F.lit(0.0))))
 
 
+def q_table_schema_union(spark, sf):
+    """States of two schemas read as one table: rows written before the column was there
+    have none."""
+    older = _written(batch1(spark, sf))
+    newer = _written(_new_in_batch2(spark, sf).withColumn("discount", F.when(F.col("amount") >= 100000, 5.0).otherwise(0.0)))
+    return read_parquet(spark, older, newer, merge_schema=True)
+
+
 def q_table_compact(spark, sf):
-    """The appended table with files of a fixed size."""
+    """The appended table with small files packed together, without a shuffle."""
     return read_parquet(spark, _written(V.compacted(spark, _appended(spark, sf))))
 
 
@@ -116,7 +139,9 @@ QUERIES = {
     "table_append": q_table_append,
     "table_upsert": q_table_upsert,
     "table_delete": q_table_delete,
+    "table_upsert_or_create": q_table_upsert_or_create,
     "table_time_travel": q_table_time_travel,
+    "table_schema_union": q_table_schema_union,
     "table_schema_change": q_table_schema_change,
     "table_compact": q_table_compact,
     "table_history": q_table_history,
@@ -139,7 +164,12 @@ ORACLE = {
     "table_append": _CTE + "SELECT * FROM appended",
     "table_upsert": _CTE + "SELECT * FROM merged",
     "table_delete": _CTE + "SELECT * FROM merged WHERE NOT COALESCE(status = 'CANCELLED', false)",
-    "table_time_travel": _CTE + "SELECT * FROM b1",
+    "table_upsert_or_create": _CTE + "SELECT * FROM merged",
+    "table_time_travel": _CTE + """
+SELECT a.*, m.status AS status_after FROM appended a LEFT JOIN merged_after_append m ON m.order_id = a.order_id""",
+    "table_schema_union": _CTE + """
+SELECT *, CAST(NULL AS DOUBLE) AS discount FROM b1 UNION ALL
+SELECT *, CASE WHEN amount >= 100000 THEN 5.0::DOUBLE ELSE 0.0 END AS discount FROM b2 WHERE order_date >= DATE '""" + BATCH1_BEFORE + "'",
     "table_schema_change": _CTE + "SELECT *, CAST(0.0 AS DOUBLE) AS discount FROM merged",
     "table_compact": _CTE + "SELECT * FROM appended",
     "table_history": _CTE + """

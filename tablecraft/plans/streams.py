@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablecraft.operators import versions as V
 from tablecraft.plans import logical as L
 from tablecraft.sources.readers import read_json, read_parquet
 from tablecraft.sources.scratch import scratch_path
-from tablecraft.sources.sinks import write_parquet
+from tablecraft.streaming.changes import latest_rows, write_changes
 from tablecraft.streaming.jobs import (
     export_transactions_json,
     flag_large,
     high_value_alerts,
+    replay_stream,
     run_foreach_batch,
     run_to_files,
+    stage_replay,
     to_transactions,
     transactions_json_stream,
     transactions_stream,
@@ -48,20 +49,41 @@ def q_stream_tumbling_agg(spark, sf):
 
 
 def q_stream_upsert_agg(spark, sf):
-    """Update mode: each micro-batch's changed windows are merged by window start into a
-    Parquet table, so the table always holds the latest values. Every batch writes a new
-    folder named by its number: a repeated batch starts again from its predecessor's."""
-    base, chk = scratch_path(spark, "stream_window_table"), scratch_path(spark, "chk_upsert")
-    latest = [None]
-
-    def upsert_batch(batch, batch_id):
-        before = [p for p in (latest[0],) if p]
-        merged = V.upsert(read_parquet(spark, before[0]), batch, ["window_start"]) if before else batch
-        latest[0] = write_parquet(merged, f"{base}/batch={batch_id}")
-
-    q = run_foreach_batch(tumbling_totals(transactions_stream(spark, f"{sf}/events.parquet"), WINDOW, LATENESS), upsert_batch, chk)
+    """Update mode: the windows that a micro-batch changed are written under its number, and
+    the table is the last row per window. A restarted query goes on from the checkpoint and
+    the batches on storage; nothing is kept in the driver (see ``streaming/changes.py``)."""
+    path, chk = scratch_path(spark, "stream_window_table"), scratch_path(spark, "chk_upsert")
+    windows = tumbling_totals(transactions_stream(spark, f"{sf}/events.parquet"), WINDOW, LATENESS)
+    q = run_foreach_batch(windows, write_changes(path, ["window_start"]), chk)
     q.awaitTermination()
-    return read_parquet(spark, latest[0])
+    return latest_rows(spark, path, ["window_start"], windows.schema)
+
+
+#: Seconds of event time in a step of the replay: a file, a micro-batch.
+STEP = 3 * 86400
+
+
+def _arrival(ts):
+    """The step that an event arrives in: that of its time, or one or two later for the
+    events of which delivery is delayed."""
+    delay = F.when(F.col("event_id") % 50 == 7, 2).when(F.col("event_id") % 50 == 11, 1).otherwise(0)
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / STEP) + delay
+
+
+def q_stream_replay_late(spark, sf):
+    """The events replayed a step at a time, the watermark moving between the micro-batches:
+    per window what was counted in time, and how many rows came too late."""
+    feed, chk = scratch_path(spark, "replay"), scratch_path(spark, "chk_replay")
+    path = scratch_path(spark, "replay_windows")
+    events = L.table(spark, sf, "events")
+    stage_replay(events, feed, _arrival(F.col("ts")))
+    windows = tumbling_totals(replay_stream(spark, feed), WINDOW, LATENESS)
+    q = run_foreach_batch(windows, write_changes(path, ["window_start"], fold_every=4), chk)
+    q.awaitTermination()
+    counted = latest_rows(spark, path, ["window_start"], windows.schema).select("window_start", "n", "total", "max_amount")
+    arrived = tumbling_totals(to_transactions(events), WINDOW, lateness=None).select("window_start", "window_end", F.col("n").alias("arrived"))
+    out = arrived.join(counted, "window_start", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumn("n_late", F.col("arrived") - F.col("n")).drop("arrived")
 
 
 def _json_feed(spark, sf):
@@ -93,6 +115,7 @@ QUERIES = {
     "tumbling_batch": q_tumbling_batch,
     "stream_tumbling_agg": q_stream_tumbling_agg,
     "stream_upsert_agg": q_stream_upsert_agg,
+    "stream_replay_late": q_stream_replay_late,
     "stream_filter_append": q_stream_filter_append,
     "stream_threshold_alert": q_stream_threshold_alert,
 }
@@ -110,6 +133,24 @@ ORACLE = {
 SELECT * FROM ({_WINDOWS}) w
 WHERE w.window_end + INTERVAL 2 MINUTE <= (SELECT MAX(ts) FROM events)""",
     "stream_upsert_agg": _WINDOWS,
+    # a micro-batch drops rows by the watermark of the one before it, which rests on the
+    # batches before that
+    "stream_replay_late": f"""
+WITH e AS (
+  SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+         dense_rank() OVER (ORDER BY CAST(floor(epoch(ts) / {STEP}) AS BIGINT)
+             + CASE event_id % 50 WHEN 7 THEN 2 WHEN 11 THEN 1 ELSE 0 END) AS step
+  FROM events),
+s AS (SELECT step, max(ts) AS latest FROM e GROUP BY step),
+w AS (SELECT step, date_trunc('millisecond', max(latest) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+             - INTERVAL 2 MINUTE AS watermark FROM s),
+m AS (
+  SELECT e.*, w.watermark IS NULL OR e.window_start + INTERVAL 5 MINUTE > w.watermark AS counted
+  FROM e JOIN w ON w.step = e.step)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, COUNT(*) FILTER (WHERE counted) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (WHERE counted) AS DOUBLE) AS total,
+       MAX(value) FILTER (WHERE counted) AS max_amount, COUNT(*) FILTER (WHERE NOT counted) AS n_late
+FROM m GROUP BY window_start""",
     "stream_filter_append": f"""
 SELECT transaction_id, customer_id, amount, status, amount >= {LARGE_AMOUNT} AS is_large
 FROM ({_TX}) t WHERE status = 'SUCCESS'""",

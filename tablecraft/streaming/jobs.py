@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
@@ -60,6 +60,31 @@ def transactions_stream(spark: SparkSession, source: str, files_per_trigger: int
     return to_transactions(reader.parquet(source))
 
 
+def stage_replay(events: DataFrame, path: str, step: Column) -> str:
+    """Write ``events`` for a replay: a Parquet file per value of ``step``, with modification
+    times in the order of the steps, which is the order in which a file stream takes files.
+    With ``files_per_trigger=1`` a step is a micro-batch, so choose steps that fit a file.
+    The file system must let modification times be set (local ones and HDFS do)."""
+    events.withColumn("_step", step).repartition("_step").write.partitionBy("_step").parquet(path)
+    spark = events.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = {e.getPath().getName(): e.getPath() for e in fs.listStatus(where) if e.isDirectory()}
+    steps = sorted((int(name.partition("=")[2]), at) for name, at in folders.items() if name.startswith("_step="))
+    for n, (_, folder) in enumerate(steps):
+        (file,) = [e.getPath() for e in fs.listStatus(folder) if e.getPath().getName().startswith("part-")]
+        fs.setTimes(file, (n + 1) * 1000, -1)
+        if fs.getFileStatus(file).getModificationTime() != (n + 1) * 1000:
+            raise RuntimeError(f"{path}: the file system keeps its own modification times")
+    return path
+
+
+def replay_stream(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`stage_replay` wrote as a stream of transactions, one step a micro-batch."""
+    reader = _file_stream(spark, EVENTS_SCHEMA, 1).option("recursiveFileLookup", "true")
+    return to_transactions(reader.parquet(path))
+
+
 def export_transactions_json(events: DataFrame, path: str) -> str:
     """Write events as JSON-line transaction files with a text ``event_time`` (the shape a
     payment feed delivers), each a contiguous time range; as many files as shuffle

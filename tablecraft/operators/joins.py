@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import hash_bucket
+from tablecraft.operators.aggregates import heavy_keys
 
 DEFAULT_BROADCAST_BYTES = 32 << 20
 
@@ -65,14 +66,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.05) -> lis
     """Keys holding at least ``min_share`` of all rows, as a list of key tuples.
 
     There are at most ``1/min_share`` of them (20 by default), so the list is a proven
-    small bound and comes to the driver once. Counting is a partial (map-side
-    combined) aggregation, so a hot key never reaches a single task as raw rows.
+    small bound and comes to the driver once. They are found by a sketch, and only the rows
+    of its candidates are grouped and counted exactly (:func:`heavy_keys`).
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    if not total:
-        return []
-    return [tuple(r) for r in counts.filter(F.col("_n") >= max(total * min_share, 2)).select(*keys).collect()]
+    found = heavy_keys(df, keys, min_share).filter(F.col("n") >= 2)
+    return [tuple(r) for r in found.select(*keys).collect()]
 
 
 def salted_join(

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tablecraft.operators.aggregates import key_skew
+from tablecraft.operators.aggregates import key_skew, skew_report
 from tablecraft.operators.dedup import scd2_as_of, scd2_current
 from tablecraft.operators.joins import bounded_broadcast, hot_keys, join, orphans, salted_join, temporal_join
 from tablecraft.plans import logical as L
@@ -85,6 +85,11 @@ def q_key_skew(spark, sf):
     return key_skew(L.orders_skewed(spark, sf), "customer_id")
 
 
+def q_skew_report(spark, sf):
+    """Customers with a thousandth of all orders or more, largest first, found by a sketch."""
+    return skew_report(L.orders_skewed(spark, sf), ["customer_id"], min_share=0.001)
+
+
 def q_bucketed_join(spark, sf, buckets: int | None = None):
     """Both sides bucketed and sorted on the customer key: the join has no exchange.
 
@@ -143,6 +148,7 @@ QUERIES = {
     "join_salted": q_join_salted,
     "join_skew_aqe": q_join_skew_aqe,
     "key_skew": q_key_skew,
+    "skew_report": q_skew_report,
     "bucketed_join": q_bucketed_join,
     "join_self": q_join_self,
     "temporal_join": q_temporal_join,
@@ -169,6 +175,9 @@ FROM orders_v2 o JOIN customers c ON o.customer_id = c.customer_id
 WHERE o.status = 'COMPLETED'"""),
     "join_salted": sql(["orders_skewed", "customers"], _SKEW),
     "join_skew_aqe": sql(["orders_skewed", "customers"], _SKEW),
+    "skew_report": sql(["orders_skewed"], """
+SELECT customer_id, COUNT(*) AS n, COUNT(*) / (SELECT COUNT(*) FROM orders_skewed)::DOUBLE AS share
+FROM orders_skewed GROUP BY customer_id HAVING COUNT(*) >= 0.001 * (SELECT COUNT(*) FROM orders_skewed)"""),
     "key_skew": sql(["orders_skewed"], """
 SELECT customer_id, n, n / AVG(n) OVER () AS ratio_to_avg FROM (
   SELECT customer_id, COUNT(*) AS n FROM orders_skewed GROUP BY customer_id) t"""),

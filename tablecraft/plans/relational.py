@@ -180,9 +180,12 @@ def q_top_customers(spark, sf):
 
 
 def q_summary_stats(spark, sf):
+    """Statistics of numeric columns; mean and deviation to six places, as their last bits
+    depend on the order in which tasks are merged."""
     o = summary_stats(L.table(spark, sf, "orders"), ["o_totalprice"])
-    li = summary_stats(L.table(spark, sf, "lineitem"), ["l_quantity"])
-    return o.unionByName(li)
+    li = summary_stats(L.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    places = F.round(F.col("value").cast("decimal(38,10)"), 6).cast("double")
+    return o.unionByName(li).withColumn("value", F.when(F.col("stat").isin("mean", "stddev"), places).otherwise(F.col("value")))
 
 
 def q_null_audit(spark, sf):
@@ -278,14 +281,12 @@ d AS (SELECT *, order_value - discounted_value AS discount_amount,
 _DISCOUNT_SELECT = "SELECT order_id, product, promo_code, order_value, discounted_value, discount_amount, category FROM d"
 _TIER_JOIN = "FROM orders_v2 o JOIN customers c ON o.customer_id = c.customer_id WHERE o.status = 'COMPLETED'"
 _STATS = """SELECT '{c}' AS column_name, s.stat, s.value FROM (
-  SELECT CAST(COUNT({c}) AS DOUBLE) AS n,
-         CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) AS s1,
-         CAST(SUM(CAST({c} AS DECIMAL(18,2)) * CAST({c} AS DECIMAL(18,2))) AS DOUBLE) AS s2,
+  SELECT CAST(COUNT({c}) AS DOUBLE) AS n, AVG({c}) AS mean, STDDEV_SAMP({c}) AS dev,
          quantile_cont({c}, [0.25, 0.5, 0.75]) AS q,
          CAST(MIN({c}) AS DOUBLE) AS mn, CAST(MAX({c}) AS DOUBLE) AS mx
   FROM {t}) a,
-LATERAL (VALUES ('count', a.n), ('mean', a.s1 / a.n),
-                ('stddev', sqrt(greatest((a.s2 - a.s1 * a.s1 / a.n) / (a.n - 1.0), 0.0))),
+LATERAL (VALUES ('count', a.n), ('mean', CAST(ROUND(CAST(a.mean AS DECIMAL(38,10)), 6) AS DOUBLE)),
+                ('stddev', CAST(ROUND(CAST(a.dev AS DECIMAL(38,10)), 6) AS DOUBLE)),
                 ('min', a.mn), ('p25', a.q[1]), ('p50', a.q[2]), ('p75', a.q[3]), ('max', a.mx)) s(stat, value)"""
 _NULLS = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM orders_dirty"
@@ -338,7 +339,8 @@ WHERE o.status = 'COMPLETED' GROUP BY o.customer_id, c.customer_name"""),
 SELECT customer_id, {msum('quantity * price')} AS total_spend
 FROM orders_v2 WHERE status = 'COMPLETED' GROUP BY customer_id
 ORDER BY total_spend DESC, customer_id ASC LIMIT 10"""),
-    "summary_stats": _STATS.format(c="o_totalprice", t="orders") + "\nUNION ALL\n" + _STATS.format(c="l_quantity", t="lineitem"),
+    "summary_stats": "\nUNION ALL\n".join(
+        _STATS.format(c=c, t=t) for c, t in (("o_totalprice", "orders"), ("l_quantity", "lineitem"), ("l_extendedprice", "lineitem"))),
     "null_audit": sql(["orders_dirty"], _NULLS),
     "word_count": r"""
 SELECT word, COUNT(*) AS n FROM (

@@ -41,13 +41,13 @@ def q_rank_in_tier(spark, sf):
     """Rank customers in their tier; a tier is split across tasks (few tiers, many
     customers each)."""
     return rank_within(spend_per_customer(spark, sf), ["tier"], [F.col("spend").desc()], "rank",
-                       "rank_in_tier", ranged=True)
+                       "rank_in_tier", ranged=True, stage=True)
 
 
 def q_spend_dense_rank(spark, sf):
     """Left join: orders of unknown customers stay in a null-tier group."""
     return rank_within(spend_per_customer(spark, sf, "left"), ["tier"], [F.col("spend").desc()],
-                       "dense_rank", "dense_rank_in_tier", ranged=True)
+                       "dense_rank", "dense_rank_in_tier", ranged=True, stage=True)
 
 
 def q_rank_three_ways(spark, sf):
@@ -59,7 +59,7 @@ def q_rank_three_ways(spark, sf):
     spend_per_customer(spark, sf).createOrReplaceTempView(v)
     spend = spark.sql(f"SELECT customer_id, tier, spend FROM (SELECT customer_id, tier, spend FROM {v}) t")
     kinds = {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"}
-    return rankings_ranged(spend, ["tier"], [F.col("spend").desc()], kinds, tie_breakers=["customer_id"])
+    return rankings_ranged(spend, ["tier"], [F.col("spend").desc()], kinds, tie_breakers=["customer_id"], stage=True)
 
 
 def q_top_customer_per_tier(spark, sf):

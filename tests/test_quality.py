@@ -95,6 +95,60 @@ def test_distributed_quantiles_equal_in_memory(spark, sf):
     # a column with heavy duplicates and one hot value, besides a near-unique one
     dup = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") % 41).alias("x"))
     for df, col in ((o, "o_totalprice"), (dup, "x")):
-        ranged = dict(exact_quantiles(df, col, probs, num_partitions=7, method="ranged").collect())
+        narrowed = dict(exact_quantiles(df, col, probs).collect())
         memory = dict(exact_quantiles(df, col, probs, method="memory").collect())
-        assert ranged == memory
+        assert narrowed == memory
+
+
+def _stats(df, *columns):
+    from tablecraft.operators.aggregates import summary_stats
+
+    return {(r.column_name, r.stat): r.value for r in summary_stats(df, list(columns)).collect()}
+
+
+def test_statistics_keep_small_values_and_small_spreads(spark):
+    df = spark.createDataFrame([(0.004, 1e9), (0.004, 1e9 + 0.01), (0.002, 1e9 + 0.02)], "a double, b double").repartition(3)
+    s = _stats(df, "a", "b")
+    assert abs(s["a", "mean"] - 0.01 / 3) < 1e-15 and abs(s["a", "stddev"] - 0.0011547005383792516) < 1e-12
+    assert abs(s["b", "mean"] - (1e9 + 0.01)) < 1e-6 and abs(s["b", "stddev"] - 0.01) < 1e-6
+    assert s["a", "p50"] == 0.004 and s["a", "p25"] == 0.003 and s["b", "max"] == 1e9 + 0.02
+
+
+def test_statistics_of_odd_columns(spark):
+    """Nulls, one row, no row, NaN and infinities, whole numbers."""
+    df = spark.createDataFrame([(None, 5, None)] * 3 + [(1.5, 5, None)], "a double, b int, c double")
+    s = _stats(df, "a", "b", "c")
+    assert s["a", "count"] == 1 and s["a", "stddev"] is None and s["a", "p25"] == s["a", "p75"] == 1.5
+    assert s["b", "p50"] == 5.0 and s["b", "stddev"] == 0.0
+    assert s["c", "count"] == 0 and s["c", "mean"] is None and s["c", "p50"] is None
+    assert _stats(df.limit(0), "a")["a", "count"] == 0
+    odd = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), 1.0, -float("inf"), 2.0)], "a double")
+    s = _stats(odd, "a")
+    assert s["a", "p50"] == 2.0 and s["a", "min"] == -float("inf") and s["a", "max"] != s["a", "max"]
+
+
+def test_quantiles_narrow_in_a_few_scans(spark, monkeypatch):
+    """Far more distinct values than an approximate percentile tells apart."""
+    from tablecraft.operators import aggregates as A
+
+    monkeypatch.setattr(A, "_ACCURACY", 20)
+    df = spark.range(20_000).select((F.xxhash64("id") % 100_003).cast("double").alias("x"))
+    values = sorted(r.x for r in df.collect())
+    s = _stats(df, "x")
+    assert s["x", "p25"] == 0.25 * values[4999] + 0.75 * values[5000] or s["x", "p25"] == (1 - 0.75) * values[4999] + 0.75 * values[5000]
+    assert s["x", "p50"] == (values[9999] + values[10_000]) / 2
+
+
+def test_heavy_keys_are_found_by_sketch(spark):
+    from tablecraft.operators.aggregates import heavy_hashes, heavy_keys, skew_report
+
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    df = df.repartition(7)
+    want = [(r.k, r.n) for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n >= 600").orderBy(F.desc("n")).collect()]
+    assert [tuple(r) for r in heavy_keys(df, ["k"], 0.01).collect()] == want and len(want) == 2
+    assert {r.share for r in skew_report(df, ["k"], 0.05).collect()} == {0.1}
+    assert heavy_hashes(df.limit(0), ["k"], 0.01) == (0, []) and heavy_keys(df.limit(0), ["k"], 0.01).collect() == []
+    assert heavy_hashes(df, [], 0.5) == (60_000, [(0, 60_000)])
+    two = df.withColumn("j", F.col("id") % 2)
+    assert [tuple(r) for r in heavy_keys(two, ["k", "j"], 0.1).collect()] == [("hot", 0, 6000)]

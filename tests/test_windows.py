@@ -138,3 +138,55 @@ def test_three_rankings_from_one_split(spark):
     plain = rank_within(plain, ["tier"], [*by, "id"], "row_number", "c")
     split = rankings_ranged(df, ["tier"], by, {"a": "rank", "b": "dense_rank", "c": "row_number"}, tie_breakers=["id"], num_partitions=7)
     assert _same(plain, split)
+
+
+def test_range_split_has_one_exchange_and_writes_nothing(spark):
+    """A hot key is cut in ranges by an expression of key and order value."""
+    from tablecraft.operators.windows import _split
+
+    df = hot_history(spark).repartition(3)
+    split, cut = _split(df, ["customer_id"], ["seq"], 8)
+    assert cut
+    parts = {r.customer_id: r.n for r in split.groupBy("customer_id").agg(F.count_distinct("_range").alias("n")).collect()}
+    assert parts[1] >= 6 and all(n == 1 for k, n in parts.items() if k != 1)
+    out = running_total_ranged(df, ["customer_id"], ["seq"], "amount", num_partitions=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    main = plan[:plan.index("BroadcastExchange")]
+    assert main.count("Exchange hashpartitioning") <= 1 and "ExistingRDD[_range" not in plan
+
+
+def test_ranges_follow_every_kind_of_order(spark):
+    """Dates, times, texts, decimals, flags, falling orders and placed nulls."""
+    rows = [(1 if i % 5 else i, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, i int").select(
+        "k", "i", F.date_add(F.lit("2024-01-01").cast("date"), F.col("i") % 97).alias("d"),
+        F.timestamp_seconds(F.col("i") * 37 % 1013).alias("t"), F.when(F.col("i") % 11 > 0, F.concat(F.lit("é"), (F.col("i") * 7 % 501).cast("string"))).alias("s"),
+        (F.col("i") * 13 % 211).cast("decimal(10,2)").alias("m"), (F.col("i") % 2 == 0).alias("b"),
+        F.when(F.col("i") % 7 > 0, (F.col("i") % 71).cast("double")).otherwise(F.lit(float("nan"))).alias("x"))
+    df = df.withColumn("m", F.when(F.col("i") % 13 > 0, F.col("m")))
+    for first in ("d", "t", "s", "m", "b", F.col("d").desc(), F.col("s").desc(), F.col("m").desc_nulls_first(), F.col("m").asc_nulls_last(),
+                  F.col("x").desc(), "x"):
+        order = [first, "i"]
+        for kind in ("rank", "dense_rank"):
+            assert _same(rank_within(df, ["k"], [first], kind, "r"), rank_within(df, ["k"], [first], kind, "r", ranged=True))
+        assert _same(running_total(df, ["k"], order, "i"), running_total(df, ["k"], order, "i", ranged=True))
+    assert _same(lag_delta(df, ["k"], [F.col("t").desc(), "i"], "i"), lag_delta(df, ["k"], [F.col("t").desc(), "i"], "i", ranged=True))
+
+
+def test_one_window_over_all_rows_is_split(spark):
+    df = spark.range(2000).select("id", (F.col("id") * 7 % 300).alias("v"))
+    assert _same(running_total(df, [], ["v", "id"], "v"), running_total(df, [], ["v", "id"], "v", ranged=True))
+
+
+def test_unnamed_order_expressions_are_refused(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, i) for i in range(50)], "k int, i int")
+    with pytest.raises(ValueError, match="named columns"):
+        rank_within(df, ["k"], [F.col("i") + 1], "rank", "r", ranged=True)
+
+
+def test_running_total_of_leading_nulls(spark):
+    rows = [(1, i, None if i < 900 else 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, i int, amount double")
+    assert _same(running_total(df, ["k"], ["i"], "amount"), running_total(df, ["k"], ["i"], "amount", ranged=True))

@@ -93,35 +93,64 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join keeps big as the preserved side: inner or left")
+    big_s, small_s = salted_sides(big, small, keys, salts, hot)
+    return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
+
+
+def salted_sides(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    salts: int | None = None,
+    hot: Sequence[tuple] | None = None,
+    name: str = "_salt",
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a :func:`salted_join` with the sub-key ``name``, to be joined on the keys
+    and it: spread over ``salts`` values in the hot rows of ``big``, replicated in ``small``.
+    Written bucketed by keys and sub-key, no file holds a whole hot key."""
     keys = list(keys)
     salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt_of_row = hash_bucket(salts, *big.columns)
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     if hot is None:
-        big_s = big.withColumn("_salt", salt_of_row)
-        small_s = small.withColumn("_salt", F.explode(all_salts))
-    else:
-        def is_hot(df: DataFrame):
-            if not hot:
-                return F.lit(False)
-            if len(keys) == 1:
-                return F.coalesce(F.col(keys[0]).isin([k[0] for k in hot]), F.lit(False))
-            cond = F.lit(False)
-            for k in hot:
-                match = F.lit(True)
-                for name, value in zip(keys, k):
-                    match = match & F.col(name).eqNullSafe(F.lit(value))
-                cond = cond | match
-            return cond
-
-        spread = is_hot(big)
-        for k in keys:
-            spread = spread | F.col(k).isNull()
-        big_s = big.withColumn("_salt", F.when(spread, salt_of_row).otherwise(F.lit(0)))
-        small_s = small.withColumn(
-            "_salt", F.explode(F.when(is_hot(small), all_salts).otherwise(F.array(F.lit(0))))
-        )
-    return big_s.join(small_s, keys + ["_salt"], how).drop("_salt")
+        return big.withColumn(name, salt_of_row), small.withColumn(name, F.explode(all_salts))
+
+    def is_hot(df: DataFrame):
+        if not hot:
+            return F.lit(False)
+        if len(keys) == 1:
+            return F.coalesce(F.col(keys[0]).isin([k[0] for k in hot]), F.lit(False))
+        cond = F.lit(False)
+        for k in hot:
+            match = F.lit(True)
+            for key, value in zip(keys, k):
+                match = match & F.col(key).eqNullSafe(F.lit(value))
+            cond = cond | match
+        return cond
+
+    spread = is_hot(big)
+    for k in keys:
+        spread = spread | F.col(k).isNull()
+    small_salts = F.when(is_hot(small), all_salts).otherwise(F.array(F.lit(0)))
+    return (big.withColumn(name, F.when(spread, salt_of_row).otherwise(F.lit(0))),
+            small.withColumn(name, F.explode(small_salts)))
+
+
+def without_overlap(dim: DataFrame, keys: Sequence[str], from_col: str = "effective_from", to_col: str = "effective_to") -> DataFrame:
+    """``dim``, raising when it is computed if two versions of a key overlap: if one begins
+    before the one that began before it has ended (an open end never does). The versions of a
+    key are compared with their neighbours in order of ``from_col``, hot keys in ranges."""
+    from tablecraft.operators.windows import bounded_window_ranged
+
+    def following(w):
+        return {"_next": F.lead(from_col).over(w), "_last": F.lead(F.lit(False), 1, True).over(w)}
+
+    out = bounded_window_ranged(dim, keys, [from_col], following, 0, 1)
+    overlap = ~F.col("_last") & (F.col(to_col).isNull() | F.col("_next").isNull() | (F.col("_next") <= F.col(to_col)))
+    for k in keys:  # rows without a key match nothing
+        overlap = overlap & F.col(k).isNotNull()
+    wrong = F.raise_error(F.lit(f"versions overlap on {', '.join(keys)}")).cast("boolean")
+    return out.filter(F.when(overlap, wrong).otherwise(F.lit(True))).drop("_next", "_last")
 
 
 def temporal_join(
@@ -142,18 +171,18 @@ def temporal_join(
     The caller names the method; nothing about the data changes it. ``method="join"``
     (default) is the equi-join with the interval as a residual condition: overlapping
     versions are allowed, and a fact matches every valid version. ``method="sweep"``
-    promises versions that do not overlap per key, and is an as-of merge (SCD-2): facts and versions are sorted together per key and each
-    fact takes the latest version started at or before it, which is then checked
-    against ``to``. No fact x version comparisons, and a hot key is split across tasks
-    (range split with a carried "last version"); on overlapping versions it gives the
-    latest started one.
+    is an as-of merge (SCD-2) for versions that do not overlap per key, which is checked
+    (:func:`without_overlap`): facts and versions are sorted together per key and each
+    fact takes the latest version started at or before it, if that has not ended. No fact x
+    version comparisons, and a hot key is split across tasks (ranges with a carried "last
+    version").
     """
     keys = list(keys)
     if method == "join":
         return _temporal_equi_join(fact, dim, keys, event_col, from_col, to_col, how)
     if method != "sweep":
         raise ValueError(f"unknown method {method!r}")
-    from tablecraft.operators.windows import _checkpoint, _range_split, _with_segments
+    from tablecraft.operators.windows import _split, _with_segments
 
     dim_cols = [c for c in dim.columns if c not in keys]
     fact_cols = [c for c in fact.columns if c not in keys]
@@ -162,7 +191,7 @@ def temporal_join(
     ver_type = dim.select(ver.alias("v")).schema["v"].dataType
     rec_type = fact.select(rec.alias("r")).schema["r"].dataType
     t_type = fact.schema[event_col].dataType
-    versions = dim.select(
+    versions = without_overlap(dim, keys, from_col, to_col).select(
         *keys, F.col(from_col).cast(t_type).alias("_t"), F.lit(0).alias("_kind"),
         ver.alias("_ver"), F.lit(None).cast(rec_type).alias("_rec"),
     )
@@ -172,25 +201,21 @@ def temporal_join(
     )
     order = ["_t", "_kind"]  # a version starting at t applies to facts at t
     w = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = _checkpoint(
-        _range_split(versions.unionByName(facts), keys, order, None)
-        .withColumn("_last", F.last("_ver", ignorenulls=True).over(w))
-    )
-    # per (range, key): the segment's latest version; carried into the key's later
-    # ranges. Only the first key of a range has earlier ranges: <= one row per range.
-    seg = local.groupBy("_range", *keys).agg(
-        F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_ver"))).alias("_seg_last")
-    )
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        seg.withColumn("_prev", F.last("_seg_last", ignorenulls=True).over(before))
-        .filter(F.col("_prev").isNotNull())
-        .select("_range", *keys, F.col("_prev._ver").alias("_carry"))
-    )
+    split, cut = _split(versions.unionByName(facts), keys, order, None)
+    local = split.withColumn("_last", F.last("_ver", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    if cut:
+        # per (range, key): the segment's latest version, carried into the key's later ranges
+        seg = split.filter("_range > 0").groupBy("_range", *keys).agg(
+            F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_ver"))).alias("_seg_last"))
+        before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        carry = seg.select("_range", *keys, F.last("_seg_last", ignorenulls=True).over(before).getField("_ver").alias("_carry"))
+        local = _with_segments(local, F.broadcast(carry.filter(F.col("_carry").isNotNull())), ["_range", *keys])
+    else:
+        local = local.withColumn("_carry", F.lit(None).cast(ver_type))
     v = F.coalesce(F.col("_last"), F.col("_carry"))
     valid = v.isNotNull() & (v.getField(to_col).isNull() | (F.col("_t") <= v.getField(to_col)))
     matched = (
-        _with_segments(local.filter(F.col("_kind") == 1), F.broadcast(carry), ["_range", *keys])
+        local
         # a null key matches no version, as in a join
         .withColumn("_v", F.when(valid & ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)), v))
     )

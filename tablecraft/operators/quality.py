@@ -53,7 +53,8 @@ def tag_rows(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumns({name: _safe(rule) for name, rule in rules.items()})
 
 
-def _is_bad(rules: Rules) -> Column:
+def is_bad(rules: Rules) -> Column:
+    """Whether a row has at least one issue."""
     bad = F.lit(False)
     for rule in rules.values():
         bad = bad | _safe(rule)
@@ -62,7 +63,7 @@ def _is_bad(rules: Rules) -> Column:
 
 def split_quality(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: bad has at least one issue, good is exactly the rest."""
-    bad = _is_bad(rules)
+    bad = is_bad(rules)
     return df.filter(~bad), df.filter(bad)
 
 
@@ -71,7 +72,7 @@ def dq_overview(df: DataFrame, rules: Rules, key: str) -> DataFrame:
 
     ``duplicates_removed`` = good rows - distinct non-null keys among good rows.
     """
-    bad = _is_bad(rules)
+    bad = is_bad(rules)
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(~bad).alias("good"),

@@ -242,13 +242,6 @@ def _staged(df: DataFrame, stage: bool) -> DataFrame:
     return _checkpoint(df) if stage else df
 
 
-def _range_split(df: DataFrame, keys: Sequence[str], order: OrderSpec, n: int | None) -> DataFrame:
-    """All rows in ranges of equal size over keys and order; the range is the partition."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) for c in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
-    return df.repartitionByRange(n, *cols).withColumn("_range", F.spark_partition_id())
-
-
 def _checkpoint(df: DataFrame) -> DataFrame:
     from tablecraft.sources.scratch import cut_lineage
 

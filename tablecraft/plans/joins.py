@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.operators.aggregates import key_skew, skew_report
 from tablecraft.operators.dedup import scd2_as_of, scd2_current
-from tablecraft.operators.joins import bounded_broadcast, hot_keys, join, orphans, salted_join, temporal_join
+from tablecraft.operators.joins import bounded_broadcast, hot_keys, join, orphans, salted_join, salted_sides, temporal_join
 from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import sql
 from tablecraft.sources.sinks import write_bucketed
@@ -53,13 +53,10 @@ def q_join_merge_hint(spark, sf):
 
 
 def q_enriched_orders(spark, sf):
-    """Join, derive the order value, keep completed orders."""
-    df = join(L.orders_v2(spark, sf), L.customers(spark, sf), "customer_id")
-    return (
-        df.withColumn("order_value", F.col("quantity") * F.col("price"))
-        .filter(F.col("status") == "COMPLETED")
-        .select("order_id", "customer_name", "city", "tier", "product", "quantity", "price", "order_value", "order_date")
-    )
+    """Completed orders with all of their customer's columns and the order value."""
+    done = L.orders_v2(spark, sf).filter(F.col("status") == "COMPLETED").drop("status")
+    value = (F.col("quantity") * F.col("price")).alias("order_value")
+    return join(done, L.customers(spark, sf), "customer_id").select("*", value)
 
 
 SKEW_COLS = ["order_id", "customer_id", "customer_name", "tier", "amount"]
@@ -105,6 +102,19 @@ def q_bucketed_join(spark, sf, buckets: int | None = None):
     )
 
 
+def q_bucketed_skew_join(spark, sf, buckets: int | None = None):
+    """Both sides written once, bucketed by the customer and a sub-key that spreads the rows
+    of hot customers over many buckets (their one dimension row is written once per sub-key);
+    the join reads them back without an exchange."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = L.orders_skewed(spark, sf)
+    small = L.customers(spark, sf).select("customer_id", "customer_name", "tier")
+    hot = hot_keys(big, ["customer_id"], min_share=0.05)
+    sides = salted_sides(big, small, ["customer_id"], salts=n, hot=hot, name="sub_key")
+    names = [write_bucketed(df, f"skew_{i}", n, ["customer_id", "sub_key"]) for i, df in enumerate(sides)]
+    return spark.table(names[0]).join(spark.table(names[1]), ["customer_id", "sub_key"]).select(*SKEW_COLS)
+
+
 def q_join_self(spark, sf):
     """Orders joined with a projection of themselves on the order key."""
     o = L.table(spark, sf, "orders")
@@ -112,13 +122,20 @@ def q_join_self(spark, sf):
     return o.join(proj, o.o_orderkey == proj.k).select("o_orderkey", "o_custkey", "o_totalprice", "priority")
 
 
-def q_temporal_join(spark, sf):
+def q_temporal_join(spark, sf, method="sweep"):
+    """Each fact with the version valid at its time: an as-of sweep over versions that are
+    shown not to overlap."""
     fact = L.temporal_facts(spark, sf)
     dim = L.customers_scd2(spark, sf).select("customer_id", "tier", "effective_from", "effective_to")
-    out = temporal_join(fact, dim, ["customer_id"], "event_date")
+    out = temporal_join(fact, dim, ["customer_id"], "event_date", method=method)
     return out.select("order_id", "line_no", "customer_id", "event_date", F.col("tier").alias("tier_at_event"))
 
 
+def q_temporal_join_interval(spark, sf):
+    """The same by an equi-join with the interval as a condition, which allows overlaps."""
+    return q_temporal_join(spark, sf, method="join")
+
+
 def q_scd2_current(spark, sf):
     return scd2_current(L.customers_scd2(spark, sf)).select("customer_id", "tier", "effective_from")
 
@@ -152,6 +169,8 @@ QUERIES = {
     "bucketed_join": q_bucketed_join,
     "join_self": q_join_self,
     "temporal_join": q_temporal_join,
+    "temporal_join_interval": q_temporal_join_interval,
+    "bucketed_skew_join": q_bucketed_skew_join,
     "scd2_current": q_scd2_current,
     "point_in_time": q_point_in_time,
     "dq_orphans": q_dq_orphans,
@@ -169,10 +188,8 @@ ORACLE = {
     "join_broadcast_sql": sql(["orders_v2", "customers"], _ENR.format(how="INNER")),
     "join_merge_hint": sql(["orders_v2", "customers"], _ENR.format(how="INNER")),
     "enriched_orders": sql(["orders_v2", "customers"], """
-SELECT o.order_id, c.customer_name, c.city, c.tier, o.product, o.quantity, o.price,
-       o.quantity * o.price AS order_value, o.order_date
-FROM orders_v2 o JOIN customers c ON o.customer_id = c.customer_id
-WHERE o.status = 'COMPLETED'"""),
+SELECT *, quantity * price AS order_value
+FROM (SELECT * EXCLUDE (status) FROM orders_v2 WHERE status = 'COMPLETED') o JOIN customers c USING (customer_id)"""),
     "join_salted": sql(["orders_skewed", "customers"], _SKEW),
     "join_skew_aqe": sql(["orders_skewed", "customers"], _SKEW),
     "skew_report": sql(["orders_skewed"], """
@@ -187,8 +204,14 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "join_self": """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, p.o_orderpriority AS priority
 FROM orders o JOIN orders p ON o.o_orderkey = p.o_orderkey""",
+    "bucketed_skew_join": sql(["orders_skewed", "customers"], _SKEW),
     "temporal_join": sql(["temporal_facts", "customers_scd2"], """
 SELECT f.order_id, f.line_no, f.customer_id, f.event_date, d.tier AS tier_at_event
+FROM temporal_facts f LEFT JOIN customers_scd2 d
+  ON f.customer_id = d.customer_id AND f.event_date >= d.effective_from
+ AND (d.effective_to IS NULL OR f.event_date <= d.effective_to)"""),
+    "temporal_join_interval": sql(["temporal_facts", "customers_scd2"], """
+SELECT f.order_id, f.line_no, f.customer_id, f.event_date, d.tier AS tier_at_event
 FROM temporal_facts f LEFT JOIN customers_scd2 d
   ON f.customer_id = d.customer_id AND f.event_date >= d.effective_from
  AND (d.effective_to IS NULL OR f.event_date <= d.effective_to)"""),

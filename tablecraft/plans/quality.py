@@ -11,7 +11,7 @@ from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import sql
 from tablecraft.sources.readers import read_parquet
 from tablecraft.sources.scratch import scratch_path
-from tablecraft.sources.sinks import write_quarantine
+from tablecraft.sources.sinks import route, write_quarantine
 
 DUPE_KEYS = ["order_id", "line_no"]
 QUARANTINE_DAY = "2024-01-15"
@@ -45,6 +45,12 @@ def q_dq_good_records(spark, sf):
     return split_quality(L.orders_dirty(spark, sf), order_rules())[0]
 
 
+def q_dq_routed(spark, sf):
+    """Good and bad rows from one write routed by verdict, read back side by side."""
+    good, bad, _ = route(L.orders_dirty(spark, sf), order_rules(), scratch_path(spark, "routed"))
+    return good.withColumn("verdict", F.lit("good")).unionByName(bad.withColumn("verdict", F.lit("bad")))
+
+
 def q_dq_duplicate_keys(spark, sf):
     return duplicate_keys(L.orders_dirty(spark, sf), "order_id")
 
@@ -74,6 +80,7 @@ QUERIES = {
     "dq_tag_rows": q_dq_tag_rows,
     "dq_bad_records": q_dq_bad_records,
     "dq_good_records": q_dq_good_records,
+    "dq_routed": q_dq_routed,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_clean": q_dq_clean,
     "dq_overview": q_dq_overview,
@@ -105,6 +112,8 @@ SELECT order_id,
 FROM orders_dirty"""),
     "dq_bad_records": sql(["orders_dirty"], f"SELECT {_DIRTY_COLS} FROM orders_dirty WHERE {_BAD}"),
     "dq_good_records": sql(["orders_dirty"], f"SELECT {_DIRTY_COLS} FROM orders_dirty WHERE NOT {_BAD}"),
+    "dq_routed": sql(["orders_dirty"], f"""
+SELECT {_DIRTY_COLS}, CASE WHEN {_BAD} THEN 'bad' ELSE 'good' END AS verdict FROM orders_dirty"""),
     "dq_duplicate_keys": sql(["orders_dirty"], """
 SELECT order_id, COUNT(order_id) AS occurrence_count FROM orders_dirty
 GROUP BY order_id HAVING COUNT(order_id) > 1"""),

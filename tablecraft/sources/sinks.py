@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tablecraft.operators.quality import stamp_quarantine
+from tablecraft.operators.quality import Rules, is_bad, stamp_quarantine
 from tablecraft.sources.scratch import scratch_path
 
 
@@ -80,14 +81,28 @@ def write_quarantine(df: DataFrame, path: str, day: dt.date | str | None = None)
     return write_parquet(stamped, path, "overwrite", ["quarantine_date"], dynamic_overwrite=True)
 
 
+def route(df: DataFrame, rules: Rules, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Write ``df`` once, partitioned by the verdict of the rules, and read both sides back:
+    ``(good, bad, counts)`` with the counts raw, good and bad, taken during the write. The
+    input is computed once, whatever is done with the sides."""
+    spark, obs = df.sparkSession, Observation(f"route_{uuid.uuid4().hex[:8]}")
+    bad = is_bad(rules)
+    counted = df.observe(obs, F.count(F.lit(1)).alias("raw"), F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+    counted.withColumn("verdict", F.when(bad, "bad").otherwise("good")).write.partitionBy("verdict").parquet(path)
+    back = spark.read.schema(StructType([*df.schema.fields, StructField("verdict", StringType())])).parquet(path)
+    good, bad_rows = (back.filter(F.col("verdict") == v).drop("verdict") for v in ("good", "bad"))
+    return good, bad_rows, dict(obs.get)
+
+
 def write_bucketed(
     df: DataFrame,
     name: str,
     buckets: int,
-    key: str,
+    key: str | Sequence[str],
     path: str | None = None,
 ) -> str:
-    """Save as a catalog table bucketed and sorted on ``key``; returns the table name.
+    """Save as a catalog table bucketed and sorted on ``key`` (one column or several);
+    returns the table name.
 
     Two tables bucketed the same way on the join key join without an exchange. The
     table is external (its files live at ``path``, by default under the shared
@@ -99,11 +114,12 @@ def write_bucketed(
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:8]}"
     location = path or scratch_path(spark, table)
+    keys = [key] if isinstance(key, str) else list(key)
     (
-        df.repartition(buckets, key)
+        df.repartition(buckets, *keys)
         .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", location)
         .saveAsTable(table)
     )

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.functions.columns import parse_timestamp
@@ -117,3 +118,35 @@ def test_dedup_latest_limits_before_the_shuffle(spark, sf):
     plan = df._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in plan[exchange:]  # partial limit below the shuffle
+
+
+@pytest.mark.parametrize("rows, wrong", [
+    ([(1, 0, 9), (1, 10, None), (2, 0, None)], False),
+    ([(1, 0, 9), (1, 9, None)], True),       # a day in common
+    ([(1, 0, None), (1, 10, None)], True),   # an open end before another version
+    ([(1, 0, 30), (1, 5, 8), (1, 40, None)], True),
+    ([(1, 5, 9), (1, 5, 9)], True),
+    ([(None, 0, None), (None, 0, None), (1, 3, 4)], False),
+])
+def test_overlapping_versions_raise(spark, rows, wrong):
+    dim = spark.createDataFrame([(k, f"t{i}", a, b) for i, (k, a, b) in enumerate(rows)], "customer_id int, tier string, effective_from int, effective_to int")
+    fact = spark.createDataFrame([(1, 6), (1, 12), (2, 6), (None, 1)], "customer_id int, at int")
+    if wrong:
+        with pytest.raises(Exception, match="versions overlap"):
+            temporal_join(fact, dim, ["customer_id"], "at", method="sweep").collect()
+    else:
+        out = temporal_join(fact, dim, ["customer_id"], "at", method="sweep")
+        plain = temporal_join(fact, dim, ["customer_id"], "at").select(*out.columns)
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_overlap_across_ranges_of_a_hot_key_raises(spark):
+    from tablecraft.operators.joins import without_overlap
+
+    rows = [(1, 10 * i, 10 * i + 9) for i in range(800)] + [(k, 0, 5) for k in range(2, 60)]
+    schema = "k int, effective_from int, effective_to int"
+    assert without_overlap(spark.createDataFrame(rows, schema), ["k"]).count() == len(rows)
+    for at in (1, 400, 799):
+        bad = [r if r[:2] != (1, 10 * at - 10) else (1, r[1], r[2] + 1) for r in rows]
+        with pytest.raises(Exception, match="versions overlap"):
+            without_overlap(spark.createDataFrame(bad, schema), ["k"]).count()

@@ -122,3 +122,26 @@ def test_salt_range_and_replication(spark):
         "_salt", F.explode(F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0))))
     )
     assert replicated.filter("k = 1").count() == 3 and replicated.filter("k <> 1").count() == 2
+
+
+def test_bucketed_skew_join_spreads_the_hot_key(spark, sf, tmp):
+    """No exchange in the join, and no file with the whole hot key."""
+    from tablecraft.operators.joins import salted_sides
+    from tablecraft.sources.sinks import write_bucketed
+
+    df = J.q_bucketed_skew_join(spark, sf, buckets=4)
+    want = J.q_join_salted(spark, sf)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert df.exceptAll(want).count() == 0 and want.exceptAll(df).count() == 0
+    big = spark.createDataFrame([(1 if i % 2 else i, i) for i in range(4000)], "k int, i int")
+    small = spark.createDataFrame([(i, str(i)) for i in range(4000)], "k int, name string")
+    big_s, _ = salted_sides(big, small, ["k"], salts=8, hot=hot_keys(big, ["k"]), name="sub")
+    table = write_bucketed(big_s, "tc_hot", 8, ["k", "sub"], path=f"{tmp}/hot")
+    per_file = spark.table(table).where("k = 1").groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= 4 and max(r["count"] for r in per_file) < 1500
+    spark.sql(f"drop table {table}")

@@ -152,3 +152,20 @@ def test_heavy_keys_are_found_by_sketch(spark):
     assert heavy_hashes(df, [], 0.5) == (60_000, [(0, 60_000)])
     two = df.withColumn("j", F.col("id") % 2)
     assert [tuple(r) for r in heavy_keys(two, ["k", "j"], 0.1).collect()] == [("hot", 0, 6000)]
+
+
+def test_routing_computes_the_input_once(spark, tmp):
+    from tablecraft.operators.quality import order_rules
+    from tablecraft.plans import logical as L
+    from tablecraft.sources.sinks import route
+
+    raw = L.orders_dirty(spark, "/root/testdata/sf0.001")
+    good, bad, counts = route(raw, order_rules(), f"{tmp}/routed")
+    want_good, want_bad = split_quality(raw, order_rules())
+    for got, want in ((good, want_good), (bad, want_bad)):
+        assert got.columns == raw.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(verdict" in plan and plan.count("FileScan") == 1
+    assert counts == {"raw": raw.count(), "good": good.count(), "bad": bad.count()}
+    none, some, zero = route(raw.limit(0), order_rules(), f"{tmp}/empty")
+    assert none.count() == some.count() == 0 and zero == {"raw": 0, "good": 0, "bad": 0}

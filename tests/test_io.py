@@ -65,3 +65,15 @@ def test_scale_settings_do_not_switch_with_size():
     key = "spark.sql.streaming.stateStore.providerClass"
     assert small[key] == large[key] and "RocksDB" in small[key]
     assert int(large["spark.sql.shuffle.partitions"]) * 256 * MB >= 100 * 2**40
+
+
+def test_a_changed_table_is_read_anew(spark, sf, tmp):
+    from tablecraft.plans import logical as L
+
+    for t in ("orders", "customer", "nation"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{tmp}/d/{t}.parquet")
+    first, people = L.orders_flat(spark, f"{tmp}/d"), L.customers(spark, f"{tmp}/d")
+    assert L.orders_flat(spark, f"{tmp}/d") is first and L.customers(spark, f"{tmp}/d/") is people
+    n = first.count()
+    spark.read.parquet(f"{sf}/orders.parquet").limit(3).write.mode("append").parquet(f"{tmp}/d/orders.parquet")
+    assert L.orders_flat(spark, f"{tmp}/d").count() == n + 3

@@ -11,7 +11,7 @@ the vocabulary and aggregates the bytes of each text in position order.
 Spark partitions the texts; no row leaves its task. The vocabulary file is read once per
 Python worker from ``vocabulary`` (a path that every worker can open, like any installed
 package data). Memory per worker: two tables of known pieces (at most ``PieceTable.limit``
-bytes each, gone when the task ends) and one DuckDB of at most 250 MB that may not spill.
+bytes each, kept for the worker's next task) and one DuckDB of at most 250 MB that may not spill.
 
 Edge cases. Null and empty texts have no ids and decode to no bytes. Ids and bytes of a
 text never depend on its neighbours in the batch. A piece of n bytes without white space
@@ -94,9 +94,8 @@ class _Bpe:
         return self.opened
 
     def close(self) -> None:
-        """End of a task: only the vocabulary stays in the worker."""
-        self.table.clear()
-        self.words.clear()
+        """End of a task: the vocabulary and the bounded tables of pieces stay in the worker,
+        for its next task."""
         if self.opened is not None:
             self.opened.close()
             self.opened = None

@@ -121,7 +121,7 @@ class PieceTable:
     """Results for every distinct run of codes met so far, found by hash. ``make`` gets
     the new distinct runs (codes, starts, ends) and returns their results, concatenated,
     and the length of each. Beyond ``limit`` bytes the table starts anew, which costs time
-    only; a task clears it when it ends."""
+    only."""
 
     def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
                  dtype: type = np.int32, limit: int = 24 << 20):

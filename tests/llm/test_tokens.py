@@ -163,12 +163,16 @@ def test_patterned_words_keep_their_own_ids(tiktoken_encoding):
     coder.close()
 
 
-def test_tables_of_pieces_end_with_the_task():
-    coder = bpe.bpe(RANKS, PATTERN)
-    coder.decode(coder.encode(["some words of a text"]))
-    assert len(coder.table.hashes) and len(coder.words.hashes)
+def test_tables_of_pieces_are_bounded_in_bytes():
+    coder = bpe._Bpe(RANKS, PATTERN)
+    coder.table.limit = coder.words.limit = 20_000
+    sizes = []
+    for k in range(20):
+        coder.decode(coder.encode([" ".join(f"w{i}" for i in range(100 * k, 100 * k + 300))]))
+        sizes += [t.flat.nbytes + 20 * len(t.hashes) for t in (coder.table, coder.words)]
+    assert max(sizes) <= 20_000 + 300 * 40 and min(sizes) > 0
     coder.close()
-    assert not len(coder.table.hashes) and not len(coder.words.flat) and coder.opened is None
+    assert coder.opened is None and len(coder.table.hashes)
 
 
 def test_ids_that_do_not_fit_are_refused():

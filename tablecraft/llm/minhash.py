@@ -139,8 +139,10 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return narrow.select("id", _row_key(), udf("text").alias("_s")).select("id", "row_key", "_s.*")
 
 
-def _row_key():
-    return F.xxhash64("id", "text").alias("row_key")
+def _row_key(id_col: str = "id", text_col: str = "text"):
+    """128 bits that name a row by its id and whole text."""
+    halves = F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)), F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col))
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves])).alias("row_key")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -213,7 +215,7 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     several = kept.groupBy("root").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most")).where("least < most")
     others = kept.join(several, "root").where("row_key <> least").select("row_key")
     gone = out.where("not kept").select("row_key").unionByName(others).select(F.col("row_key").alias(key)).distinct()
-    kept = docs.withColumn(key, F.xxhash64(id_col, text_col)).join(gone, key, "left_anti")
+    kept = docs.withColumn(key, _row_key(id_col, text_col)).join(gone, key, "left_anti")
     repeated = out.where("kept").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates([key])

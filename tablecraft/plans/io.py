@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from tablecraft.operators.layout import by_key, cached, round_robin, shrink
 from tablecraft.plans import logical as L
 from tablecraft.plans.sql_views import STATUS_CASE, sql
-from tablecraft.sources.catalog import create_database, register_external_parquet
+from tablecraft.sources.catalog import create_database, describe, drop_table, list_tables, register_external_parquet
 from tablecraft.sources.readers import read_csv, read_csv_permissive, read_parquet
 from tablecraft.sources.scratch import scratch_path
 from tablecraft.sources.sinks import write_csv, write_parquet, write_verified
@@ -120,6 +121,37 @@ def q_cached_reuse(spark, sf):
     return read_parquet(spark, path)
 
 
+def q_persisted_levels(spark, sf):
+    """One input kept on disk only, then in memory with spill, and summed from both."""
+    lines = L.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    out = None
+    for name in ("DISK_ONLY", "MEMORY_AND_DISK"):
+        with cached(lines, getattr(StorageLevel, name)) as kept:
+            row = kept.agg(F.count(F.lit(1)), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double")).first()
+        one = spark.createDataFrame([(name, *row)], "level string, n long, quantity double")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_catalog_life_cycle(spark, sf):
+    """Columns of an external table as the catalog describes them, after which the table is
+    dropped; whether it was listed before and after, and whether its files are still there."""
+    c = L.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    path = write_parquet(c, scratch_path(spark, "customer_life"), partition_by=["c_mktsegment"])
+    db = f"tablecraft_{uuid.uuid4().hex[:8]}"
+    create_database(spark, db, scratch_path(spark, db))
+    table = register_external_parquet(
+        spark, db, "customers", "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE, c_mktsegment STRING",
+        path, ["c_mktsegment"])
+    columns = [(r.col_name, r.data_type) for r in describe(spark, table).collect() if r.data_type and not r.col_name.startswith("#")]
+    listed = "customers" in list_tables(spark, db)
+    drop_table(spark, table)
+    gone = "customers" not in list_tables(spark, db)
+    kept = read_parquet(spark, path).count()
+    rows = [(*x, listed, gone) for x in dict.fromkeys(columns)]
+    return spark.createDataFrame(rows, "column_name string, kind string, listed boolean, dropped boolean").withColumn("rows_on_storage", F.lit(kept))
+
+
 def share_report(orders, total):
     """Orders per customer and their share of ``total``."""
     per_customer = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
@@ -135,6 +167,8 @@ QUERIES = {
     "catalog_external_table": q_catalog_external_table,
     "repartition_rowcount": q_repartition_rowcount,
     "cached_reuse": q_cached_reuse,
+    "persisted_levels": q_persisted_levels,
+    "catalog_life_cycle": q_catalog_life_cycle,
 }
 
 _ORDERS_CSV = """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
@@ -153,6 +187,13 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_or
 SELECT COUNT(*) AS row_count, CAST(SUM(CAST(o.quantity * o.price AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM orders_v2 o JOIN customers c ON o.customer_id = c.customer_id"""),
     "catalog_external_table": "SELECT c_mktsegment AS segment, COUNT(*) AS n FROM customer GROUP BY c_mktsegment",
+    "persisted_levels": """
+SELECT l.level, (SELECT COUNT(*) FROM lineitem) AS n,
+       (SELECT CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem) AS quantity
+FROM (VALUES ('DISK_ONLY'), ('MEMORY_AND_DISK')) l(level)""",
+    "catalog_life_cycle": """
+SELECT c.column_name, c.kind, true AS listed, true AS dropped, (SELECT COUNT(*) FROM customer) AS rows_on_storage
+FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_acctbal', 'double'), ('c_mktsegment', 'string')) c(column_name, kind)""",
     "repartition_rowcount": """
 SELECT s.strategy, (SELECT COUNT(*) FROM orders) AS row_count
 FROM (VALUES ('round_robin_10'), ('hash_status_9'), ('coalesce_6')) s(strategy)""",

@@ -6,6 +6,8 @@ the sink holds, read back from storage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablecraft.plans import logical as L
@@ -111,7 +113,46 @@ def q_stream_threshold_alert(spark, sf):
     return read_json(spark, out, "transaction_id long, customer_id long, amount double, alert_type string")
 
 
+def q_stream_restart(spark, sf):
+    """The later half of the events arrives after the query has ended: a new one with the
+    same checkpoint takes only what is new, so every transaction is written once."""
+    events, feed = L.table(spark, sf, "events"), scratch_path(spark, "restart_feed")
+    out, chk = scratch_path(spark, "restarted"), scratch_path(spark, "chk_restart")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = F.lit(span.a + (span.b - span.a) / 2)
+    for half in (events.filter(F.col("ts") < middle), events.filter(F.col("ts").isNull() | (F.col("ts") >= middle))):
+        half.write.mode("append").parquet(feed)
+        q = run_to_files(flag_large(transactions_stream(spark, feed), LARGE_AMOUNT), out, chk)
+        q.awaitTermination()
+    return read_parquet(spark, out).drop("event_timestamp")
+
+
+def q_stream_concurrent(spark, sf):
+    """Two queries on one feed at the same time, each with its own sink and checkpoint."""
+    feed = transactions_stream(spark, f"{sf}/events.parquet")
+    jobs = {"large": flag_large(feed, LARGE_AMOUNT).filter("is_large"), "alert": high_value_alerts(feed, ALERT_AMOUNT)}
+    sinks = {name: scratch_path(spark, f"concurrent_{name}") for name in jobs}
+    running = [run_to_files(df, sinks[name], scratch_path(spark, f"chk_{name}")) for name, df in jobs.items()]
+    for q in running:
+        q.awaitTermination()
+    parts = [read_parquet(spark, path).select(F.lit(name).alias("job"), "transaction_id", "amount") for name, path in sinks.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def q_stream_complete_memory(spark, sf):
+    """Complete mode into the memory sink, for results of a few rows: totals per status."""
+    tx, name = transactions_stream(spark, f"{sf}/events.parquet"), f"totals_{uuid.uuid4().hex[:8]}"
+    totals = tx.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.max("amount").alias("max_amount"))
+    q = totals.writeStream.format("memory").queryName(name).outputMode("complete").option(
+        "checkpointLocation", scratch_path(spark, "chk_totals")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
+
+
 QUERIES = {
+    "stream_restart": q_stream_restart,
+    "stream_concurrent": q_stream_concurrent,
+    "stream_complete_memory": q_stream_complete_memory,
     "tumbling_batch": q_tumbling_batch,
     "stream_tumbling_agg": q_stream_tumbling_agg,
     "stream_upsert_agg": q_stream_upsert_agg,
@@ -128,6 +169,14 @@ _TX = """SELECT event_id AS transaction_id, user_id AS customer_id, value AS amo
        CASE WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM events"""
 
 ORACLE = {
+    "stream_restart": f"""
+SELECT transaction_id, customer_id, amount, status, amount >= {LARGE_AMOUNT} AS is_large
+FROM ({_TX}) t WHERE status = 'SUCCESS'""",
+    "stream_concurrent": f"""
+SELECT 'large' AS job, transaction_id, amount FROM ({_TX}) t WHERE amount >= {LARGE_AMOUNT} AND status = 'SUCCESS'
+UNION ALL
+SELECT 'alert' AS job, transaction_id, amount FROM ({_TX}) t WHERE amount >= {ALERT_AMOUNT} AND status = 'SUCCESS'""",
+    "stream_complete_memory": f"SELECT status, COUNT(*) AS n, MAX(amount) AS max_amount FROM ({_TX}) t GROUP BY status",
     "tumbling_batch": _WINDOWS,
     "stream_tumbling_agg": f"""
 SELECT * FROM ({_WINDOWS}) w

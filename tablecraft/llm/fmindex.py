@@ -127,16 +127,22 @@ class Phrases:
         self.vocabulary = np.unique(h)
         symbol = np.searchsorted(self.vocabulary, h) + 1
         cut = np.append(np.searchsorted(starts, begin), len(starts))
-        of_phrase: dict[tuple[int, ...], set[int]] = {}
-        for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
-            for k in range(a, max(b - window + 1, min(a + 1, b))):
-                of_phrase.setdefault(tuple(symbol[k:min(k + window, b)].tolist()), set()).add(number[items[i][0] or ""])
-        self.lengths = np.array([len(p) for p in of_phrase], np.int64)
-        self.symbols = np.zeros((len(of_phrase), window), np.int64)
-        for i, p in enumerate(of_phrase):
-            self.symbols[i, :len(p)] = p
-        self.n_items = np.array([len(x) for x in of_phrase.values()], np.int64)
-        self.items = np.array([i for x in of_phrase.values() for i in sorted(x)], np.int64)
+        # one row per window, in arrays: no Python object per window
+        first, last = cut[:-1], cut[1:]
+        count = np.maximum(np.where(last > first, 1, 0), last - first - window + 1)
+        at = arrays.expand(first, count)
+        length = np.minimum(window, np.repeat(last, count) - at)
+        rows = np.zeros((len(at), window), np.int32)
+        for k in range(window):
+            inside = np.flatnonzero(length > k)
+            rows[inside, k] = symbol[at[inside] + k]
+        self.symbols, phrase = np.unique(rows, axis=0, return_inverse=True)
+        self.symbols = self.symbols.astype(np.int64)
+        self.lengths = np.count_nonzero(self.symbols, axis=1)
+        of_item = np.array([number[n or ""] for n, _ in items], np.int64)
+        pairs = np.unique(phrase.ravel() * len(names) + np.repeat(of_item, count))
+        self.items = pairs % max(len(names), 1)
+        self.n_items = np.bincount(pairs // max(len(names), 1), minlength=len(self.lengths))
         self.first_item = np.cumsum(self.n_items) - self.n_items
 
 
@@ -216,7 +222,7 @@ def merge_spans(lists: list[np.ndarray]) -> np.ndarray:
 
 
 def contamination(text: Column | str, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                  window: int = 10, block_bytes: int = 16 << 20) -> Column:
+                  window: int = 10, block_bytes: int = 4 << 20) -> Column:
     """Struct column ``RESULT`` with what of ``benchmark`` occurs in a text column."""
     spark = benchmark.sparkSession
     small_batches(spark)

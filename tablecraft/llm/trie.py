@@ -19,7 +19,7 @@ of its topmost node less its share. Every round is written to the shared scratch
 only row counts reach the driver. All joins are on unique node keys, so nothing is skewed.
 
 Conversations of any length are spread over tasks: turns get their numbers from a range split
-(equal turns of a conversation, and nothing else, share a task), and rolling hashes are
+(equal turn numbers of a conversation, and nothing else, share a task), and rolling hashes are
 combined in stretches of ``_STRETCH`` turns. The list of conversations that end in a node may
 be as long as the table; it is digested as a sorted stream of chunks, never held at once.
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablecraft.llm import suffixes
+from tablecraft.llm import queries, suffixes
 from tablecraft.llm.frames import KEY, text_key
 
 W = suffixes.WIDTH
@@ -82,3 +82,23 @@ def test_segments_of_a_long_text(spark):
 
 def test_empty_table(spark):
     assert suffixes.removed(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_query_flags_planted_passages_and_no_clean_document(spark, tmp):
+    """Passages of over 50 words that documents share are lost from each of them and from
+    no other; n_bytes is the length of the text and says nothing of that."""
+    rng = random.Random(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(7, 9))) for _ in range(n))
+
+    passages = [words(n) for n in (55, 60, 90)]
+    rows = [(i, f"{words(rng.randint(1, 200))}\n{passages[i % 3]}\n{words(rng.randint(1, 200))}") for i in range(30)]
+    rows += [(100 + i, words(rng.randint(1, 300))) for i in range(30)] + [(200, None), (201, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op1_suffix_dedup(spark, tmp).collect()}
+    assert {k: got[k].n_bytes for k in got} == {k: len(t or "") for k, t in rows}
+    assert {k for k, r in got.items() if r.n_removed} == set(range(30))
+    assert all(got[i].n_removed >= len(passages[i % 3]) and got[i].n_spans == 1 for i in range(30))
+    want = {k: x for (k, _), x in zip(rows, brute_force([t for _, t in rows]))}
+    assert {k: (r.n_removed, r.n_spans, r.kept_sha256) for k, r in got.items()} == want
